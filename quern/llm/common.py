@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,6 +56,22 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def text_crc(column: str) -> Column:
+    """CRC-32 of a column's value as text."""
+    return F.crc32(F.col(column).cast("string"))
+
+
+def sampled(df: DataFrame, key: str, bound: int) -> DataFrame:
+    """About ``bound`` rows of ``df`` (all, if it has no more), chosen by a hash of ``key``.
+
+    The choice depends on the keys alone, so a rerun after a lost executor makes the same one.
+    """
+    n = df.count()
+    if n <= bound:
+        return df
+    return df.where(F.pmod(F.xxhash64(F.col(key), F.lit("sample")), F.lit(1 << 30)) < int(bound / n * (1 << 30)))
+
+
 def slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows of about ``limit`` bytes."""
     if batch.num_rows:
@@ -84,7 +100,9 @@ def with_python_columns(df: DataFrame, inputs: list[str], outputs: list[T.Struct
                 made = [x if isinstance(x, (pa.Array, pa.ChunkedArray)) else pa.array(x, k) for x, k in zip(made, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([*(part.column(needed.index(c)) for c in kept), *made], names=[f.name for f in fields])
 
-    return df.select(*[F.col(quoted(c)) for c in needed]).mapInArrow(run, T.StructType(fields))
+    # names with dots can't enter mapInArrow
+    plain = df.select(*[F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(needed)])
+    return plain.mapInArrow(run, T.StructType(fields))
 
 
 def _arrow_type(kind: T.DataType) -> pa.DataType:
