@@ -8,7 +8,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 
 #: Modules of this subpackage that hold ``QUERIES`` and ``ORACLE_SQL``.
-MODULES = ["q_bpe", "q_labels"]
+MODULES = ["q_bpe", "q_labels", "q_lm"]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
