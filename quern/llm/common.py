@@ -109,4 +109,6 @@ def _arrow_type(kind: T.DataType) -> pa.DataType:
     simple = {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_()}
     if isinstance(kind, T.ArrayType):
         return pa.list_(_arrow_type(kind.elementType))
+    if isinstance(kind, T.StructType):
+        return pa.struct([(f.name, _arrow_type(f.dataType)) for f in kind.fields])
     return simple[kind.simpleString()]
