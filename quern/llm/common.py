@@ -80,14 +80,14 @@ def slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.Recor
             yield batch.slice(at, step)
 
 
-def with_python_columns(df: DataFrame, inputs: list[str], outputs: list[T.StructField], make: Callable[[], Callable]) -> DataFrame:
+def with_python_columns(df: DataFrame, inputs: list[str], outputs: list[T.StructField], make: Callable[[], Callable], drop: tuple[str, ...] = ()) -> DataFrame:
     """Add or replace ``outputs``, computed from ``inputs`` in Arrow batches.
 
     ``make()`` is called once a task and gives a function from a list of Arrow arrays to a list of
     Arrow arrays or Python lists of the same length. All other columns pass through untouched; a
-    column of the input that has an output's name is replaced.
+    column of the input that has an output's name is replaced; those in ``drop`` are not given back.
     """
-    kept = without(df, *[f.name for f in outputs])
+    kept = without(df, *[f.name for f in outputs], *drop)
     fields = [*(df.schema[c] for c in kept), *outputs]
     needed = list(dict.fromkeys([*kept, *inputs]))
     kinds = [_arrow_type(f.dataType) for f in outputs]

@@ -329,7 +329,7 @@ def fit(pages: DataFrame, html: str = "html", key: str = "page_id", bound: int =
     def make() -> Callable:
         return lambda columns: [pa.array([[t[:600] for _, t, _ in blocks(h)][:60] for h in columns[0].to_pylist()], pa.list_(pa.string()))]
 
-    rows = with_python_columns(sample, [html], [T.StructField("texts", T.ArrayType(T.StringType()))], make).select(key, "texts").orderBy(key).collect()
+    rows = with_python_columns(sample, [html], [T.StructField("texts", T.ArrayType(T.StringType()))], make, drop=(html,)).orderBy(key).collect()
     texts = [t for r in rows for t in r["texts"] if len(t) > 60] or ["A few plain words that stand for the text of a page, and nothing else."]
     rng = random.Random(8)
     vectors, model, train = Features(), Labeller(), []

@@ -126,7 +126,7 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_i
     def make() -> Callable:
         return lambda columns: [pa.array([features(t).astype(np.float16).tobytes() for t in columns[0].to_pylist()], pa.binary())]
 
-    rows = with_python_columns(chosen, ["text"], [T.StructField("vector", T.BinaryType())], make).select("lang", "vector").collect()
+    rows = with_python_columns(chosen, ["text"], [T.StructField("vector", T.BinaryType())], make, drop=("text",)).collect()
     if not rows:
         return None
     rows.sort(key=lambda r: (r["lang"], bytes(r["vector"])))

@@ -107,7 +107,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "to
     def make() -> Callable:
         return lambda columns: [pa.array([terms(t or "").astype("<i4").tobytes() for t in columns[0].to_pylist()], pa.binary())]
 
-    rows = with_python_columns(joined, ["text"], [T.StructField("terms", T.BinaryType())], make).select("key", "label", "terms").collect()
+    rows = with_python_columns(joined, ["text"], [T.StructField("terms", T.BinaryType())], make, drop=("text",)).collect()
     rows.sort(key=lambda r: (r["key"], bytes(r["terms"])))
     return train([np.frombuffer(r["terms"], dtype="<i4") for r in rows], np.array([min(1, max(0, r["label"])) for r in rows], dtype=float))
 
