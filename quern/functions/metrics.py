@@ -15,9 +15,14 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def rounded(c: Column | str, digits: int = 2) -> Column:
+    """Round, from nine digits on, so that the order in which doubles were added does not show."""
+    return F.round(F.round(col(c), 9), digits)
+
+
 def ratio(a: Column | str, b: Column | str, digits: int = 2, times: float = 100.0) -> Column:
     """a * times / b as a rounded double; null where b is 0 or null."""
-    return F.round(F.try_divide(col(a).cast("double") * F.lit(times), col(b).cast("double")), digits)
+    return rounded(F.try_divide(col(a).cast("double") * F.lit(times), col(b).cast("double")), digits)
 
 
 def change(now: Column | str, before: Column | str) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.functions.metrics import change, ratio, trailing
+from quern.functions.metrics import change, ratio, rounded, trailing
 from quern.operators.dims import season
 from quern.operators.fact import Dims
 from quern.operators.marts import by_day
@@ -26,7 +26,7 @@ def forecast_features(facts: DataFrame, dims: Dims, start: str = "2020-01-01", g
     flag = lambda *months: m.isin(*months).cast("int")
     return rolled.select(
         *group_cols, F.col("date_actual").alias("ds"), "y", "date_key", "year", "month", "is_weekend", "is_holiday", "is_business_day", "holiday_name", season(m).alias("season"), F.col("y").alias("total_complaints"), "closed_complaints", "in_progress_count",
-        ratio("closed_complaints", "y").alias("closure_rate"), ratio("in_progress_count", "closed_complaints", 2, 1.0).alias("workload_ratio"), F.round("mean_hours", 2).alias("avg_response_time_hours"), F.round("week", 2).alias("rolling_7day_avg"), F.round("mean", 2).alias("rolling_30day_avg"),
-        *[f"lag_{n}day" for n in (1, 7, 30, 365)], F.round("std", 2).alias("rolling_30day_std"), flag(7, 8).alias("is_summer_break"), flag(10, 11, 12, 1, 2, 3).alias("is_heating_season"), flag(1, 2, 7, 8).alias("is_extreme_weather_month"), F.col("is_holiday").alias("is_near_holiday"),
-        change("y", "lag_7day").alias("week_over_week_change_pct"), F.when(F.col("std") > 0, F.round((F.col("y") - F.col("mean")) / F.col("std"), 3)).alias("z_score_30day"),
+        ratio("closed_complaints", "y").alias("closure_rate"), ratio("in_progress_count", "closed_complaints", 2, 1.0).alias("workload_ratio"), rounded("mean_hours").alias("avg_response_time_hours"), rounded("week").alias("rolling_7day_avg"), rounded("mean").alias("rolling_30day_avg"),
+        *[f"lag_{n}day" for n in (1, 7, 30, 365)], rounded("std").alias("rolling_30day_std"), flag(7, 8).alias("is_summer_break"), flag(10, 11, 12, 1, 2, 3).alias("is_heating_season"), flag(1, 2, 7, 8).alias("is_extreme_weather_month"), F.col("is_holiday").alias("is_near_holiday"),
+        change("y", "lag_7day").alias("week_over_week_change_pct"), F.when(F.col("std") > 0, rounded((F.col("y") - F.col("mean")) / F.col("std"), 3)).alias("z_score_30day"),
     )

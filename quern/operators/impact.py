@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.functions.metrics import change, median, ratio
+from quern.functions.metrics import change, median, ratio, rounded
 from quern.operators.dims import season
 from quern.operators.fact import Dims, valid_measures
 
@@ -83,13 +83,13 @@ def impact_by(base: DataFrame, column: str, unknown: str) -> DataFrame:
     """Closure, response times and shares by ``column`` and period."""
     share = lambda c: ratio(F.count_if(F.col("complaint_category") == c), N)
     return base.where(F.col(column) != unknown).groupBy(column, "covid_period").agg(
-        N.alias("complaints_count"), F.count_if("is_closed").alias("closed_count"), ratio(F.count_if("is_closed"), N).alias("closure_rate"), F.round(F.avg("valid_hours"), 2).alias("avg_response_time_hours"), F.round(F.avg("valid_days"), 2).alias("avg_response_time_days"),
+        N.alias("complaints_count"), F.count_if("is_closed").alias("closed_count"), ratio(F.count_if("is_closed"), N).alias("closure_rate"), rounded(F.avg("valid_hours")).alias("avg_response_time_hours"), rounded(F.avg("valid_days")).alias("avg_response_time_days"),
         F.count_if(F.col("complaint_category") == "Noise").alias("noise_count"), share("Noise").alias("noise_percentage"), F.count_if(F.col("complaint_category") == "Transportation").alias("transportation_count"), share("Transportation").alias("transportation_percentage"),
         ratio(F.count_if(F.col("valid_sla") == "SAME_DAY"), F.count("valid_sla")).alias("same_day_rate"),
     )
 
 
 def top_types_by_period(base: DataFrame, n: int) -> DataFrame:
-    rows = base.where(F.col("complaint_type") != "UNKNOWN").groupBy("covid_period", "complaint_type").agg(N.alias("complaint_count"), F.count_if("is_closed").alias("closed_count"), F.round(F.avg("valid_days"), 2).alias("avg_days_to_close"))
+    rows = base.where(F.col("complaint_type") != "UNKNOWN").groupBy("covid_period", "complaint_type").agg(N.alias("complaint_count"), F.count_if("is_closed").alias("closed_count"), rounded(F.avg("valid_days")).alias("avg_days_to_close"))
     order = Window.partitionBy("covid_period").orderBy(F.desc("complaint_count"), "complaint_type")
     return rows.withColumn("rank_in_period", F.row_number().over(order)).where(F.col("rank_in_period") <= n)

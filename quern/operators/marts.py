@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.functions.metrics import change, median, ratio, top_n, trailing, trend
+from quern.functions.metrics import change, median, ratio, rounded, top_n, trailing, trend
 from quern.operators.dims import date_key
 from quern.operators.fact import Dims, valid_measures
 
@@ -69,8 +69,8 @@ def agg_daily(facts: DataFrame, dims: Dims) -> DataFrame:
         "date_key", "date_actual", "total_complaints", total.alias("new_complaints"), F.col("closed").alias("completed_count"), F.col("opened").alias("new_count"), F.col("in_progress").alias("in_progress_count"),
         F.col("pending").alias("waiting_count"), F.col("other_status").alias("other_status_count"), "valid_response_count", "within_sla_count", "total_valid_closed_for_sla", "closed_without_valid_time", "closed_without_valid_sla", *tops,
         F.coalesce("closed_complaints", F.lit(0)).alias("closed_complaints"), ratio("closed", total).alias("completion_rate"), ratio("in_progress", total).alias("in_progress_rate"),
-        F.round("avg_hours", 2).alias("avg_response_time_hours"), F.round("median_hours", 2).alias("median_response_time_hours"), ratio("within_sla_count", "total_valid_closed_for_sla").alias("sla_compliance_rate"),
-        ratio("closed_without_valid_time", "closed").alias("pct_closed_missing_valid_time"), F.round("week", 2).alias("complaints_7day_avg"), F.round("month", 2).alias("complaints_30day_avg"),
+        rounded("avg_hours").alias("avg_response_time_hours"), rounded("median_hours").alias("median_response_time_hours"), ratio("within_sla_count", "total_valid_closed_for_sla").alias("sla_compliance_rate"),
+        ratio("closed_without_valid_time", "closed").alias("pct_closed_missing_valid_time"), rounded("week").alias("complaints_7day_avg"), rounded("month").alias("complaints_30day_avg"),
         change(total, "yesterday").alias("day_over_day_change_pct"), change(total, "week_ago").alias("week_over_week_change_pct"), trend(total, "yesterday", 1.1, 0.9, ("UP", "DOWN")).alias("trend_direction"),
     )
 
@@ -104,10 +104,10 @@ def agg_agency(facts: DataFrame, dims: Dims, as_of: str) -> DataFrame:
     return joined.select(
         *by, "agency_name", "agency_category", "total_complaints", total.alias("new_complaints"), F.col("closed").alias("closed_complaints"), F.col("in_progress").alias("in_progress_complaints"), F.col("pending").alias("pending_complaints"),
         "valid_response_count", "total_valid_closed_for_sla", "closed_without_valid_time", "closed_without_valid_sla", *[f"top_complaint_category_{i}{s}" for i in (1, 2, 3) for s in ("", "_count")],
-        "agency_rank_by_volume", "agency_rank_by_sla", F.round("avg_hours", 2).alias("avg_response_time_hours"), F.round("median_hours", 2).alias("median_response_time_hours"), F.round(kept, 2).alias("sla_compliance_rate"),
+        "agency_rank_by_volume", "agency_rank_by_sla", rounded("avg_hours").alias("avg_response_time_hours"), rounded("median_hours").alias("median_response_time_hours"), rounded(kept).alias("sla_compliance_rate"),
         ratio("same_day", "closed").alias("same_day_resolution_rate"), ratio("first_touch", total).alias("first_touch_resolution_rate"), ratio("closed_without_valid_time", "closed").alias("pct_closed_missing_valid_time"),
-        ratio(total, "of_day").alias("pct_of_total_daily_complaints"), ratio(total, "week", 2, 1.0).alias("workload_index"), F.round("week", 2).alias("complaints_7day_avg"), trend(total, "week_ago", 1.1, 0.9, ("UP", "DOWN")).alias("trend_direction"),
-        F.coalesce("avg_open_days", F.lit(0.0)).alias("avg_open_days"), F.coalesce("backlog_count", F.lit(0)).alias("backlog_count"), F.round(done * kept / 100.0, 2).alias("productivity_score"),
+        ratio(total, "of_day").alias("pct_of_total_daily_complaints"), ratio(total, "week", 2, 1.0).alias("workload_index"), rounded("week").alias("complaints_7day_avg"), trend(total, "week_ago", 1.1, 0.9, ("UP", "DOWN")).alias("trend_direction"),
+        F.coalesce("avg_open_days", F.lit(0.0)).alias("avg_open_days"), F.coalesce("backlog_count", F.lit(0)).alias("backlog_count"), rounded(done * kept / 100.0).alias("productivity_score"),
     )
 
 
@@ -132,9 +132,9 @@ def agg_location(facts: DataFrame, dims: Dims, hot: tuple[float, float, float] =
     return rolled.join(zips, "location_key", "left").join(top, by, "left").select(
         *by, "borough", "city", "zip_code", "total_complaints", F.col("opened").alias("open_complaints"), F.col("closed").alias("closed_complaints"), total.alias("new_complaints"), "valid_response_count", "total_valid_closed_for_sla",
         "closed_without_valid_time", *[f"top_complaint_type_{i}{s}" for i in (1, 2, 3) for s in ("", "_count")], "borough_rank_daily", "city_rank_in_borough", "citywide_rank", "locations_in_borough",
-        F.round("avg_hours", 2).alias("avg_response_time_hours"), F.round("median_hours", 2).alias("median_response_time_hours"), ratio("within_sla_count", "total_valid_closed_for_sla").alias("sla_compliance_rate"), ratio("closed", total).alias("completion_rate"),
-        ratio("closed_without_valid_time", "closed").alias("pct_closed_missing_valid_time"), F.round("week", 2).alias("complaints_7day_avg"), change(total, "week_ago").alias("complaints_vs_prev_week_pct"), change(total, "yesterday").alias("complaints_vs_prev_day_pct"),
-        medium.alias("is_hotspot"), F.when(high, "HIGH").when(medium, "MEDIUM").when(low, "LOW").otherwise("NORMAL").alias("hotspot_severity"), F.round("mean", 2).alias("borough_avg_complaints"), ratio(total, "mean").alias("pct_of_borough_avg"),
+        rounded("avg_hours").alias("avg_response_time_hours"), rounded("median_hours").alias("median_response_time_hours"), ratio("within_sla_count", "total_valid_closed_for_sla").alias("sla_compliance_rate"), ratio("closed", total).alias("completion_rate"),
+        ratio("closed_without_valid_time", "closed").alias("pct_closed_missing_valid_time"), rounded("week").alias("complaints_7day_avg"), change(total, "week_ago").alias("complaints_vs_prev_week_pct"), change(total, "yesterday").alias("complaints_vs_prev_day_pct"),
+        medium.alias("is_hotspot"), F.when(high, "HIGH").when(medium, "MEDIUM").when(low, "LOW").otherwise("NORMAL").alias("hotspot_severity"), rounded("mean").alias("borough_avg_complaints"), ratio(total, "mean").alias("pct_of_borough_avg"),
         ratio(total, "of_area").alias("pct_of_borough_total"), trend(total, "week_ago", 1.2, 0.8, ("INCREASING", "DECREASING")).alias("trend_direction"),
         F.when(off > F.col("week") * 0.3, "HIGH_VARIANCE").when(off > F.col("week") * 0.15, "MEDIUM_VARIANCE").otherwise("LOW_VARIANCE").alias("volatility"),
     )
@@ -189,13 +189,13 @@ def agg_monthly(facts: DataFrame, dims: Dims, compat: bool = False) -> DataFrame
         "month_key", "year", "month", "month_name", "month_start_date", "month_end_date", "days_in_month", "total_complaints", F.col("closed").alias("completed_complaints"), F.col("opened").alias("open_complaints"), F.col("in_progress").alias("in_progress_complaints"),
         F.col("pending").alias("pending_complaints"), "valid_response_count", "total_valid_closed_for_sla", "closed_without_valid_time", *[f"top_complaint_category_{i}{s}" for i in range(1, 6) for s in ("", "_count")],
         *[c for i in (1, 2, 3) for c in (F.col(f"top_agency_{i}").alias(f"top_agency_{i}_code"), f"top_agency_{i}_name", f"top_agency_{i}_count")], ratio(total, "days_in_month", 2, 1.0).alias("avg_daily_complaints"), F.coalesce("open_at_end", "opened").alias("open_complaints_eom"),
-        F.round("avg_hours", 2).alias("avg_response_time_hours"), F.round("median_hours", 2).alias("median_response_time_hours"), ratio("within_sla_count", "total_valid_closed_for_sla").alias("sla_compliance_rate"), ratio("closed", total).alias("completion_rate"),
+        rounded("avg_hours").alias("avg_response_time_hours"), rounded("median_hours").alias("median_response_time_hours"), ratio("within_sla_count", "total_valid_closed_for_sla").alias("sla_compliance_rate"), ratio("closed", total).alias("completion_rate"),
         ratio("closed_without_valid_time", "closed").alias("pct_closed_missing_valid_time"), ratio(total, "closed", 2, 1.0).alias("completion_ratio"), ratio("opened", total).alias("open_rate"), ratio("in_progress", total).alias("in_progress_rate"),
         past("total_complaints_prev_month").alias("total_complaints_prev_month"), change(total, "total_complaints_prev_month").alias("mom_growth_rate"), (total - past("total_complaints_prev_month")).alias("mom_growth_absolute"),
         past("valid_response_count_prev_month").alias("valid_response_count_prev_month"), change("valid_response_count", "valid_response_count_prev_month").alias("mom_valid_data_growth_rate"), past("total_complaints_prev_year").alias("total_complaints_prev_year"),
         change(total, "total_complaints_prev_year").alias("yoy_growth_rate"), (total - past("total_complaints_prev_year")).alias("yoy_growth_absolute"), trend(total, "total_complaints_prev_year", 1.1, 0.9, ("GROWTH", "DECLINE")).alias("yoy_trend"),
-        past("valid_response_count_prev_year").alias("valid_response_count_prev_year"), change("valid_response_count", "valid_response_count_prev_year").alias("yoy_valid_data_growth_rate"), F.round("total_complaints_3", 2).alias("complaints_3month_avg"),
-        F.round("closed_3", 2).alias("completed_3month_avg"), F.round("valid_response_count_3", 2).alias("valid_responses_3month_avg"), ratio(three("top_complaint_category"), total).alias("top_3_categories_pct"), ratio(three("top_agency"), total).alias("top_3_agencies_pct"),
+        past("valid_response_count_prev_year").alias("valid_response_count_prev_year"), change("valid_response_count", "valid_response_count_prev_year").alias("yoy_valid_data_growth_rate"), rounded("total_complaints_3").alias("complaints_3month_avg"),
+        rounded("closed_3").alias("completed_3month_avg"), rounded("valid_response_count_3").alias("valid_responses_3month_avg"), ratio(three("top_complaint_category"), total).alias("top_3_categories_pct"), ratio(three("top_agency"), total).alias("top_3_agencies_pct"),
     )
 
 

@@ -47,7 +47,7 @@ def _fs(spark: SparkSession, path: str):
 
 def current(spark: SparkSession, path: str) -> DataFrame | None:
     """The table as its version pointer names it; None before the first version."""
-    pointer, fs = _fs(spark, f"{path}/_current")
+    pointer, fs = _fs(spark, f"{path}/CURRENT")
     if not fs.exists(pointer):
         return None
     return spark.read.parquet(f"{path}/{spark.read.text(str(pointer)).first()[0].split(' ')[0]}")
@@ -60,7 +60,7 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, keys: list[str],
     never see half a table and nothing is overwritten that is being read. A batch whose id the pointer
     already holds is not applied again.
     """
-    pointer, fs = _fs(spark, f"{path}/_current")
+    pointer, fs = _fs(spark, f"{path}/CURRENT")
     if batch_id is not None and fs.exists(pointer):
         held = spark.read.text(str(pointer)).first()[0].split(" ")
         if len(held) > 1 and held[1] and int(held[1]) >= batch_id:
@@ -70,7 +70,7 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, keys: list[str],
     table = new if old is None else merged(old, new, keys, sequence, tie)
     version = f"v-{uuid.uuid4().hex[:12]}"
     write_partitioned(table, f"{path}/{version}", partition or [])
-    staged, _ = _fs(spark, f"{path}/_next-{version}")
+    staged, _ = _fs(spark, f"{path}/NEXT-{version}")
     out = fs.create(staged, True)
     out.write(bytearray(f"{version} {'' if batch_id is None else batch_id}".encode()))
     out.close()
