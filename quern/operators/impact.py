@@ -10,7 +10,10 @@ from quern.operators.dims import season
 from quern.operators.fact import Dims, valid_measures
 
 NAMES = ("Pre-COVID", "COVID Peak", "Post-COVID")
-N = F.count(F.lit(1))
+
+
+def every() -> Column:
+    return F.count(F.lit(1))
 
 
 def labelled(facts: DataFrame, dims: Dims, cuts: tuple[str, str], years: tuple[int, int]) -> DataFrame:
@@ -31,7 +34,7 @@ SLA = {"same_day_closure_rate": "SAME_DAY", "within_week_rate": "WITHIN_WEEK", "
 def monthly(base: DataFrame) -> DataFrame:
     timed = F.count_if(F.col("is_closed") & F.col("valid_hours").isNotNull())
     return base.groupBy("year", "month", "covid_period").agg(
-        F.max("month_name").alias("month_name"), N.alias("total_complaints"), F.count_if("is_closed").alias("closed_complaints"), timed.alias("complaints_with_valid_response_time"),
+        F.max("month_name").alias("month_name"), every().alias("total_complaints"), F.count_if("is_closed").alias("closed_complaints"), timed.alias("complaints_with_valid_response_time"),
         F.avg("valid_hours").alias("avg_response_time_hours"), F.avg("valid_days").alias("avg_response_time_days"), median("valid_hours").alias("median_response_time_hours"), median("valid_days").alias("median_response_time_days"),
         *[ratio(F.count_if(F.col("valid_sla") == s), F.count("valid_sla")).alias(n) for n, s in SLA.items()], F.count("valid_sla").alias("total_valid_for_sla"), F.count_if("has_invalid_closed_date").alias("invalid_closed_dates"),
         F.count_if("has_closed_status_without_date").alias("closed_without_date"), F.count_if("open_status_with_closed_date").alias("open_with_closed_date"), ratio(timed, F.count_if("is_closed")).alias("response_time_data_quality_pct"),
@@ -81,15 +84,15 @@ def period_impact(facts: DataFrame, dims: Dims, cuts: tuple[str, str] = ("2020-0
 
 def impact_by(base: DataFrame, column: str, unknown: str) -> DataFrame:
     """Closure, response times and shares by ``column`` and period."""
-    share = lambda c: ratio(F.count_if(F.col("complaint_category") == c), N)
+    share = lambda c: ratio(F.count_if(F.col("complaint_category") == c), every())
     return base.where(F.col(column) != unknown).groupBy(column, "covid_period").agg(
-        N.alias("complaints_count"), F.count_if("is_closed").alias("closed_count"), ratio(F.count_if("is_closed"), N).alias("closure_rate"), rounded(F.avg("valid_hours")).alias("avg_response_time_hours"), rounded(F.avg("valid_days")).alias("avg_response_time_days"),
+        every().alias("complaints_count"), F.count_if("is_closed").alias("closed_count"), ratio(F.count_if("is_closed"), every()).alias("closure_rate"), rounded(F.avg("valid_hours")).alias("avg_response_time_hours"), rounded(F.avg("valid_days")).alias("avg_response_time_days"),
         F.count_if(F.col("complaint_category") == "Noise").alias("noise_count"), share("Noise").alias("noise_percentage"), F.count_if(F.col("complaint_category") == "Transportation").alias("transportation_count"), share("Transportation").alias("transportation_percentage"),
         ratio(F.count_if(F.col("valid_sla") == "SAME_DAY"), F.count("valid_sla")).alias("same_day_rate"),
     )
 
 
 def top_types_by_period(base: DataFrame, n: int) -> DataFrame:
-    rows = base.where(F.col("complaint_type") != "UNKNOWN").groupBy("covid_period", "complaint_type").agg(N.alias("complaint_count"), F.count_if("is_closed").alias("closed_count"), rounded(F.avg("valid_days")).alias("avg_days_to_close"))
+    rows = base.where(F.col("complaint_type") != "UNKNOWN").groupBy("covid_period", "complaint_type").agg(every().alias("complaint_count"), F.count_if("is_closed").alias("closed_count"), rounded(F.avg("valid_days")).alias("avg_days_to_close"))
     order = Window.partitionBy("covid_period").orderBy(F.desc("complaint_count"), "complaint_type")
     return rows.withColumn("rank_in_period", F.row_number().over(order)).where(F.col("rank_in_period") <= n)

@@ -15,7 +15,9 @@ from quern.operators.fact import Dims, valid_measures
 IN_PROGRESS = ["ASSIGNED", "STARTED", "IN PROGRESS"]
 WITHIN = ["SAME_DAY", "WITHIN_WEEK"]
 
-N = F.count(F.lit(1))
+
+def every() -> Column:
+    return F.count(F.lit(1))
 
 
 def by_day(facts: DataFrame, dims: Dims, kinds: bool = False) -> DataFrame:
@@ -32,7 +34,7 @@ def by_day(facts: DataFrame, dims: Dims, kinds: bool = False) -> DataFrame:
 def closed_metrics() -> list[Column]:
     """Aggregates that all summaries share."""
     return [
-        N.alias("total_complaints"),
+        every().alias("total_complaints"),
         F.count_if("is_closed").alias("closed"),
         F.avg("valid_hours").alias("avg_hours"),
         median("valid_hours").alias("median_hours"),
@@ -46,7 +48,7 @@ def closed_metrics() -> list[Column]:
 
 
 def counts(base: DataFrame, by: list[str], name: str) -> DataFrame:
-    return base.where(F.col(name).isNotNull()).groupBy(*by, name).agg(N.alias("n"))
+    return base.where(F.col(name).isNotNull()).groupBy(*by, name).agg(every().alias("n"))
 
 
 def daily_core(facts: DataFrame, dims: Dims) -> DataFrame:
@@ -58,7 +60,7 @@ def agg_daily(facts: DataFrame, dims: Dims) -> DataFrame:
     """The daily summary: one row for each day of creation."""
     base = by_day(facts, dims)
     days = daily_core(facts, dims)
-    closed = base.where("is_closed").groupBy(F.col("closed_date_key").alias("date_key")).agg(N.alias("closed_complaints"))
+    closed = base.where("is_closed").groupBy(F.col("closed_date_key").alias("date_key")).agg(every().alias("closed_complaints"))
     types, agencies = (top_n(counts(base, ["date_key"], c), ["date_key"], c, "n", 3, p) for c, p in (("complaint_type", "top_complaint_type"), ("agency_code", "top_agency")))
     order = Window.orderBy("date_key")  # one row for each day
     total = F.col("total_complaints")
@@ -78,7 +80,7 @@ def agg_daily(facts: DataFrame, dims: Dims) -> DataFrame:
 def agency_backlog(facts: DataFrame, dims: Dims, as_of: str) -> DataFrame:
     """Requests of each agency that are open now, and their mean age in days."""
     today = F.lit(as_of).cast("date")
-    return by_day(facts, dims).where(~F.col("is_closed")).groupBy("agency_key").agg(N.alias("backlog_count"), F.avg(F.datediff(today, "date_actual")).alias("avg_open_days")).withColumn("date_key", date_key(today))
+    return by_day(facts, dims).where(~F.col("is_closed")).groupBy("agency_key").agg(every().alias("backlog_count"), F.avg(F.datediff(today, "date_actual")).alias("avg_open_days")).withColumn("date_key", date_key(today))
 
 
 def agg_agency(facts: DataFrame, dims: Dims, as_of: str) -> DataFrame:
@@ -143,7 +145,7 @@ def agg_location(facts: DataFrame, dims: Dims, hot: tuple[float, float, float] =
 def agg_type(facts: DataFrame, dims: Dims) -> DataFrame:
     """Each type's day, with its commonest agency and area (the smallest of equals)."""
     return by_day(facts, dims, kinds=True).groupBy("date_key", "complaint_type_key").agg(
-        *[F.max(c).alias(c) for c in ("date_actual", "complaint_type", "descriptor", "complaint_category")], N.alias("total_complaints"), F.count_if("is_closed").alias("closed_complaints"), F.avg("valid_hours").alias("avg_response_time_hours"),
+        *[F.max(c).alias(c) for c in ("date_actual", "complaint_type", "descriptor", "complaint_category")], every().alias("total_complaints"), F.count_if("is_closed").alias("closed_complaints"), F.avg("valid_hours").alias("avg_response_time_hours"),
         median("valid_hours").alias("median_response_time_hours"), F.count("valid_hours").alias("valid_response_count"), F.mode("agency_code", True).alias("most_common_agency"), F.mode("borough", True).alias("most_common_borough"),
     )
 
