@@ -5,11 +5,12 @@ the smallest key stands for all. One-permutation hashing cuts the hash range int
 bin's smallest value; empty bins borrow from a full one that a hash chooses (optimal densification). Runs
 of bins make the bands; classes that share a band meet in a bucket.
 
-Within a bucket, edges go from a hub to every other member, so their count is linear in the bucket. The
-hub of the first round is the member that shares most buckets with most others. Edges are confirmed on
-the full sets, and components are formed. Members that are still apart from the bulk of their bucket
-then become hubs in their turn, twice as many in each round, until every bucket is either of one
-component or wholly compared. So no link between candidates is lost, whichever document was hub.
+Within a bucket, every member gets an edge to the bucket's hub, the member that shares most buckets with
+most others. The members of a bucket of up to ``ALL_PAIRS`` are all compared with each other; in a larger
+one, whose pairs would grow with its square, each is also compared with its neighbours in the order of
+the signatures that follow the band, where like documents stand together. All edges are confirmed on
+the full sets, and components are formed of the links. No bucket is dropped or cut. Of two outer members
+of a group of many, both too far from every hub, a link can be missed; the README tells how often.
 """
 
 from __future__ import annotations
@@ -30,6 +31,10 @@ from quern.llm.words import Hashes, mixed
 #: Bands and bins in each. At a similarity of 0.8 a pair misses all 32 bands of 5 with probability 3e-6.
 BANDS, ROWS = 32, 5
 BINS = BANDS * ROWS
+#: Members of a bucket up to which all pairs are compared; neighbours compared in larger ones.
+ALL_PAIRS, NEIGHBOURS = 12, 3
+#: Bytes of the signature that order a larger bucket, and those that part it.
+ORDER_BYTES, PART_BYTES = 24, 6
 #: A list of candidates' keys that is broadcast to a scan has no more entries than this.
 BROADCAST_KEYS = 1_000_000
 
@@ -77,9 +82,9 @@ def signature(sets: np.ndarray) -> np.ndarray:
     return sets[first[source]]
 
 
-def band_keys(sets: np.ndarray) -> np.ndarray:
-    """A 64-bit key for each band."""
-    rows = signature(sets).reshape(BANDS, ROWS)
+def band_keys(values: np.ndarray) -> np.ndarray:
+    """A 64-bit key for each band of a signature."""
+    rows = values.reshape(BANDS, ROWS)
     key = np.arange(1, BANDS + 1, dtype=np.uint64)
     for k in range(ROWS):
         key = mixed(key, rows[:, k])
@@ -87,21 +92,24 @@ def band_keys(sets: np.ndarray) -> np.ndarray:
 
 
 def sketched(docs: DataFrame, size: int) -> DataFrame:
-    """(key, text) to (key, n, same, bands): set size, a 128-bit hash of the set, and band keys (none for an empty set)."""
+    """(key, text) to (key, n, same, bands, marks): set size, a 128-bit hash of the set, band keys and two
+    bytes of each bin (none of both for an empty set)."""
 
     def make() -> Callable:
         hashes = Hashes()
 
         def step(columns):
             sets = [shingles(t, hashes, size) for t in columns[0].to_pylist()]
-            keys = [band_keys(s).view(np.int64) if len(s) else np.zeros(0, dtype=np.int64) for s in sets]
+            signs = [signature(s) if len(s) else None for s in sets]
+            keys = [np.zeros(0, dtype=np.int64) if v is None else band_keys(v).view(np.int64) for v in signs]
             offsets = np.cumsum([0, *map(len, keys)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(keys) if keys else np.zeros(0, dtype=np.int64)))
-            return pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), lists
+            marks = [b"" if v is None else (v & np.uint64(0xFFFF)).astype("<u2").tobytes() for v in signs]
+            return pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), lists, pa.array(marks, pa.binary())
 
         return step
 
-    fields = [T.StructField("n", T.LongType()), T.StructField("same", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))]
+    fields = [T.StructField("n", T.LongType()), T.StructField("same", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("marks", T.BinaryType())]
     return with_python_columns(docs, ["text"], fields, make, drop=("text",))
 
 
@@ -160,26 +168,23 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).union(edges.select(F.col("v"), F.col("v")).distinct())
 
 
-def relabelled(members: DataFrame, links: DataFrame) -> DataFrame:
-    """Members (bucket, key, weight) with the component of each as ``label``."""
-    found = components(links)
-    return members.join(found.select(F.col("node").alias("key"), "label"), "key", "left").withColumn("label", F.coalesce("label", "key"))
-
-
-def candidates(members: DataFrame, hubs_each: int) -> tuple[DataFrame, DataFrame]:
-    """(edges, hubs) of a round over members (bucket, key, weight, label) of buckets with several labels.
-
-    ``hubs_each`` hubs are taken of each bucket, from those outside its commonest label first, then by
-    weight. An edge joins a hub to each member of another label.
-    """
-    per = members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"), F.max("weight").alias("w"))
-    main = per.groupBy("bucket").agg(F.max(F.struct("n", "w", "label")).alias("top"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
-    rows = members.join(main.select("bucket", F.col("top.label").alias("main")), "bucket")
-    apart = F.col("label") != F.col("main")
-    order = Window.partitionBy("bucket").orderBy(apart.desc() if hubs_each > 1 else F.lit(0), F.desc("weight"), "key")
-    hubs = rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= hubs_each).select("bucket", F.col("key").alias("hub"), F.col("label").alias("hub_label"))
-    pairs = members.join(hubs, "bucket").where("label <> hub_label").select(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b")).distinct()
-    return pairs, hubs
+def candidates(met: DataFrame, heads: DataFrame) -> DataFrame:
+    """Distinct edges (a, b) among members (bucket, size, band, key) of buckets of two and more."""
+    pair = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
+    few = met.where(F.col("size") <= ALL_PAIRS).select("bucket", "key")
+    small = few.join(few.select("bucket", F.col("key").alias("other")), "bucket").where("key < other").select(*pair("key", "other"))
+    many = met.where(F.col("size") > ALL_PAIRS)
+    weight = many.groupBy("key").agg(F.sum("size").alias("weight"))
+    ordered = many.join(weight, "key").join(heads.select("key", "marks"), "key")
+    place = (F.col("band") + 1) * ROWS * 2 + 1
+    ordered = stored(ordered.select("bucket", "key", "weight", F.substring(F.concat("marks", "marks"), place, F.lit(ORDER_BYTES)).alias("order")), "ordered")
+    hubs = ordered.groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("key")).alias("minus"))).alias("top")).select("bucket", (-F.col("top.minus")).alias("hub"))
+    stars = ordered.join(hubs, "bucket").where("key <> hub").select(*pair("key", "hub"))
+    beside = Window.partitionBy("bucket", F.substring("order", 1, PART_BYTES)).orderBy("order", "key")
+    nexts = [f"next{k}" for k in range(1, NEIGHBOURS + 1)]
+    follow = ordered.withColumns({n: F.lead("key", k).over(beside) for k, n in enumerate(nexts, 1)})
+    near = follow.select("key", F.explode(F.array(*nexts)).alias("other")).where("other is not null").select(*pair("key", "other"))
+    return small.union(stars).union(near).where("a <> b").distinct()
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 2, percent: int = 80) -> DataFrame:
@@ -196,45 +201,28 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", size
     sketches = stored(sketched(docs, size), "sketches")
     full = sketches.where("n > 0 and key is not null")
     classes = full.groupBy("same").agg(F.min("key").alias("head"))
-    heads = stored(classes.join(full.select("same", "key", "n", "bands"), "same").where("key = head").dropDuplicates(["key", "same"]).select("key", "bands"), "heads")
-    rows = heads.select("key", F.explode("bands").alias("bucket"))
+    heads = stored(classes.join(full.select("same", "key", "bands", "marks"), "same").where("key = head").dropDuplicates(["key", "same"]).select("key", "bands", "marks"), "heads")
+    rows = heads.select("key", F.posexplode("bands").alias("band", "bucket"))
     shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     met = stored(rows.join(shared, "bucket"), "met")
-    weight = met.groupBy("key").agg(F.sum(F.col("size") - 1).alias("weight"))
-    members = stored(met.join(weight, "key").select("bucket", "key", "weight", F.col("key").alias("label")), "members")
-    discard(met)
-
-    wanted = members.select("key").distinct()
+    edges = stored(candidates(met, heads), "edges")
+    discard(met, heads)
+    wanted = edges.select(F.explode(F.array("a", "b")).alias("key")).distinct()
     if wanted.count() <= BROADCAST_KEYS:
         wanted = F.broadcast(wanted)
     sets = stored(with_sets(docs.join(wanted, "key", "left_semi"), size).dropDuplicates(["key", "sets"]), "sets")
-
-    links = tested = None
-    hubs_each = 1
-    while True:
-        edges, hubs = candidates(members, hubs_each)
-        if tested is not None:
-            edges = edges.join(tested, ["a", "b"], "left_anti")
-        edges, hubs = stored(edges, "edges"), stored(hubs, "hubs")
-        if hubs.isEmpty():
-            break
-        found = confirmed(edges, sets, percent)
-        links = stored(found if links is None else links.union(found), "links")
-        tested = edges if tested is None else stored(tested.union(edges), "tested")
-        rest = members.join(hubs.select("bucket", F.col("hub").alias("key")), ["bucket", "key"], "left_anti").select("bucket", "key", "weight")
-        before, members = members, stored(relabelled(rest, links), "members")
-        discard(before)
-        hubs_each *= 2
+    links = stored(confirmed(edges, sets, percent), "links")
+    discard(sets, edges)
     return _joined(df, key, sketches, links)
 
 
-def _joined(df: DataFrame, key: str, sketches: DataFrame, links: DataFrame | None) -> DataFrame:
+def _joined(df: DataFrame, key: str, sketches: DataFrame, links: DataFrame) -> DataFrame:
     """Classes by equal sets, their links and repeated keys, as components of all rows."""
     full = sketches.where("n > 0 and key is not null").select("key", "same")
     heads = full.groupBy("same").agg(F.min("key").alias("head"))
     # a class hangs on its head; a key that repeats with other texts joins the classes of all of them
     copies = full.join(heads, "same").where("key <> head").select(F.col("key").alias("a"), F.col("head").alias("b"))
-    found = components(copies if links is None else copies.union(links))
+    found = components(copies.union(links))
     out = sketches.select("key", F.col("n").alias("n_shingles")).join(found.withColumnRenamed("node", "key"), "key", "left")
     component = F.coalesce("label", "key")
     kept: Column = F.coalesce(component == F.col("key"), F.lit(True))

@@ -40,7 +40,7 @@ def rows():
     rng = random.Random(3)
     word = lambda: f"x{rng.randrange(5000)}"
     texts = []
-    for n, copies, edits in ((100, 25, 5), (60, 12, 3), (300, 10, 15), (12, 8, 1)):
+    for n, copies, edits in ((100, 40, 4), (60, 12, 3), (300, 10, 15), (12, 8, 1)):
         base = [word() for _ in range(n)]
         texts += [changed(base, edits, rng) for _ in range(copies)] + [base] * 3
     chain = [word() for _ in range(120)]
