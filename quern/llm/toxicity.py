@@ -65,7 +65,7 @@ def choose(rows: list[np.ndarray], label: np.ndarray, most: int, least: int) ->
     return np.sort(good[np.argsort(-chi[good], kind="stable")][:most])
 
 
-def train(rows: list[np.ndarray], label: np.ndarray, rank: int = 4, most: int = 20_000, least: int = 3, rounds: int = 200, penalty: float = 2e-4) -> Machine:
+def train(rows: list[np.ndarray], label: np.ndarray, rank: int = 4, most: int = 20_000, least: int = 3, rounds: int = 200, penalty: float = 2e-5) -> Machine:
     """Logistic loss by Adam over the whole sample."""
     chosen = choose(rows, label, most, least)
     place = np.full(1 << BITS, -1)
