@@ -163,3 +163,18 @@ def test_drift_and_null_keys(spark):
     assert {(r.column_name, r.drift) for r in checks.schema_drift(a, b).collect()} == {("a", "retyped"), ("b", "removed"), ("c", "added")}
     keys = spark.createDataFrame([(None, 1), (1, None), (1, 1)], "a int, b int")
     assert [r.null_key for r in checks.null_keys(keys, "a", "b").collect()] == ["a", "b"]
+
+
+def test_landing_formats_and_counts(spark, tmp_path):
+    df = spark.range(40).selectExpr("cast(id as string) as unique_key", "timestamp'2024-12-30 12:00:00' + make_interval(0, 0, 0, cast(id % 4 as int)) as created_date")
+    for fmt in ("parquet", "json"):
+        root = str(tmp_path / fmt)
+        for _ in range(2):
+            landing.land(df, root, "created_date", "day", fmt)
+        read = spark.read.format(fmt).load(root)
+        assert read.count() == 40 and (tmp_path / fmt / "year=2024" / "month=12" / "day=31").is_dir() and {"year", "month", "day"} <= set(read.columns)
+    assert any(p.name.endswith(".json.gz") for p in (tmp_path / "json").rglob("*"))
+    counts = landing.manifest(df, "created_date").orderBy("period_start")
+    assert [r.record_count for r in counts.collect()] == [10, 10, 10, 10]
+    assert {r.status for r in landing.validate_counts(counts).collect()} == {"warning"} and {r.status for r in landing.validate_counts(counts, 1, 10).collect()} == {"passed"}
+    assert landing.period_slice(df, "created_date", "2024-12-01", "month").count() == 20
