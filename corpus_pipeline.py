@@ -2,7 +2,7 @@
 
 Language identification drops texts without a language, near-dedup leaves one document of each group,
 decontamination drops documents that hold a benchmark item, secrets are replaced in place, and the last
-stage adds token ids and the decoded text's digest. All stages but the last return the columns of documents.
+stage adds token ids and whether decoding them gives the text again. All stages but the last return the columns of documents.
 """
 
 from __future__ import annotations
@@ -43,9 +43,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with n_tokens, token_ids (packed) and whether decoding gives the text again."""
-    path = public_tokenizers.path(RANKS)
-    both = bpe.decode(bpe.encode(docs, path), path)
-    return both.withColumn("round_trip", F.col("decoded") == F.coalesce(F.encode("text", "utf-8"), F.to_binary(F.lit("")))).drop("decoded")
+    return bpe.round_trip(docs, public_tokenizers.path(RANKS))
 
 
 STAGES = [

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from quern.llm.common import with_python_columns
 
 #: Entries that a worker remembers of pieces, and of token pairs, before it starts anew.
-MEMO = 1 << 18
+MEMO = 1 << 17
 
 
 def read_ranks(path: str) -> bytes:
@@ -170,6 +170,24 @@ def decode(df: DataFrame, ranks_path: str, ids: str = "token_ids", decoded: str
     return with_python_columns(df, [ids], [T.StructField(decoded, T.BinaryType())], make)
 
 
+def round_trip(df: DataFrame, ranks_path: str, text: str = "text", ids: str = "token_ids", n_tokens: str = "n_tokens", same: str = "round_trip", pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+    """``encode``, and ``same``: whether decoding the ids gives the text's bytes again; both in one pass over the rows."""
+    shared = df.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+
+    def make() -> Callable:
+        one = coder(shared.value, pattern)
+
+        def step(columns):
+            texts = [t or "" for t in columns[0].to_pylist()]
+            made = [one.encode(t) for t in texts]
+            again = [one.decode(x) == t.encode() for x, t in zip(made, texts, strict=True)]
+            return pa.array(made, pa.binary()), pa.array([len(x) // 4 for x in made], pa.int64()), pa.array(again, pa.bool_())
+
+        return step
+
+    return with_python_columns(df, [text], [T.StructField(ids, T.BinaryType()), T.StructField(n_tokens, T.LongType()), T.StructField(same, T.BooleanType())], make)
+
+
 def id_array(ids: str) -> Column:
     """The packed ids as array<bigint>."""
     raw = F.col(ids)

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Input bytes handed to a Python step at once; a single longer row still goes whole.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
+#: Rows in a batch between Spark and a Python worker, unless the session asks for fewer: documents are long.
+BATCH_ROWS = 1_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,6 +74,13 @@ def sampled(df: DataFrame, key: str, bound: int) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(F.col(key), F.lit("sample")), F.lit(1 << 30)) < int(bound / n * (1 << 30)))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hold the session to batches that keep a worker's memory low with long rows."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows of about ``limit`` bytes."""
     if batch.num_rows:
@@ -100,6 +109,7 @@ def with_python_columns(df: DataFrame, inputs: list[str], outputs: list[T.Struct
                 made = [x if isinstance(x, (pa.Array, pa.ChunkedArray)) else pa.array(x, k) for x, k in zip(made, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([*(part.column(needed.index(c)) for c in kept), *made], names=[f.name for f in fields])
 
+    small_batches(df.sparkSession)
     # names with dots can't enter mapInArrow
     plain = df.select(*[F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(needed)])
     return plain.mapInArrow(run, T.StructType(fields))

@@ -32,7 +32,7 @@ from quern.llm.words import Hashes, mixed
 BANDS, ROWS = 32, 5
 BINS = BANDS * ROWS
 #: Members of a bucket up to which all pairs are compared; neighbours compared in larger ones.
-ALL_PAIRS, NEIGHBOURS = 12, 3
+ALL_PAIRS, NEIGHBOURS = 24, 6
 #: Bytes of the signature that order a larger bucket, and those that part it.
 ORDER_BYTES, PART_BYTES = 24, 6
 #: A list of candidates' keys that is broadcast to a scan has no more entries than this.

@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 #: Words that a worker remembers the hash of before it starts anew.
-MEMO = 1 << 20
+MEMO = 1 << 17
 
 
 class Hashes(dict):
