@@ -27,8 +27,8 @@ from pyspark.sql import types as T
 
 from quern.llm.common import with_python_columns
 
-#: Entries that a worker remembers of pieces, and of token pairs, before it starts anew.
-MEMO = 1 << 17
+#: Entries of pieces in each of a worker's two generations, and of token pairs before it starts anew.
+MEMO, PAIRS = 1 << 17, 1 << 18
 
 
 def read_ranks(path: str) -> bytes:
@@ -59,6 +59,7 @@ class Coder:
         self.pieces = regex.compile(pattern.replace(r"\s", r"\p{White_Space}")).findall
         self.automaton: ahocorasick.Automaton | None = None
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.fits: dict[tuple[str, str], bool] = {}
         self.shorter: dict[str, str | None] = {}
 
@@ -73,7 +74,7 @@ class Coder:
     def compatible(self, left: str, right: str) -> bool:
         answer = self.fits.get((left, right))
         if answer is None:
-            if len(self.fits) >= MEMO:
+            if len(self.fits) >= PAIRS:
                 self.fits.clear()
             answer = self.fits[left, right] = merged(left + right, self.ranks) == [left, right]
         return answer
@@ -114,15 +115,18 @@ class Coder:
 
     def encode(self, text: str) -> bytes:
         """Token ids as little-endian unsigned 32-bit integers."""
-        known, out = self.known, []
+        known, older, out = self.known, self.older, []
         for piece in self.pieces(text):
             ids = known.get(piece)
             if ids is None:
-                if len(known) >= MEMO:
-                    known.clear()
-                tokens = self.tokens(piece.encode("utf-8").decode("latin-1"))
-                ids = np.array([self.ranks[t] for t in tokens], dtype="<u4").tobytes()
+                ids = older.get(piece)
+                if ids is None:
+                    tokens = self.tokens(piece.encode("utf-8").decode("latin-1"))
+                    ids = np.array([self.ranks[t] for t in tokens], dtype="<u4").tobytes()
                 if len(piece) <= 64:
+                    if len(known) >= MEMO:  # pieces in use move to the new generation, the rest are forgotten
+                        older, known = known, {}
+                        self.older, self.known = older, known
                     known[piece] = ids
             out.append(ids)
         return b"".join(out)
