@@ -9,8 +9,10 @@ Within a bucket, every member gets an edge to the bucket's hub, the member that
 most others. The members of a bucket of up to ``ALL_PAIRS`` are all compared with each other; in a larger
 one, whose pairs would grow with its square, each is also compared with its neighbours in the order of
 the signatures that follow the band, where like documents stand together. All edges are confirmed on
-the full sets, and components are formed of the links. No bucket is dropped or cut. Of two outer members
-of a group of many, both too far from every hub, a link can be missed; the README tells how often.
+the full sets, and components are formed of the links. Members of a larger bucket that stand apart from
+its commonest component then become hubs in their turn, four times as many in each round, and are
+compared with all members of other components in their buckets, until every bucket is either of one
+component or wholly compared. So no link between members of a bucket is lost.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ BANDS, ROWS = 32, 5
 BINS = BANDS * ROWS
 #: Members of a bucket up to which all pairs are compared; neighbours compared in larger ones.
 ALL_PAIRS, NEIGHBOURS = 12, 3
+#: Hubs that a larger bucket gets in the first round after that, and how many times as many in each further one.
+HUBS, MORE_HUBS = 8, 4
 #: Bytes of the signature that order a larger bucket, and those that part it.
 ORDER_BYTES, PART_BYTES = 24, 6
 #: A list of candidates' keys that is broadcast to a scan has no more entries than this.
@@ -187,6 +191,33 @@ def candidates(met: DataFrame, heads: DataFrame) -> DataFrame:
     return small.union(stars).union(near).where("a <> b").distinct()
 
 
+def apart(members: DataFrame, links: DataFrame) -> DataFrame:
+    """Members (bucket, key, n, bands) of buckets of several components, with ``label``, how many of the bucket ``share`` it, and the commonest as ``main``."""
+    found = components(links).select(F.col("node").alias("key"), "label")
+    named = stored(members.join(found, "key", "left").withColumn("label", F.coalesce("label", "key")), "named")
+    per = named.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("share"))
+    main = per.groupBy("bucket").agg(F.max(F.struct("share", "label")).alias("top"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
+    several = stored(named.join(main.select("bucket", F.col("top.label").alias("main")), "bucket").join(per, ["bucket", "label"]), "apart")
+    discard(named)
+    return several
+
+
+def further(several: DataFrame, hubs_each: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(edges, hubs) of a round over what ``apart`` gives.
+
+    Hubs are up to ``hubs_each`` members of each bucket outside its commonest component. An edge joins a hub to
+    each member of another component in all buckets of the hub, once, in the least bucket that both share
+    (if that is a small one, they have been compared); none joins sets too unlike in size.
+    """
+    order = Window.partitionBy("bucket").orderBy(F.desc("share"), "key")
+    hubs = stored(several.where("label <> main").select("bucket", "key", "share").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= hubs_each).select("key").distinct(), "hubs")
+    ends = several.join(hubs, "key").select("bucket", F.col("key").alias("hub"), F.col("n").alias("hub_n"), F.col("label").alias("hub_label"), F.col("bands").alias("hub_bands"))
+    met = several.select("bucket", "key", "n", "label", "bands").join(ends, "bucket").where("label <> hub_label")
+    alike = met.where(F.least("n", "hub_n") * 100 >= F.greatest("n", "hub_n") * percent)
+    once = alike.where(F.array_min(F.array_intersect("bands", "hub_bands")) == F.col("bucket"))
+    return once.select(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b")).distinct(), hubs
+
+
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 2, percent: int = 80) -> DataFrame:
     """(key, n_shingles, component_id, kept) for each row of ``df``.
 
@@ -201,18 +232,33 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", size
     sketches = stored(sketched(docs, size), "sketches")
     full = sketches.where("n > 0 and key is not null")
     classes = full.groupBy("same").agg(F.min("key").alias("head"))
-    heads = stored(classes.join(full.select("same", "key", "bands", "marks"), "same").where("key = head").dropDuplicates(["key", "same"]).select("key", "bands", "marks"), "heads")
+    heads = stored(classes.join(full.select("same", "key", "n", "bands", "marks"), "same").where("key = head").dropDuplicates(["key", "same"]).select("key", "n", "bands", "marks"), "heads")
     rows = heads.select("key", F.posexplode("bands").alias("band", "bucket"))
     shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     met = stored(rows.join(shared, "bucket"), "met")
     edges = stored(candidates(met, heads), "edges")
+    members = stored(met.where(F.col("size") > ALL_PAIRS).select("bucket", "key").join(heads.select("key", "n", "bands"), "key"), "members")
     discard(met, heads)
     wanted = edges.select(F.explode(F.array("a", "b")).alias("key")).distinct()
     if wanted.count() <= BROADCAST_KEYS:
         wanted = F.broadcast(wanted)
     sets = stored(with_sets(docs.join(wanted, "key", "left_semi"), size).dropDuplicates(["key", "sets"]), "sets")
     links = stored(confirmed(edges, sets, percent), "links")
-    discard(sets, edges)
+    discard(edges)
+    hubs_each = HUBS
+    while not members.isEmpty():
+        several = apart(members, links)
+        if several.isEmpty():
+            discard(several)
+            break
+        edges, hubs = further(several, hubs_each, percent)
+        edges = stored(edges, "edges")
+        before, links = links, stored(links.union(confirmed(edges, sets, percent)), "links")
+        discard(before, members, edges)
+        members = stored(several.join(hubs, "key", "left_anti").select("bucket", "key", "n", "bands"), "members")
+        discard(several, hubs)
+        hubs_each *= MORE_HUBS
+    discard(sets, members)
     return _joined(df, key, sketches, links)
 
 

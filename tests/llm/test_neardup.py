@@ -63,6 +63,20 @@ def test_against_brute_force(spark, rows, size):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_large_bucket_is_wholly_compared(spark, monkeypatch):
+    """All documents meet in one bucket, in pairs that are far from every hub."""
+    monkeypatch.setattr(neardup, "band_keys", lambda values: np.array([7], dtype=np.uint64))
+    rng, texts = random.Random(5), []
+    for _ in range(25):
+        words = [f"x{rng.randrange(10**6)}" for _ in range(200)]
+        texts += [words, changed(words, 10, rng)]
+    rng.shuffle(texts)
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    want, _ = brute(rows)
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {r.doc_id: r.component_id for r in got} == want and len(set(want.values())) == 25
+
+
 def test_odd_rows(spark):
     odd = [(1, None), (2, ""), (3, " \t\n "), (4, "one"), (5, "ONE"), (6, "é É"), (7, "x y " * 100_000), (8, "x  y\n" * 100_000), (9, "p q r"), (9, "p q r"), (10, "s t u v"), (10, "p q r"), (None, "p q r"), (None, None)]
     df = spark.createDataFrame([(k, t, 5, "z") for k, t in odd], "doc_id long, text string, N_shingles int, key string")
