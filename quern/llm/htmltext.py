@@ -25,12 +25,16 @@ from quern.llm.common import sampled, with_python_columns
 
 #: Elements that only style text, those without an end tag, and those whose content is never shown as text.
 INLINE = set("a abbr acronym b bdi bdo big br cite code data dfn em font i img ins del kbd mark q s samp small span strike strong sub sup time tt u var wbr".split())
+#: MathML is text of its line.
+INLINE |= set("math semantics mrow mi mn mo ms mtext mspace mfrac msqrt mroot mstyle merror mpadded mphantom msub msup msubsup munder mover munderover mmultiscripts mprescripts mtable mtr mtd".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = set("script style template noscript title textarea select option iframe object svg math canvas audio video".split())
+HIDDEN = set("script style template noscript title textarea select option iframe object svg canvas audio video annotation annotation-xml".split())
+#: Hidden elements of which, without an end tag, only the tag is dropped.
+ENDED = {n: regex.compile(rf"</{n}\s*>", regex.IGNORECASE) for n in "select object svg canvas audio video annotation annotation-xml".split()}
 
 TOKEN = regex.compile(
     r"<!--.*?(?:-->|$)"
-    r"|<(?P<raw>script|style|template|noscript|title|textarea|select|iframe|object|svg|math|canvas|audio|video)\b[^>]*+>.*?(?:</(?P=raw)\s*>|$)"
+    r"|<(?P<raw>script|style|template|noscript|title|textarea|iframe)(?=[\s/>])[^>]*+>.*?(?:</(?P=raw)\s*>|$)"
     r"""|<(?P<end>/?)(?P<name>[a-z][^\s/>]*)(?P<rest>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
     r"|<(?P<end2>/?)(?P<name2>[a-z][^\s/>]*)(?P<rest2>[^>]*+)>"
     r"|<[!?/][^>]*+>",
@@ -76,7 +80,8 @@ def blocks(page: str) -> list[tuple[tuple[tuple[str, ...], ...], str, int]]:
         linked = 0
 
     at = 0
-    for m in TOKEN.finditer(page):
+    endless: set[str] = set()
+    while m := TOKEN.search(page, at):
         if m.start() > at:
             piece = page[at : m.start()]
             pieces.append(piece)
@@ -87,6 +92,13 @@ def blocks(page: str) -> list[tuple[tuple[tuple[str, ...], ...], str, int]]:
         if not name or name in HIDDEN:
             if m["raw"]:
                 flush()
+            elif name in ENDED and name not in endless and not (m["end"] or m["end2"]) and not (name == "svg" and (m["rest"] or m["rest2"] or "").endswith("/")):
+                closed = ENDED[name].search(page, at)
+                if closed:
+                    flush()
+                    at = closed.end()
+                else:
+                    endless.add(name)
             continue
         end = m["end"] or m["end2"]
         if name == "a":

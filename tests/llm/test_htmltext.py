@@ -73,3 +73,14 @@ def test_gradients():
         down = loss()
         m.w[k][at] += 1e-3
         assert abs((up - down) / 2e-3 - grads[k][at]) < 2e-3
+
+
+@pytest.mark.parametrize("tag", ['<svg class="i"/>', '<video-js id="v"></video-js>', "<audio-player>", "<template-x>", "<video src=v>", "<select>", "<svg><path d='M0'/></svg>", "<object data=o>no</object>", "<svg/><svg/>"])
+def test_hidden_elements_end(tag):
+    text = " ".join(t for _, t, _ in htmltext.blocks(f"<p>a</p>{tag}<p>rest</p>"))
+    assert text == "a rest"
+
+
+def test_math_is_text():
+    got = htmltext.blocks("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>tex</annotation></math> holds</p><script>no</script>")
+    assert "".join(t for _, t, _ in got).replace(" ", "") == "sox=2holds"
