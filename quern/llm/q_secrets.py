@@ -11,7 +11,7 @@ from quern.llm.common import table
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The secret itself is given as its digest."""
-    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = secrets.occurrences(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "start", "length", F.sha2("secret", 256).alias("secret_sha256"), "score", "is_secret")
 
 

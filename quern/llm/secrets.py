@@ -28,14 +28,20 @@ REDACTED = "[REDACTED]"
 
 
 def findings(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, start, candidate, before, after): each distinct candidate of a text, where it first stands, and what is beside it."""
-    t, at = F.col("text"), F.instr(F.col("text"), F.col("candidate"))
+    """(key, doc, first, start, candidate, before, after): each place of each candidate of a text, and what is beside it.
+
+    ``doc`` is a digest of the text, ``first`` whether the candidate stands in it there for the first time.
+    """
+    t, found = F.col("text"), F.col("found")
     base = docs.select(F.col(quoted(key)).alias("key"), F.col(quoted(text)).alias("text")).where(t.rlike(CANDIDATE))
-    each = base.select("key", "text", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)))).alias("candidate"))
-    begun = each.withColumn("start", at)
+    parts = base.withColumn("doc", F.md5("text")).withColumn("found", F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0))).withColumn("between", F.transform(F.split("text", CANDIDATE, -1), F.length))
+    each = parts.select("key", "doc", "text", "found", "between", F.posexplode("found").alias("at", "candidate"))
+    total = lambda lengths: F.aggregate(lengths, F.lit(0), lambda acc, n: acc + n)
+    start = total(F.slice("between", F.lit(1), F.col("at") + 1)) + total(F.transform(F.slice(found, F.lit(1), F.col("at")), F.length)) + 1
+    begun = each.select("key", "doc", "text", "candidate", (F.array_position(found, F.col("candidate")) == F.col("at") + 1).alias("first"), start.alias("start"))
     before = F.substring(t, F.greatest(F.lit(1), F.col("start") - 40), F.least(F.lit(40), F.col("start") - 1))
     after = F.substring(t, F.col("start") + F.length("candidate"), F.lit(16))
-    return begun.select("key", F.col("start").cast("long").alias("start"), "candidate", before.alias("before"), after.alias("after"))
+    return begun.select("key", "doc", "first", F.col("start").cast("long").alias("start"), "candidate", before.alias("before"), after.alias("after"))
 
 
 def pieces(candidate: Column) -> Column:
@@ -128,21 +134,33 @@ def train(labelled: DataFrame, trees: int = 40, depth: int = 8) -> PipelineModel
     return Pipeline(stages=[VectorAssembler(inputCols=FEATURES, outputCol="features"), forest]).fit(labelled)
 
 
-def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", labelled: DataFrame | None = None, threshold: float = 0.5) -> DataFrame:
-    """(key, start, length, secret, score, is_secret): each distinct candidate of each row's whole text.
-
-    ``start`` counts characters from 1; ``score`` is the forest's vote. ``labelled`` has candidate, before,
-    after and label (without it, findings are generated). Null and empty texts have no candidates; a
-    null key is kept; rows that repeat give repeated findings. Other columns are not looked at.
-    """
+def rated(docs: DataFrame, key: str, text: str, labelled: DataFrame | None) -> DataFrame:
+    """The findings with ``score``, the forest's vote on each by its own neighbours."""
     found = findings(docs, key, text)
     known = generated(docs.sparkSession, docs, text) if labelled is None else labelled.select("candidate", "before", "after", F.col("label").cast("double").alias("label"))
     both = stored(found.select("candidate").union(known.select("candidate")).distinct(), "candidates")
     words = stored(covered(both, docs, text), "covered")
     model = train(measured(known.join(words, "candidate", "left")))
-    rated = model.transform(measured(found.join(words, "candidate", "left")))
-    score = vector_to_array("probability")[1]
-    return rated.select(F.col("key").alias(key), "start", F.length("candidate").alias("length"), F.col("candidate").alias("secret"), score.alias("score"), (score >= threshold).alias("is_secret"))
+    return model.transform(measured(found.join(words, "candidate", "left"))).select("key", "doc", "first", "start", "candidate", vector_to_array("probability")[1].alias("score"))
+
+
+def occurrences(docs: DataFrame, key: str = "doc_id", text: str = "text", labelled: DataFrame | None = None, threshold: float = 0.5) -> DataFrame:
+    """(key, start, length, secret, score, is_secret): each place of each candidate of each row's whole text, rated by what is beside it there."""
+    score = F.col("score")
+    return rated(docs, key, text, labelled).select(F.col("key").alias(key), "start", F.length("candidate").alias("length"), F.col("candidate").alias("secret"), "score", (score >= threshold).alias("is_secret"))
+
+
+def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", labelled: DataFrame | None = None, threshold: float = 0.5) -> DataFrame:
+    """(key, start, length, secret, score, is_secret): each distinct candidate of each row's whole text.
+
+    ``start`` counts characters from 1 and is the first place; ``score`` is the forest's highest vote over all
+    places of the candidate in the text. ``labelled`` has candidate, before, after and label (without it,
+    findings are generated). Null and empty texts have no candidates; a null key is kept; rows that
+    repeat give repeated findings. Other columns are not looked at.
+    """
+    highest = rated(docs, key, text, labelled).groupBy("key", "doc", "candidate").agg(F.min("start").alias("start"), F.max("score").alias("score"), F.count_if("first").alias("times"))
+    each = highest.select("key", "start", "candidate", "score", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("copy"))
+    return each.select(F.col("key").alias(key), "start", F.length("candidate").alias("length"), F.col("candidate").alias("secret"), "score", (F.col("score") >= threshold).alias("is_secret"))
 
 
 def redacted(docs: DataFrame, key: str = "doc_id", text: str = "text", n_chars: str | None = "n_chars") -> DataFrame:

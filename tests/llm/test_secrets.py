@@ -70,3 +70,12 @@ def test_held_out_findings(spark, docs):
 
 def test_empty(spark, docs):
     assert secrets.scan(docs.limit(0)).count() == 0 and secrets.redacted(docs.limit(0)).count() == 0
+
+
+def test_every_place_is_rated(spark):
+    text = f'x{HEX} é commit {HEX} fixed the garden, set token = "{HEX}" and go'
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    labelled = spark.createDataFrame([(HEX, "fixed by commit ", " ", 0)] * 20 + [(HEX, 'set token = "', '" ', 1)] * 20, "candidate string, before string, after string, label int")
+    got = sorted((r.start, r.is_secret) for r in secrets.occurrences(docs, labelled=labelled).where(F.col("secret") == HEX).collect())
+    assert got == [(m.start() + 1, text[m.start() - 1] == '"') for m in re.finditer(rf"(?<!x){HEX}", text)]
+    assert [r.is_secret for r in secrets.scan(docs, labelled=labelled).where(F.col("secret") == HEX).collect()] == [True]
