@@ -27,8 +27,8 @@ from pyspark.sql import types as T
 
 from quern.llm.common import with_python_columns
 
-#: Entries of pieces in each of a worker's two generations, and of token pairs before it starts anew.
-MEMO, PAIRS = 1 << 17, 1 << 18
+#: Entries of pieces in each of a worker's two generations, and of token pairs before it starts anew: some 50 MB in all.
+MEMO, PAIRS = 1 << 16, 1 << 17
 
 
 def read_ranks(path: str) -> bytes:
@@ -152,7 +152,7 @@ def encode(df: DataFrame, ranks_path: str, text: str = "text", ids: str = "token
         one = coder(shared.value, pattern)
 
         def step(columns):
-            made = [one.encode(t or "") for t in columns[0].to_pylist()]
+            made = [one.encode(t.as_py() or "") for t in columns[0]]
             return pa.array(made, pa.binary()), pa.array([len(x) // 4 for x in made], pa.int64())
 
         return step
@@ -182,9 +182,11 @@ def round_trip(df: DataFrame, ranks_path: str, text: str = "text", ids: str = "t
         one = coder(shared.value, pattern)
 
         def step(columns):
-            texts = [t or "" for t in columns[0].to_pylist()]
-            made = [one.encode(t) for t in texts]
-            again = [one.decode(x) == t.encode() for x, t in zip(made, texts, strict=True)]
+            made, again = [], []
+            for t in columns[0]:
+                text = t.as_py() or ""
+                made.append(one.encode(text))
+                again.append(one.decode(made[-1]) == text.encode())
             return pa.array(made, pa.binary()), pa.array([len(x) // 4 for x in made], pa.int64()), pa.array(again, pa.bool_())
 
         return step

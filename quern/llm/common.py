@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -15,6 +16,8 @@ from pyspark.sql import types as T
 SLICE_BYTES = 4 << 20
 #: Rows in a batch between Spark and a Python worker, unless the session asks for fewer: documents are long.
 BATCH_ROWS = 1_000
+#: Bytes in such a batch; a single longer row still goes whole.
+BATCH_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,9 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a temporary one only where none is configured (local tests)."""
+    """The folder all executors share; a temporary one only where none is configured and Spark runs in one process (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="quern-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -54,6 +59,14 @@ def without(df: DataFrame, *names: str) -> list[str]:
     return [c for c in df.columns if c.lower() not in taken]
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -75,10 +88,16 @@ def sampled(df: DataFrame, key: str, bound: int) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Hold the session to batches that keep a worker's memory low with long rows."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
-        spark.conf.set(name, BATCH_ROWS)
+    """Hold the session to batches that keep a worker's memory low with long rows, by rows and by bytes.
+
+    Spark reads these settings when a job starts, not when its plan is made, so they stay set in the session;
+    smaller values that it already has are kept.
+    """
+    rows, size = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, BATCH_ROWS)
+    if not 0 < spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(size)) <= BATCH_BYTES:
+        spark.conf.set(size, BATCH_BYTES)
 
 
 def slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -5,14 +5,15 @@ the smallest key stands for all. One-permutation hashing cuts the hash range int
 bin's smallest value; empty bins borrow from a full one that a hash chooses (optimal densification). Runs
 of bins make the bands; classes that share a band meet in a bucket.
 
-Within a bucket, every member gets an edge to the bucket's hub, the member that shares most buckets with
-most others. The members of a bucket of up to ``ALL_PAIRS`` are all compared with each other; in a larger
-one, whose pairs would grow with its square, each is also compared with its neighbours in the order of
-the signatures that follow the band, where like documents stand together. All edges are confirmed on
-the full sets, and components are formed of the links. Members of a larger bucket that stand apart from
-its commonest component then become hubs in their turn, four times as many in each round, and are
-compared with all members of other components in their buckets, until every bucket is either of one
-component or wholly compared. So no link between members of a bucket is lost.
+The members of a bucket of up to ``ALL_PAIRS`` are all compared with each other. In a larger one, whose pairs
+would grow with its square, each is compared with the bucket's hub, the member that shares most buckets
+with most others: star-shaped edges. Where that leaves a bucket with several components, the members
+outside its commonest one are compared with all members of other components. All comparisons are of full
+sets, so no link between two members of a bucket is lost, and pairs that the components already join are
+never looked at.
+
+Comparisons are made in blocks of a bounded number of bytes: a bucket of any size is dealt out over as many
+groups as it takes, and only links leave a group, never its pairs.
 """
 
 from __future__ import annotations
@@ -27,18 +28,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quern.llm.common import discard, quoted, stored, with_python_columns
+from quern.llm.common import discard, fresh, quoted, stored, with_python_columns
 from quern.llm.words import Hashes, mixed
 
 #: Bands and bins in each. At a similarity of 0.8 a pair misses all 32 bands of 5 with probability 3e-6.
 BANDS, ROWS = 32, 5
 BINS = BANDS * ROWS
-#: Members of a bucket up to which all pairs are compared; neighbours compared in larger ones.
-ALL_PAIRS, NEIGHBOURS = 12, 3
-#: Hubs that a larger bucket gets in the first round after that, and how many times as many in each further one.
-HUBS, MORE_HUBS = 8, 4
-#: Bytes of the signature that order a larger bucket, and those that part it.
-ORDER_BYTES, PART_BYTES = 24, 6
+#: Members of a bucket up to which all pairs are compared.
+ALL_PAIRS = 12
+#: Entries of sets (of 8 bytes) in a block of members, and in one of those that each member is compared with.
+BLOCK, OUTSIDE_BLOCK = 1 << 19, 1 << 17
+#: Parts into which the rows of a node or class are dealt for joins.
+SALTS = 8
 #: A list of candidates' keys that is broadcast to a scan has no more entries than this.
 BROADCAST_KEYS = 1_000_000
 
@@ -96,126 +97,181 @@ def band_keys(values: np.ndarray) -> np.ndarray:
 
 
 def sketched(docs: DataFrame, size: int) -> DataFrame:
-    """(key, text) to (key, n, same, bands, marks): set size, a 128-bit hash of the set, band keys and two
-    bytes of each bin (none of both for an empty set)."""
+    """(key, text) to (key, n, same, bands): set size, a 128-bit hash of the set, and band keys (none for an empty set)."""
 
     def make() -> Callable:
         hashes = Hashes()
 
         def step(columns):
             sets = [shingles(t, hashes, size) for t in columns[0].to_pylist()]
-            signs = [signature(s) if len(s) else None for s in sets]
-            keys = [np.zeros(0, dtype=np.int64) if v is None else band_keys(v).view(np.int64) for v in signs]
+            keys = [band_keys(signature(s)).view(np.int64) if len(s) else np.zeros(0, dtype=np.int64) for s in sets]
             offsets = np.cumsum([0, *map(len, keys)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(keys) if keys else np.zeros(0, dtype=np.int64)))
-            marks = [b"" if v is None else (v & np.uint64(0xFFFF)).astype("<u2").tobytes() for v in signs]
-            return pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), lists, pa.array(marks, pa.binary())
+            digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
+            return pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), lists
 
         return step
 
-    fields = [T.StructField("n", T.LongType()), T.StructField("same", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("marks", T.BinaryType())]
+    fields = [T.StructField("n", T.LongType()), T.StructField("same", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))]
     return with_python_columns(docs, ["text"], fields, make, drop=("text",))
 
 
 def with_sets(docs: DataFrame, size: int) -> DataFrame:
-    """(key, text) to (key, sets, n): the full set, packed, and its size."""
+    """(key, text) to (key, sets): the full set, packed."""
 
     def make() -> Callable:
         hashes = Hashes()
         return lambda columns: [pa.array([shingles(t, hashes, size).tobytes() for t in columns[0].to_pylist()], pa.binary())]
 
     made = with_python_columns(docs, ["text"], [T.StructField("sets", T.BinaryType())], make, drop=("text",))
-    return made.where(F.octet_length("sets") > 0).withColumn("n", F.octet_length("sets") / 8)
+    return made.where(F.octet_length("sets") > 0)
 
 
-def confirmed(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The edges (a, b) with 100 * intersection >= percent * union of the full sets."""
-    one = edges.join(sets.select(F.col("key").alias("b"), F.col("sets").alias("sb"), F.col("n").alias("nb")), "b")
-    both = one.join(sets.select(F.col("key").alias("a"), F.col("sets").alias("sa"), F.col("n").alias("na")), "a")
-    near = both.where((F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent))
+def alike(one: np.ndarray, sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which of the sets are at least ``percent`` like the one; all are sorted."""
+    flat, sizes = np.concatenate(sets), np.array([len(s) for s in sets])
+    place = np.minimum(np.searchsorted(one, flat), len(one) - 1)
+    common = np.add.reduceat(one[place] == flat, np.cumsum(sizes) - sizes, dtype=np.int64)
+    return 100 * common >= percent * (sizes + len(one) - common)
 
-    def make() -> Callable:
-        def linked(x: bytes, y: bytes) -> bool:
-            p, q = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-            common = len(np.intersect1d(p, q, assume_unique=True))
-            return 100 * common >= percent * (len(p) + len(q) - common)
 
-        return lambda columns: [pa.array([linked(x, y) for x, y in zip(columns[0].to_pylist(), columns[1].to_pylist(), strict=True)], pa.bool_())]
+class Block:
+    """Some sets, and many others to compare them with one by one, as places in what they hold in common."""
+
+    def __init__(self, rows: pa.Table, others: pa.Table) -> None:
+        packed = [*rows.column("sets").to_pylist(), *others.column("own").to_pylist()]
+        sets = [np.frombuffer(x, dtype=np.uint64) for x in packed]
+        self.vocabulary, places = np.unique(np.concatenate(sets), return_inverse=True)
+        cut = np.cumsum([0, *map(len, sets)])
+        n = rows.num_rows
+        self.sizes, self.starts, self.entries = np.diff(cut[: n + 1]), cut[:n], places[: cut[n]]
+        self.others = [places[i:j] for i, j in zip(cut[n:], cut[n + 1 :], strict=False)]
+        self.flags = np.zeros(len(self.vocabulary), dtype=np.uint8)
+
+    def linked(self, k: int, percent: int) -> np.ndarray:
+        """Which of the block's sets are at least ``percent`` like the k-th other one."""
+        own = self.others[k]
+        self.flags[own] = 1
+        common = np.add.reduceat(self.flags[self.entries], self.starts, dtype=np.int64)
+        self.flags[own] = 0
+        return 100 * common >= percent * (self.sizes + len(own) - common)
 
-    checked = with_python_columns(near.select("a", "b", "sa", "sb"), ["sa", "sb"], [T.StructField("linked", T.BooleanType())], make, drop=("sa", "sb"))
-    return checked.where("linked").select("a", "b")
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) among pairs (hub, member, parts, n) by their full sets.
+
+    ``parts``: into how many the members of the hub's largest bucket are dealt; ``n``: the member's set size.
+    """
+    total = pairs.agg(F.sum("n")).first()[0] or 0
+    groups = max(1, -(-total // BLOCK))
+    dealt = pairs.withColumn("part", F.pmod(F.xxhash64("member"), F.col("parts")))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("hub", "part"), F.lit(groups)))
+    members = dealt.join(sets.select(F.col("key").alias("member"), "sets"), "member").select(F.col("block").alias("its_block"), F.col("hub").alias("its_hub"), "member", "sets")
+    hubs = dealt.select("block", "hub").distinct().join(sets.select(F.col("key").alias("hub"), F.col("sets").alias("own")), "hub").select("block", "hub", "own")
+
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        hub, member = [], []
+        if left.num_rows and right.num_rows:
+            right = right.sort_by("its_hub")
+            owners, keys = right.column("its_hub").to_numpy(), right.column("member").to_numpy()
+            sets = [np.frombuffer(x, dtype=np.uint64) for x in right.column("sets").to_pylist()]
+            for key, raw in zip(left.column("hub").to_pylist(), left.column("own").to_pylist(), strict=True):
+                i, j = np.searchsorted(owners, [key, key + 1])
+                if i < j:
+                    near = keys[i:j][alike(np.frombuffer(raw, dtype=np.uint64), sets[i:j], percent)]
+                    hub.append(np.full(len(near), key))
+                    member.append(near)
+        ends = [np.concatenate(x).astype(np.int64) if x else np.zeros(0, dtype=np.int64) for x in (hub, member)]
+        return pa.table({"a": ends[0], "b": ends[1]})
+
+    return hubs.groupBy("block").cogroup(members.groupBy("its_block")).applyInArrow(compare, "a long, b long").distinct()
+
+
+def smallest(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, label): the smallest node that the links (a, b) reach from each.
 
     Alternates large-star and small-star steps: each node's larger, then smaller, neighbours are hung
-    onto its smallest one, until nothing changes. Every step is an aggregation per node, stored.
+    onto its smallest one, until nothing changes. Every step is an aggregation per node, stored. The
+    neighbours of a node are dealt out by a salt, so that one of many neighbours is not one task's.
     """
 
-    def smallest(pairs: DataFrame) -> DataFrame:
-        return pairs.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+    def state(edges: DataFrame):
+        return edges.select(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
 
+    salts = F.explode(F.array(*map(F.lit, range(SALTS)))).alias("salt")
     edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "stars")
+    before = state(edges)
     while True:
-        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = both.join(smallest(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
+        large = both.join(smallest(both).select("u", "m", salts), ["u", "salt"]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.union(edges.groupBy("u").agg(F.min("v").alias("v"))).where("u <> v").distinct()
-        low = smallest(large)
-        hung = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").where("u <> v").distinct()
+        ends = lambda x, y: F.struct(x.alias("u"), y.alias("v"))
+        hung = large.join(smallest(large), "u").select(F.explode(F.array(ends(F.col("u"), F.col("m")), ends(F.col("v"), F.col("m")))).alias("e")).select("e.*").where("u <> v").distinct()
         new = stored(hung, "stars")
-        same = new.select(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first() == edges.select(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         discard(edges)
-        edges = new
-        if same:
+        edges, last, before = new, before, state(new)
+        if before == last:
             break
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).union(edges.select(F.col("v"), F.col("v")).distinct())
 
 
-def candidates(met: DataFrame, heads: DataFrame) -> DataFrame:
-    """Distinct edges (a, b) among members (bucket, size, band, key) of buckets of two and more."""
-    pair = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
-    few = met.where(F.col("size") <= ALL_PAIRS).select("bucket", "key")
-    small = few.join(few.select("bucket", F.col("key").alias("other")), "bucket").where("key < other").select(*pair("key", "other"))
+def alike_in_size(x: str, y: str, percent: int) -> Column:
+    """Whether sets of sizes x and y can be ``percent`` alike at all."""
+    return F.least(x, y) * 100 >= F.greatest(x, y) * percent
+
+
+def candidates(met: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (hub, member, parts, n) among members (bucket, key, n, size, mass) of buckets of two and more."""
+    few = met.where(F.col("size") <= ALL_PAIRS).select("bucket", "key", "n")
+    small = few.join(few.select("bucket", F.col("key").alias("member"), F.col("n").alias("its")), "bucket").where(F.col("key") < F.col("member"))
+    small = small.where(alike_in_size("n", "its", percent)).select(F.col("key").alias("hub"), "member", F.lit(1).alias("parts"), F.col("its").alias("n"))
     many = met.where(F.col("size") > ALL_PAIRS)
     weight = many.groupBy("key").agg(F.sum("size").alias("weight"))
-    ordered = many.join(weight, "key").join(heads.select("key", "marks"), "key")
-    place = (F.col("band") + 1) * ROWS * 2 + 1
-    ordered = stored(ordered.select("bucket", "key", "weight", F.substring(F.concat("marks", "marks"), place, F.lit(ORDER_BYTES)).alias("order")), "ordered")
-    hubs = ordered.groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("key")).alias("minus"))).alias("top")).select("bucket", (-F.col("top.minus")).alias("hub"))
-    stars = ordered.join(hubs, "bucket").where("key <> hub").select(*pair("key", "hub"))
-    beside = Window.partitionBy("bucket", F.substring("order", 1, PART_BYTES)).orderBy("order", "key")
-    nexts = [f"next{k}" for k in range(1, NEIGHBOURS + 1)]
-    follow = ordered.withColumns({n: F.lead("key", k).over(beside) for k, n in enumerate(nexts, 1)})
-    near = follow.select("key", F.explode(F.array(*nexts)).alias("other")).where("other is not null").select(*pair("key", "other"))
-    return small.union(stars).union(near).where("a <> b").distinct()
-
-
-def apart(members: DataFrame, links: DataFrame) -> DataFrame:
-    """Members (bucket, key, n, bands) of buckets of several components, with ``label``, how many of the bucket ``share`` it, and the commonest as ``main``."""
-    found = components(links).select(F.col("node").alias("key"), "label")
-    named = stored(members.join(found, "key", "left").withColumn("label", F.coalesce("label", "key")), "named")
-    per = named.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("share"))
-    main = per.groupBy("bucket").agg(F.max(F.struct("share", "label")).alias("top"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
-    several = stored(named.join(main.select("bucket", F.col("top.label").alias("main")), "bucket").join(per, ["bucket", "label"]), "apart")
-    discard(named)
-    return several
-
-
-def further(several: DataFrame, hubs_each: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(edges, hubs) of a round over what ``apart`` gives.
-
-    Hubs are up to ``hubs_each`` members of each bucket outside its commonest component. An edge joins a hub to
-    each member of another component in all buckets of the hub, once, in the least bucket that both share
-    (if that is a small one, they have been compared); none joins sets too unlike in size.
-    """
-    order = Window.partitionBy("bucket").orderBy(F.desc("share"), "key")
-    hubs = stored(several.where("label <> main").select("bucket", "key", "share").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= hubs_each).select("key").distinct(), "hubs")
-    ends = several.join(hubs, "key").select("bucket", F.col("key").alias("hub"), F.col("n").alias("hub_n"), F.col("label").alias("hub_label"), F.col("bands").alias("hub_bands"))
-    met = several.select("bucket", "key", "n", "label", "bands").join(ends, "bucket").where("label <> hub_label")
-    alike = met.where(F.least("n", "hub_n") * 100 >= F.greatest("n", "hub_n") * percent)
-    once = alike.where(F.array_min(F.array_intersect("bands", "hub_bands")) == F.col("bucket"))
-    return once.select(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b")).distinct(), hubs
+    weighed = stored(many.join(weight, "key"), "weighed")
+    top = weighed.groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("key")).alias("minus"), F.col("n").alias("n"))).alias("top"))
+    hubs = stored(top.select("bucket", (-F.col("top.minus")).alias("hub"), F.col("top.n").alias("its")), "hubs")
+    stars = weighed.join(hubs, "bucket").where("key <> hub").where(alike_in_size("n", "its", percent))
+    stars = stars.select("hub", F.col("key").alias("member"), F.ceil(F.col("mass") / BLOCK).cast("int").alias("parts"), "n")
+    return small.union(stars).groupBy("hub", "member").agg(F.max("parts").alias("parts"), F.max("n").alias("n"))
+
+
+def apart(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Members (bucket, key, n) of buckets of several components, with ``label``, whether they stand ``out`` of
+    the bucket's commonest component, and the parts into which the bucket's members and those out are dealt."""
+    labels = found.select(F.col("node").alias("key"), "label")
+    named = stored(members.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key")), "named")
+    per = named.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("share"), F.sum("n").alias("mass"))
+    main = per.groupBy("bucket").agg(F.max(F.struct("share", "label", "mass")).alias("top"), F.count(F.lit(1)).alias("labels"), F.sum("mass").alias("mass")).where("labels > 1")
+    sizes = main.select("bucket", F.col("top.label").alias("main"), F.ceil(F.col("mass") / BLOCK).cast("int").alias("parts"), F.ceil((F.col("mass") - F.col("top.mass")) / OUTSIDE_BLOCK).cast("int").alias("out_parts"))
+    several = named.join(stored(sizes, "sizes"), "bucket").select("bucket", "key", "label", (F.col("label") != F.col("main")).alias("out"), "parts", "out_parts")
+    return stored(several, "apart")
+
+
+def further(several: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between members of different components in the buckets that ``apart`` gives, one for each member outside and other component."""
+    own, out = F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"), F.pmod(F.xxhash64("key", F.lit("out")), F.col("out_parts")).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    right = several.select("bucket", "key", "label", own.alias("part"), every("out_parts").alias("turn")).join(sets, "key")
+    asked = several.where("out").select(F.col("bucket").alias("its_bucket"), F.col("key").alias("one"), F.col("label").alias("its"), every("parts").alias("its_part"), out.alias("its_turn"))
+    left = asked.join(sets.select(F.col("key").alias("one"), F.col("sets").alias("own")), "one")
+
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        a, b = [], []
+        if left.num_rows and right.num_rows:
+            block = Block(right, left)
+            keys, labels = right.column("key").to_numpy(), right.column("label").to_numpy()
+            for k, (key, label) in enumerate(zip(left.column("one").to_pylist(), left.column("its").to_pylist(), strict=True)):
+                near = np.flatnonzero(block.linked(k, percent) & (labels != label))
+                near = near[np.unique(labels[near], return_index=True)[1]]
+                a += [key] * len(near)
+                b += keys[near].tolist()
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return left.groupBy("its_bucket", "its_part", "its_turn").cogroup(right.groupBy("bucket", "part", "turn")).applyInArrow(compare, "a long, b long").distinct()
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 2, percent: int = 80) -> DataFrame:
@@ -224,64 +280,77 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", size
     Words are runs of bytes without ASCII white space, A-Z lower-cased; a set holds the distinct shingles of
     ``size`` words, or the whole sequence of a shorter text. Documents are linked from ``percent`` of
     similarity (intersection by union) on; ``component_id`` is the smallest key reachable, ``kept``
-    whether that is the row's own. Null, empty and word-free texts have n_shingles 0 and link with
-    nothing. Rows that repeat a key share its component; a row with a null key stands alone, its
-    component null, kept. Other columns are not returned, whatever their names.
+    whether that is the row's own. Null, empty and word-free texts have n_shingles 0, link with
+    nothing and are their own component. Rows that repeat a key with other texts link the classes of all of them; a
+    row with a null key stands alone, its component null, kept. Whole texts are read, however long. Other columns
+    are not returned, whatever their names; an empty table gives an empty one.
     """
     docs = df.select(F.col(quoted(key)).cast("long").alias("key"), F.col(quoted(text)).alias("text"))
     sketches = stored(sketched(docs, size), "sketches")
     full = sketches.where("n > 0 and key is not null")
-    classes = full.groupBy("same").agg(F.min("key").alias("head"))
-    heads = stored(classes.join(full.select("same", "key", "n", "bands", "marks"), "same").where("key = head").dropDuplicates(["key", "same"]).select("key", "n", "bands", "marks"), "heads")
-    rows = heads.select("key", F.posexplode("bands").alias("band", "bucket"))
-    shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    # equal sets have equal sizes and bands
+    heads = stored(full.groupBy("same").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("bands").alias("bands")), "heads")
+    rows = heads.select("key", "n", F.explode("bands").alias("bucket"))
+    shared = stored(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("mass")).where("size > 1"), "shared")
     met = stored(rows.join(shared, "bucket"), "met")
-    edges = stored(candidates(met, heads), "edges")
-    members = stored(met.where(F.col("size") > ALL_PAIRS).select("bucket", "key").join(heads.select("key", "n", "bands"), "key"), "members")
-    discard(met, heads)
-    wanted = edges.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    discard(shared)
+    pairs = stored(candidates(met, percent), "pairs")
+    members = met.where(F.col("size") > ALL_PAIRS).select("bucket", "key", "n")
+    wanted = pairs.select(F.explode(F.array("hub", "member")).alias("key")).union(members.select("key")).distinct()
     if wanted.count() <= BROADCAST_KEYS:
         wanted = F.broadcast(wanted)
-    sets = stored(with_sets(docs.join(wanted, "key", "left_semi"), size).dropDuplicates(["key", "sets"]), "sets")
-    links = stored(confirmed(edges, sets, percent), "links")
-    discard(edges)
-    hubs_each = HUBS
-    while not members.isEmpty():
-        several = apart(members, links)
-        if several.isEmpty():
-            discard(several)
-            break
-        edges, hubs = further(several, hubs_each, percent)
-        edges = stored(edges, "edges")
-        before, links = links, stored(links.union(confirmed(edges, sets, percent)), "links")
-        discard(before, members, edges)
-        members = stored(several.join(hubs, "key", "left_anti").select("bucket", "key", "n", "bands"), "members")
-        discard(several, hubs)
-        hubs_each *= MORE_HUBS
-    discard(sets, members)
-    return _joined(df, key, sketches, links)
-
-
-def _joined(df: DataFrame, key: str, sketches: DataFrame, links: DataFrame) -> DataFrame:
-    """Classes by equal sets, their links and repeated keys, as components of all rows."""
+    sets = stored(with_sets(docs.join(wanted, "key", "left_semi"), size).distinct(), "sets")
+    links = stored(confirmed(pairs, sets, percent).union(_repeated(sketches, heads)), "links")
+    discard(pairs)
+    found = components(links)
+    discard(links)
+    if not members.isEmpty():
+        several = apart(members, found)
+        more = stored(further(several, sets, percent), "more")
+        if not more.isEmpty():
+            found, before = components(more.union(found.select(F.col("node").alias("a"), F.col("label").alias("b")))), found
+            discard(before)
+        discard(several, more)
+    discard(met, sets)
+    return _labelled(sketches, heads, found, key)
+
+
+def _repeated(sketches: DataFrame, heads: DataFrame) -> DataFrame:
+    """Links between the classes of keys that stand with several texts."""
     full = sketches.where("n > 0 and key is not null").select("key", "same")
-    heads = full.groupBy("same").agg(F.min("key").alias("head"))
-    # a class hangs on its head; a key that repeats with other texts joins the classes of all of them
-    copies = full.join(heads, "same").where("key <> head").select(F.col("key").alias("a"), F.col("head").alias("b"))
-    found = components(copies.union(links))
-    out = sketches.select("key", F.col("n").alias("n_shingles")).join(found.withColumnRenamed("node", "key"), "key", "left")
-    component = F.coalesce("label", "key")
+    several = full.groupBy("key").agg(F.min("same").alias("x"), F.max("same").alias("y")).where("x <> y").select("key")
+    classes = full.join(several, "key").distinct().join(heads.select("same", F.col("key").alias("head")), "same")
+    return classes.select(F.col("key").alias("a"), F.col("head").alias("b")).where("a <> b")
+
+
+def _labelled(sketches: DataFrame, heads: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """Each row with its class's component. Only classes of several rows or with links are joined, dealt by a salt."""
+    salts = F.explode(F.array(*map(F.lit, range(SALTS)))).alias("salt")
+    labels = heads.select("same", "copies", F.col("key").alias("node")).join(found, "node", "left")
+    classes = labels.where("copies > 1 or label is not null").select("same", F.coalesce("label", "node").alias("label"), salts)
+    rows = sketches.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int")).drop("bands")
+    told = F.col("key").isNotNull() & (F.col("n") > 0)
+    component = F.when(told, F.coalesce("label", "key")).otherwise(F.col("key"))
     kept: Column = F.coalesce(component == F.col("key"), F.lit(True))
-    return out.select(F.col("key").alias(key), "n_shingles", component.alias("component_id"), kept.alias("kept"))
+    out = rows.join(classes, ["same", "salt"], "left")
+    return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"), kept.alias("kept"))
 
 
 def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``df`` that ``near_duplicates`` keeps; of rows that repeat a kept key, one stays."""
-    found = stored(near_duplicates(df, key, text, size, percent), "found").withColumnRenamed(key, "__key")
-    gone, again = found.where("not kept").select("__key").distinct(), found.where("__key is not null").groupBy("__key").count().where("count > 1").select("__key")
+    """The rows of ``df`` that ``near_duplicates`` keeps, with all their columns, whatever these are called.
+
+    Rows that repeat a key count as one document: of them the one with the smallest text stays (a null one
+    before all; among equal texts the rest of the row decides). Null, empty and word-free texts, and rows
+    without a key, all stay. An empty table gives an empty one.
+    """
+    name, rank = fresh(df, "key"), fresh(df, "rank")
+    found = stored(near_duplicates(df.select(key, text), key, text, size, percent), "found").withColumnRenamed(key, name)
+    gone, again = found.where("not kept").select(name).distinct(), found.where(F.col(name).isNotNull()).groupBy(name).count().where("count > 1").select(name)
     gone, again = ((F.broadcast(x) if x.count() <= BROADCAST_KEYS else x) for x in (gone, again))
-    rows = df.join(gone, df[key] == F.col("__key"), "left_anti")
+    own = F.col(quoted(key)).cast("long") == F.col(name)
+    rows = df.join(gone, own, "left_anti")
     if again.isEmpty():
         return rows
-    repeated = rows.join(again, rows[key] == F.col("__key"), "left_semi").dropDuplicates([key])
-    return rows.join(again, rows[key] == F.col("__key"), "left_anti").unionByName(repeated)
+    order = Window.partitionBy(F.col(quoted(key))).orderBy(F.col(quoted(text)), F.to_json(F.struct(*[F.col(quoted(c)) for c in df.columns])))
+    repeated = rows.join(again, own, "left_semi").withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1).drop(rank)
+    return rows.join(again, own, "left_anti").union(repeated)

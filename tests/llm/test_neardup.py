@@ -77,6 +77,46 @@ def test_large_bucket_is_wholly_compared(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in got} == want and len(set(want.values())) == 25
 
 
+def test_group_around_a_middle(spark, monkeypatch):
+    """2,000 near copies of one text, many of them unlike each other and some unlike the middle, in small blocks."""
+    monkeypatch.setattr(neardup, "BLOCK", 1 << 13)
+    monkeypatch.setattr(neardup, "OUTSIDE_BLOCK", 1 << 11)
+    rng = random.Random(9)
+    pool = [f"p{i}" for i in range(40)]
+    middle = [f"m{i}" for i in range(100)]
+    texts = []
+    for _ in range(2_000):
+        words = list(middle)
+        for _ in range(rng.randrange(3, 10)):
+            words[rng.randrange(100)] = rng.choice(pool)
+        texts.append(words)
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    hashes = Hashes()
+    sets = [neardup.shingles(t, hashes) for _, t in rows]
+    words = np.unique(np.concatenate(sets))
+    has = np.zeros((len(rows), len(words)), dtype=np.float32)
+    for k, own in enumerate(sets):
+        has[k, np.searchsorted(words, own)] = 1
+    common, sizes = has @ has.T, has.sum(axis=1)
+    near = 100 * common >= 80 * (sizes[:, None] + sizes[None, :] - common)
+    want = np.arange(len(rows))
+    while True:
+        new = np.array([want[n].min() for n in near])
+        if (new == want).all():
+            break
+        want = new
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()}
+    assert got == dict(enumerate(want.tolist())) and 1 < len(set(got.values())) < 2_000
+
+
+def test_rows_of_one_key(spark):
+    rows = [(1, "b c d", 1, 2, 3), (1, "a c d", 4, 5, 6), (1, "a c d", 0, 5, 6), (2, None, 7, 8, 9), (2, "", 7, 8, 9), (3, "x y z", 7, 8, 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __key int, key int, `rank` int")
+    left = neardup.deduplicated(df, size=2)
+    assert left.columns == df.columns
+    assert sorted((r.doc_id, r.text or "", r[2]) for r in left.collect()) == [(1, "a c d", 0), (2, "", 7), (3, "x y z", 7)]
+
+
 def test_odd_rows(spark):
     odd = [(1, None), (2, ""), (3, " \t\n "), (4, "one"), (5, "ONE"), (6, "é É"), (7, "x y " * 100_000), (8, "x  y\n" * 100_000), (9, "p q r"), (9, "p q r"), (10, "s t u v"), (10, "p q r"), (None, "p q r"), (None, None)]
     df = spark.createDataFrame([(k, t, 5, "z") for k, t in odd], "doc_id long, text string, N_shingles int, key string")
