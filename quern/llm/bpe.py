@@ -6,8 +6,9 @@ the vocabulary finds the longest token that starts at each place. From left to r
 takes the longest token that is compatible with the one before it, goes on to the next shorter
 prefix if it is not, and steps back if none is left; a place from which it stepped back is never
 entered again, so the work is linear in the piece. Two tokens are compatible if merging their joined
-bytes gives just these two; this answer is remembered. A sequence whose neighbours are all compatible
-is the result of the merges themselves.
+bytes gives just these two: undoing their last merges, the later one first, no two parts that meet at
+the border may have been able to merge before; the answer is remembered. A sequence whose neighbours
+are all compatible is the result of the merges themselves.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import types as T
 from quern.llm.common import with_python_columns
 
 #: Entries of pieces in each of a worker's two generations, and of token pairs before it starts anew: some 50 MB in all.
-MEMO, PAIRS = 1 << 16, 1 << 17
+MEMO, PAIRS = 1 << 17, 1 << 18
 
 
 def read_ranks(path: str) -> bytes:
@@ -37,10 +38,10 @@ def read_ranks(path: str) -> bytes:
         return f.read()
 
 
-def merged(text: str, ranks: dict[str, int]) -> list[str]:
-    """The merges as defined: join the adjacent pair of lowest rank, leftmost first, while there is one."""
+def merged(text: str, ranks: dict[str, int], until: int = 1) -> list[str]:
+    """The merges as defined: join the adjacent pair of lowest rank, leftmost first, while there is one and more than ``until`` parts."""
     parts = list(text)
-    while len(parts) > 1:
+    while len(parts) > until:
         best = min(range(len(parts) - 1), key=lambda i: ranks.get(parts[i] + parts[i + 1], len(ranks) * 2))
         if parts[best] + parts[best + 1] not in ranks:
             break
@@ -62,13 +63,16 @@ class Coder:
         self.older: dict[str, bytes] = {}
         self.fits: dict[tuple[str, str], bool] = {}
         self.shorter: dict[str, str | None] = {}
+        self.halves: dict[str, list[str]] = {}
 
     def build(self) -> None:
         """The automaton holds the tokens that merging can end in; others only match a whole piece."""
         self.automaton = ahocorasick.Automaton()
         for token in self.ranks:
-            if len(merged(token, self.ranks)) == 1:
-                self.automaton.add_word(token, token)
+            parts = merged(token, self.ranks, until=2)
+            if len(parts) <= 2:
+                self.automaton.add_word(token, (len(token) - 1, token))
+                self.halves[token] = parts
         self.automaton.make_automaton()
 
     def compatible(self, left: str, right: str) -> bool:
@@ -76,9 +80,25 @@ class Coder:
         if answer is None:
             if len(self.fits) >= PAIRS:
                 self.fits.clear()
-            answer = self.fits[left, right] = merged(left + right, self.ranks) == [left, right]
+            answer = self.fits[left, right] = self.stays_apart(left, right)
         return answer
 
+    def stays_apart(self, left: str, right: str) -> bool:
+        """Whether merging the joined bytes of two tokens gives just these two."""
+        ranks, bound = self.ranks, len(self.ranks) << 32
+        while True:
+            joined = ranks.get(left + right)
+            if joined is not None and joined < bound:
+                return False
+            a, b = ranks[left], ranks[right]
+            if len(left) > 1 and (a > b or len(right) == 1):
+                # what joins leftmost first may be as late as the left token's merge, but not the right one's
+                left, bound = self.halves[left][-1], a
+            elif len(right) > 1:
+                right, bound = self.halves[right][0], b + 1
+            else:
+                return True
+
     def next_shorter(self, token: str) -> str | None:
         if token not in self.shorter:
             self.shorter[token] = next((token[:k] for k in range(len(token) - 1, 0, -1) if token[:k] in self.automaton), None)
@@ -91,10 +111,8 @@ class Coder:
         if self.automaton is None:
             self.build()
         longest: list[str | None] = [None] * len(piece)
-        for end, token in self.automaton.iter(piece):
-            start = end + 1 - len(token)
-            if longest[start] is None or len(token) > len(longest[start]):
-                longest[start] = token
+        for end, (back, token) in self.automaton.iter(piece):  # by their ends, so that longer ones come later
+            longest[end - back] = token
         left_behind = bytearray(len(piece) + 1)
         taken: list[str] = []
         at, token = 0, longest[0]

@@ -30,6 +30,19 @@ def test_coder_equals_library(reference):
         assert one.decode(np.array(ids, dtype="<u4").tobytes()) == text.encode()
 
 
+def test_neighbours_stay_apart_as_the_merges_say():
+    one = bpe.coder(bpe.read_ranks(PATH), P.PATTERN)
+    one.build()
+    rng = np.random.default_rng(2)
+    tokens = list(one.halves)
+    for k in rng.integers(0, len(tokens), 4_000):
+        cut = int(rng.integers(1, len(tokens[k]) + 1))
+        other = tokens[int(rng.integers(0, len(tokens)))]
+        for a, b in ((tokens[k][:cut], tokens[k][cut:]), (tokens[k], other), (tokens[k][cut:] or "a", other)):
+            if a in one.halves and b in one.halves:
+                assert one.stays_apart(a, b) == (bpe.merged(a + b, one.ranks) == [a, b])
+
+
 def test_operator_keeps_rows_and_other_columns(spark, reference):
     rows = [(i, t, "x", "clash") for i, t in enumerate(TEXTS)]
     df = spark.createDataFrame(rows, "doc_id long, text string, `a.b` string, N_Tokens string")
