@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quern.llm.common import quoted, with_python_columns
+from quern.llm.common import fresh, quoted, stored, with_python_columns, without
 
 WORDS = regex.compile(r"[\p{L}\p{N}]+").findall
 #: Characters of test items in one automaton; more items are worked off in several passes over the documents.
@@ -67,16 +67,16 @@ def pieces(item: str, errors: int) -> list[tuple[int, str]]:
 
 
 class Matcher:
-    """The pieces of some test items, ready to be found."""
+    """The pieces of some test items, ready to be found. Short items are one piece, with a space on either side."""
 
     def __init__(self, items: list[tuple[int, str]], share: float, shortest: int) -> None:
-        self.items = [(k, t, int(len(t) * share)) for k, t in items]
+        known = [(k, t, int(len(t) * share)) if len(t) >= shortest else (k, f" {t} ", 0) for k, t in items if t]
+        self.items = known
         self.automaton = ahocorasick.Automaton()
         owners: dict[str, list[tuple[int, int]]] = {}
         for i, (_, text, errors) in enumerate(self.items):
-            if len(text) >= shortest:
-                for at, piece in pieces(text, errors):
-                    owners.setdefault(piece, []).append((i, at))
+            for at, piece in pieces(text, errors):
+                owners.setdefault(piece, []).append((i, at))
         for piece, where in owners.items():
             self.automaton.add_word(piece, (len(piece), where))
         if owners:
@@ -90,12 +90,14 @@ class Matcher:
         """
         if self.empty or not text:
             return []
+        text = f" {text} "
         windows: dict[int, list[list[int]]] = {}
         for end, (length, where) in self.automaton.iter(text):
             for i, at in where:
                 _, item, errors = self.items[i]
                 start = end + 1 - length - at
-                lo, hi = max(0, start - errors), min(len(text), start + len(item) + errors)
+                # only short items may take in the spaces put around the text
+                lo, hi = (start, start + len(item)) if item[0] == " " else (max(1, start - errors), min(len(text) - 1, start + len(item) + errors))
                 own = windows.setdefault(i, [])
                 if own and lo <= own[-1][1] and hi >= own[-1][0]:
                     own[-1][0], own[-1][1] = min(lo, own[-1][0]), max(hi, own[-1][1])
@@ -104,9 +106,10 @@ class Matcher:
         found = []
         for i, own in windows.items():
             key, item, errors = self.items[i]
-            best = min(((d, lo + at) for lo, hi in own for d, at in [myers(item, text[lo:hi])]), default=None)
-            if best and best[0] <= errors:
-                found.append((key, *best))
+            distance, end = min((d, lo + at) for lo, hi in own for d, at in [myers(item, text[lo:hi])])
+            if distance <= errors:
+                # places count without the space put before the text, and without the one after a short item
+                found.append((key, distance, end - 1 - (item[-1] == " ")))
         return sorted(found)
 
 
@@ -129,24 +132,29 @@ def find(docs: DataFrame, items: DataFrame, text: str = "text", item_key: str =
     """Add ``out``: array of (item_id, distance, end in the normalised text) of the test items in each whole text.
 
     ``share``: edits allowed, as a share of the normalised item's length. Items that are shorter than
-    ``shortest`` characters when normalised (null ones too) are not searched for: such short strings
-    occur by chance. A null or empty text has no hits. Of an item's several places in a text the one
-    of smallest distance, then the first, is given. Rows are kept one for one; a column that is called
-    ``out`` is replaced. Items of more than ``limit`` characters in all are taken in several passes.
+    ``shortest`` characters when normalised are found as they are, as whole words, without edits; null items and
+    those without letters or digits are not searched for. A null or empty text has no hits. Of an item's
+    several places in a text the one of smallest distance, then the first, is given. Rows are kept one for
+    one; a column that is called ``out`` is replaced, all others stay. Items of more than ``limit``
+    characters in all are taken in several passes, each stored before the next, so that neither the
+    driver nor a task holds more of them at once.
     """
-    matchers = [Matcher(part, share, shortest) for part in passes(items, item_key, item_text, limit)]
     context = docs.sparkSession.sparkContext
-    names = [f"{out}__{i}" for i in range(len(matchers))]
-    for name, matcher in zip(names, matchers, strict=True):
-        docs = _one_pass(docs, context.broadcast((matcher.items, share, shortest)), text, name)
-    whole = F.array_sort(F.concat(*[F.col(n) for n in names]))
-    return docs.withColumn(out, whole).drop(*names)
+    docs = docs.select(*[F.col(quoted(c)) for c in without(docs, out)])
+    hits = out
+    for number, part in enumerate(passes(items, item_key, item_text, limit)):
+        if number == 0:
+            docs = _one_pass(docs, context.broadcast((part, share, shortest)), text, out)
+        else:
+            hits = fresh(docs, out + "_more")
+            docs = _one_pass(stored(docs, "hits"), context.broadcast((part, share, shortest)), text, hits)
+            docs = docs.withColumn(out, F.array_sort(F.concat(F.col(quoted(out)), F.col(quoted(hits))))).drop(hits)
+    return docs
 
 
 def _one_pass(docs: DataFrame, shared, text: str, out: str) -> DataFrame:
     def make() -> Callable:
-        items, share, shortest = shared.value
-        matcher = Matcher([(k, t) for k, t, _ in items], share, shortest)
+        matcher = Matcher(*shared.value)
 
         def step(columns):
             hits = [matcher.matches(normalised(t)) for t in columns[0].to_pylist()]
@@ -158,5 +166,6 @@ def _one_pass(docs: DataFrame, shared, text: str, out: str) -> DataFrame:
 
 
 def clean(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The documents that hold no test item."""
-    return find(docs, items, out="__hits", **options).where(F.size("__hits") == 0).drop("__hits")
+    """The documents that hold no test item, with all their columns. What ``find`` says of odd rows holds here: null and empty texts stay."""
+    hits = fresh(docs, "hits")
+    return find(docs, items, out=hits, **options).where(F.size(hits) == 0).drop(hits)

@@ -77,3 +77,15 @@ def test_query_finds_verbatim_items(spark, sf):
     docs, items = ([(r[0], decontam.normalised(r.text)) for r in spark.read.parquet(f"{sf}/{t}.parquet").collect()] for t in ("documents", "benchmark"))
     want = {(k, i) for k, t in docs for i, x in items if x in t}
     assert want <= {(r.doc_id, r.item_id) for r in q_decontam.op4_decontaminate(spark, sf).collect()}
+
+
+def test_short_items_as_whole_words(spark):
+    items = spark.createDataFrame([(1, "Is it so?"), (2, "no"), (3, "?!")], "item_id long, text string")
+    texts = ["Is it so", "I ask: is it so, or no", "this is it sober", "nobody", "No", "is it  so no no", ""]
+    df = spark.createDataFrame([(k, t, "a", "b") for k, t in enumerate(texts)], "doc_id long, text string, hits string, __hits string")
+    rows = decontam.find(df, items).collect()
+    got = {r.doc_id: [(h.item_id, h.distance, h.end) for h in r.hits] for r in rows}
+    want = {0: [(1, 0, 8)], 1: [(1, 0, 14), (2, 0, 20)], 2: [], 3: [], 4: [(2, 0, 2)], 5: [(1, 0, 8), (2, 0, 11)], 6: []}
+    assert got == want and {r["__hits"] for r in rows} == {"b"}
+    left = decontam.clean(df, items)
+    assert left.columns == df.columns and sorted(r.doc_id for r in left.collect()) == [2, 3, 6]
