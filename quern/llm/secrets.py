@@ -1,8 +1,9 @@
 """Secret scans with a random forest against false positives (operator 8), by DataFrame functions only.
 
-A pattern finds candidates: long runs of letters, digits and a few signs with a digit among them. A random
-forest rates each by its length, its changes between kinds of characters, the share of it that is made of
-words of the corpus, marks of paths, and the words beside it. It is trained from labelled findings.
+A pattern finds candidates: long runs of letters, digits and a few signs with a digit among them, and
+shorter or digit-free ones that are assigned to a telling name. A random forest rates each place of each by the
+candidate's length, its changes between kinds of characters, the share of it that is made of words of the
+corpus, marks of paths, and the words beside it. It is trained from labelled findings.
 """
 
 from __future__ import annotations
@@ -14,10 +15,14 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm.common import quoted, sampled, stored
+from quern.llm.common import fresh, quoted, sampled, stored
 
 SIGNS = r"A-Za-z0-9_+/=\-"
-CANDIDATE = rf"(?<![{SIGNS}])(?=[A-Za-z_+/=\-]{{0,256}}[0-9])[{SIGNS}]{{16,}}"
+#: Names that a secret of any shape is assigned to.
+NAMES = "token|secret|passw(?:or)?d|passphrase|pwd|api[_-]?key|access[_-]?key|private[_-]?key|secret[_-]?key|client[_-]?secret|credentials?"
+LONG = rf"(?<![{SIGNS}])(?=[A-Za-z_+/=\-]*+[0-9])[{SIGNS}]{{16,}}"
+ASSIGNED = rf"""(?<=(?i:{NAMES})["']?\s{{0,2}}[=:]\s{{0,2}}["']?)(?<![A-Za-z0-9_+/\-])[A-Za-z0-9_+/\-][{SIGNS}]{{7,}}"""
+CANDIDATE = rf"(?:{LONG}|{ASSIGNED})"
 #: Words beside secrets, and beside strings that only look like them.
 TELLING = r"(?i)(token|secret|passw|pwd|api.?key|access.?key|private|credential|auth|bearer|signature|client.?id|key)"
 HARMLESS = r"(?i)\b(commit|sha|hash|md5|digest|checksum|uuid|guid|etag|revision|build|version|example|sample|placeholder|dummy|test|file|path|http|href|src|integrity)\d*\b"
@@ -98,13 +103,13 @@ def measured(found: DataFrame) -> DataFrame:
 def generated(spark: SparkSession, docs: DataFrame, text: str, rows: int = 4_000) -> DataFrame:
     """Labelled findings (candidate, before, after, label), for corpora that bring none.
 
-    Half are secrets: random strings of the shapes that common services give out, most of them assigned
-    to a telling name. Half are not: digests and ids by harmless names, paths, identifiers made of words
-    of the corpus, placeholders, runs of one sign. The random parts are digests of the row's number; the
-    words are at most 400 of a sample of about 50 texts.
+    Half are secrets: random strings of the shapes that common services give out and short passwords, most of them
+    assigned to a telling name. Half are not: digests and ids by harmless names, paths, identifiers made of words
+    of the corpus, words assigned to telling names, placeholders, runs of one sign. The random parts are digests of
+    the row's number; the words are at most 400, chosen by a hash, of a sample of about 50 texts.
     """
     some = sampled(docs.select(F.col(quoted(text)).alias("t")).where("t is not null"), "t", 50).select(F.explode(F.split(F.lower("t"), r"[^a-z]+")).alias("w"))
-    words = some.where(F.length("w").between(4, 9)).distinct().orderBy("w").limit(400)
+    words = some.where(F.length("w").between(4, 9)).distinct().orderBy(F.xxhash64("w")).limit(400)
     base = spark.range(rows).withColumn("list", F.split(F.lit(" ".join(r["w"] for r in words.collect()) or "plain"), " "))
     r = lambda salt: F.sha2(F.concat(F.lit(salt), F.col("id").cast("string")), 256)
     b64 = lambda salt: F.regexp_replace(F.base64(F.unhex(F.sha2(F.concat(F.lit(salt), F.col("id").cast("string")), 512))), r"\s", "")
@@ -113,8 +118,35 @@ def generated(spark: SparkSession, docs: DataFrame, text: str, rows: int = 4_000
     word = lambda salt: F.coalesce(F.try_element_at("list", (F.pmod(F.xxhash64(F.lit(salt), "id"), size) + 1).cast("int")), F.lit("plain"))
     number = lambda salt, n: F.pmod(F.xxhash64(F.lit(salt), "id"), F.lit(n)).cast("string")
     plain = F.regexp_replace(b64("p"), "[+/=]", "")
-    shapes = [F.substring(r("a"), 1, 40), F.substring(r("a"), 1, 32), r("a"), F.substring(b64("b"), 1, 40), b64("b"), F.concat(F.lit("AKIA"), F.upper(F.substring(F.regexp_replace(b64("c"), "[^A-Z2-7]", ""), 1, 16)), F.lit("7")), F.concat(F.lit("ghp_"), F.substring(plain, 1, 36)), F.concat(F.lit("sk-"), F.substring(plain, 1, 48)), F.concat(F.lit("xoxb-"), number("x", 10**12), F.lit("-"), F.substring(plain, 1, 24))]
-    harmless = [F.substring(r("d"), 1, 40), r("d"), F.regexp_replace(F.substring(r("d"), 1, 32), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5"), F.concat(word("1"), F.lit("/"), word("2"), F.lit("/"), word("3"), number("n", 100)), F.concat(word("1"), F.lit("_"), word("2"), F.lit("_"), word("3"), number("n", 1000)), F.concat(word("1"), F.initcap(word("2")), F.initcap(word("3")), number("n", 10)), F.lpad(number("n", 10**9), 18, "0"), F.rpad(number("n", 10), 20, "x"), F.concat(F.lit("2024-01-"), number("n", 28), F.lit("T00-00-00-"), word("1")), F.concat(word("1"), word("2"), word("3"), number("n", 100))]
+    letters = F.regexp_replace(b64("l"), "[^A-Za-z]", "")
+    shapes = [
+        F.substring(r("a"), 1, 40),
+        F.substring(r("a"), 1, 32),
+        r("a"),
+        F.substring(b64("b"), 1, 40),
+        b64("b"),
+        F.concat(F.lit("AKIA"), F.upper(F.substring(F.regexp_replace(b64("c"), "[^A-Z2-7]", ""), 1, 16)), F.lit("7")),
+        F.concat(F.lit("ghp_"), F.substring(plain, 1, 36)),
+        F.concat(F.lit("sk-"), F.substring(plain, 1, 48)),
+        F.concat(F.lit("xoxb-"), number("x", 10**12), F.lit("-"), F.substring(plain, 1, 24)),
+        F.substring(plain, 1, 10),
+        F.substring(letters, 1, 14),
+        F.concat(word("8"), F.initcap(word("9")), number("z", 10**4)),
+    ]
+    harmless = [
+        F.substring(r("d"), 1, 40),
+        r("d"),
+        F.regexp_replace(F.substring(r("d"), 1, 32), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5"),
+        F.concat(word("1"), F.lit("/"), word("2"), F.lit("/"), word("3"), number("n", 100)),
+        F.concat(word("1"), F.lit("_"), word("2"), F.lit("_"), word("3"), number("n", 1000)),
+        F.concat(word("1"), F.initcap(word("2")), F.initcap(word("3")), number("n", 10)),
+        F.lpad(number("n", 10**9), 18, "0"),
+        F.rpad(number("n", 10), 20, "x"),
+        F.concat(F.lit("2024-01-"), number("n", 28), F.lit("T00-00-00-"), word("1")),
+        F.concat(word("1"), word("2"), word("3"), number("n", 100)),
+    ]
+    # words and placeholders stand assigned to telling names as well
+    named = [F.concat(word("1"), F.lit("_"), word("2")), F.concat(word("1"), word("2")), pick("v", ["required", "undefined", "changeme", "xxxxxxxx", "your_password", "placeholder", "********"])]
     chosen = lambda options, salt: F.element_at(F.array(*options), (F.pmod(F.xxhash64(F.lit(salt), "id"), F.lit(len(options))) + 1).cast("int"))
     secret = F.col("id") % 2 == 0
     assigned = F.concat(pick("t", ["token", "api_key", "secret", "password", "auth_token", "client_secret", "AWS_SECRET_ACCESS_KEY", "key"]), pick("u", [" = \"", "=", ": ", " = '", "\": \"", "='"]))
@@ -124,8 +156,11 @@ def generated(spark: SparkSession, docs: DataFrame, text: str, rows: int = 4_000
     shaped = F.pmod(F.xxhash64(F.lit("s"), "id"), F.lit(len(harmless)))
     before = F.when(secret, F.concat(loose, F.when(often, assigned).otherwise(F.lit("Bearer ")))).otherwise(F.concat(loose, F.when((shaped >= 3) & ~often, assigned).otherwise(beside)))
     after = F.when(F.col("before").rlike("\"$"), F.lit("\" ")).when(F.col("before").rlike("'$"), F.lit("' ")).otherwise(F.lit(" "))
-    made = base.select(F.when(secret, chosen(shapes, "k")).otherwise(F.element_at(F.array(*harmless), (shaped + 1).cast("int"))).alias("candidate"), before.alias("before"), secret.cast("double").alias("label"))
-    return made.withColumn("after", after).where(F.col("candidate").rlike(f"^[{SIGNS}]{{16,}}$"))
+    plainly = F.pmod(F.xxhash64(F.lit("m"), "id"), F.lit(6)) == 0
+    shape = F.when(secret, chosen(shapes, "k")).when(plainly, chosen(named, "w")).otherwise(F.element_at(F.array(*harmless), (shaped + 1).cast("int")))
+    place = F.when(~secret & plainly, F.concat(loose, assigned)).otherwise(before)
+    made = base.select(shape.alias("candidate"), place.alias("before"), secret.cast("double").alias("label"))
+    return made.withColumn("after", after).where(F.concat("before", "candidate").rlike(CANDIDATE))
 
 
 def train(labelled: DataFrame, trees: int = 40, depth: int = 8) -> PipelineModel:
@@ -136,7 +171,7 @@ def train(labelled: DataFrame, trees: int = 40, depth: int = 8) -> PipelineModel
 
 def rated(docs: DataFrame, key: str, text: str, labelled: DataFrame | None) -> DataFrame:
     """The findings with ``score``, the forest's vote on each by its own neighbours."""
-    found = findings(docs, key, text)
+    found = stored(findings(docs, key, text), "findings")
     known = generated(docs.sparkSession, docs, text) if labelled is None else labelled.select("candidate", "before", "after", F.col("label").cast("double").alias("label"))
     both = stored(found.select("candidate").union(known.select("candidate")).distinct(), "candidates")
     words = stored(covered(both, docs, text), "covered")
@@ -145,7 +180,11 @@ def rated(docs: DataFrame, key: str, text: str, labelled: DataFrame | None) -> D
 
 
 def occurrences(docs: DataFrame, key: str = "doc_id", text: str = "text", labelled: DataFrame | None = None, threshold: float = 0.5) -> DataFrame:
-    """(key, start, length, secret, score, is_secret): each place of each candidate of each row's whole text, rated by what is beside it there."""
+    """(key, start, length, secret, score, is_secret): each place of each candidate of each row's whole text, rated by what is beside it there.
+
+    ``start`` counts characters from 1. Null and empty texts and an empty table give no rows; a null key is kept;
+    rows that repeat give repeated findings; other columns are not looked at.
+    """
     score = F.col("score")
     return rated(docs, key, text, labelled).select(F.col("key").alias(key), "start", F.length("candidate").alias("length"), F.col("candidate").alias("secret"), "score", (score >= threshold).alias("is_secret"))
 
@@ -166,13 +205,19 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", labelled: Dat
 def redacted(docs: DataFrame, key: str = "doc_id", text: str = "text", n_chars: str | None = "n_chars") -> DataFrame:
     """All rows of ``docs`` with their secrets replaced by ``[REDACTED]``, and ``n_chars`` brought up to date.
 
-    Only rows with a candidate are joined with what was found; the others pass through as they are.
+    A candidate that is a secret in one place of a text is replaced in all places where it is a candidate of that
+    text, and nowhere inside a longer run. Rows without a candidate, null and empty texts pass
+    through as they are; rows that repeat a key share their secrets; all columns stay, whatever their names.
     """
-    bad = scan(docs, key, text).where("is_secret").groupBy(F.col(key).alias("__key")).agg(F.sort_array(F.collect_set("secret"), asc=False).alias("__secrets"))
-    has = F.coalesce(F.col(quoted(text)).rlike(CANDIDATE), F.lit(False))
-    some = docs.where(has).join(bad, F.col(quoted(key)).eqNullSafe(F.col("__key")), "left")
-    clean = F.aggregate(F.coalesce("__secrets", F.array().cast("array<string>")), F.col(quoted(text)), lambda t, s: F.replace(t, s, F.lit(REDACTED)))
-    done = some.withColumn(text, clean)
+    name, bad = fresh(docs, "owner"), fresh(docs, "secrets")
+    secrets = scan(docs, key, text).where("is_secret").groupBy(F.col(quoted(key)).alias(name)).agg(F.collect_set("secret").alias(bad))
+    t = F.col(quoted(text))
+    has = F.coalesce(t.rlike(CANDIDATE), F.lit(False))
+    some = docs.where(has).join(secrets, F.col(quoted(key)).eqNullSafe(F.col(name)), "left")
+    found, between = F.regexp_extract_all(t, F.lit(CANDIDATE), F.lit(0)), F.split(t, CANDIDATE, -1)
+    clean = F.transform(found, lambda c: F.when(F.array_contains(F.col(bad), c), F.lit(REDACTED)).otherwise(c))
+    whole = F.array_join(F.zip_with(between, clean, lambda x, y: F.concat(x, F.coalesce(y, F.lit("")))), "")
+    columns = {text: F.when(F.col(bad).isNull(), t).otherwise(whole)}
     if n_chars and n_chars in docs.columns:
-        done = done.withColumn(n_chars, F.when(F.col("__secrets").isNull(), F.col(n_chars)).otherwise(F.length(text).cast(docs.schema[n_chars].dataType)))
-    return done.select(*[F.col(quoted(c)) for c in docs.columns]).union(docs.where(~has))
+        columns[n_chars] = F.when(F.col(bad).isNull(), F.col(quoted(n_chars))).otherwise(F.length(whole).cast(docs.schema[n_chars].dataType))
+    return some.select(*[columns[c].alias(c) if c in columns else F.col(quoted(c)) for c in docs.columns]).union(docs.where(~has))

@@ -54,6 +54,23 @@ def test_redaction(docs):
     assert all(r.n_chars == len(r.text) for r in rows if r.text is not None)
 
 
+def test_short_and_digit_free_runs_in_telling_places(spark):
+    texts = ['password = "qZxkvWpTnbRw" end', "pwd=kqzxw8ptn end", "the qZxkvWpTnbRw alone", "password = garden", "x" * 400 + "1", "token: a b c", "api_key='" + "zQ" * 200 + "7'"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {(r.doc_id, r.secret) for r in secrets.findings(docs, "doc_id", "text").select(F.col("key").alias("doc_id"), F.col("candidate").alias("secret")).collect()}
+    assert found == {(0, "qZxkvWpTnbRw"), (1, "kqzxw8ptn"), (4, texts[4]), (6, "zQ" * 200 + "7")}
+    assert {r.doc_id for r in secrets.scan(docs).where("is_secret").collect()} >= {0}
+
+
+def test_redaction_goes_by_place(spark):
+    """A secret is not cut out of a longer run, and columns may have any names."""
+    docs = spark.createDataFrame([(1, f'token = "{HEX}" file {HEX}zz', "a", "b"), (1, f'x token = "{HEX}"', "a", "b")], "doc_id long, text string, __key string, owner string")
+    labelled = secrets.redacted(docs)
+    assert labelled.columns == docs.columns
+    got = sorted(r.text for r in labelled.collect())
+    assert got[0].startswith('token = "[REDACTED]" file ') and "[REDACTED]zz" not in got[0] and got[1] == 'x token = "[REDACTED]"'
+
+
 def test_labelled_findings_decide(spark, docs):
     labelled = spark.createDataFrame([(HEX, "commit ", " ", 1)] * 20 + [(HEX, 'token = "', '" ', 0)] * 20, "candidate string, before string, after string, label int")
     got = {r.doc_id: r.is_secret for r in secrets.scan(docs, labelled=labelled).collect()}
