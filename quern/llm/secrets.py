@@ -21,7 +21,8 @@ SIGNS = r"A-Za-z0-9_+/=\-"
 #: Names that a secret of any shape is assigned to.
 NAMES = "token|secret|passw(?:or)?d|passphrase|pwd|api[_-]?key|access[_-]?key|private[_-]?key|secret[_-]?key|client[_-]?secret|credentials?"
 LONG = rf"(?<![{SIGNS}])(?=[A-Za-z_+/=\-]*+[0-9])[{SIGNS}]{{16,}}"
-ASSIGNED = rf"""(?<=(?i:{NAMES})["']?\s{{0,2}}[=:]\s{{0,2}}["']?)(?<![A-Za-z0-9_+/\-])[A-Za-z0-9_+/\-][{SIGNS}]{{7,}}"""
+#: The cheap tests stand first: few words follow a sign of assignment.
+ASSIGNED = rf"""(?<![A-Za-z0-9_+/\-])(?=[A-Za-z0-9_+/\-])(?<=[=:]\s{{0,2}}["']?)(?<=(?i:{NAMES})["']?\s{{0,2}}[=:]\s{{0,2}}["']?)[{SIGNS}]{{8,}}"""
 CANDIDATE = rf"(?:{LONG}|{ASSIGNED})"
 #: Words beside secrets, and beside strings that only look like them.
 TELLING = r"(?i)(token|secret|passw|pwd|api.?key|access.?key|private|credential|auth|bearer|signature|client.?id|key)"
