@@ -39,6 +39,7 @@ def test_query_recall(spark, name):
 def test_random_vectors_and_copies(spark, monkeypatch):
     """A third of the rows are one vector: ties by id, in lists that are dealt out."""
     monkeypatch.setattr(ann, "PART_ROWS", 100)
+    monkeypatch.setattr(ann, "QUERY_ROWS", 7)
     rng = np.random.default_rng(0)
     centre = rng.normal(size=(20, 16))
     rows = [(i, (centre[i % 20] + 0.3 * rng.normal(size=16)).astype(np.float32).tolist()) for i in range(2000)]
@@ -62,8 +63,42 @@ def test_odd_rows(spark):
 def test_graph_and_balance():
     x = np.random.default_rng(1).normal(size=(4000, 8))
     c = ann.balanced(x, 64)
-    g = ann.Graph(c)
-    found, dist = g.nearest(x[:200], 16)
+    found = ann.Graph(c).nearest(x[:200], 16)
     true = np.sqrt(((x[:200, None] - c[None]) ** 2).sum(axis=2))
-    assert (found[:, 0] == true.argmin(axis=1)).mean() > 0.98 and len(c) == 64
-    assert all(len(set(r)) == len(r) for r in found.tolist())
+    assert (found.argmin(axis=1) == true.argmin(axis=1)).mean() > 0.98 and len(c) == 64
+    assert np.isclose(found, true)[np.isfinite(found)].all()
+
+
+@pytest.mark.parametrize(("clusters", "noise", "dims", "share"), [(200, 0.25, 32, 0.04), (20, 1.0, 6, 0.1)])
+def test_ratio_selects_few_lists_of_clustered_vectors(clusters, noise, dims, share):
+    """At 50,000 vectors with the query's parameters: recall against brute force, and the share of rows compared."""
+    rng = np.random.default_rng(4)
+    n, k = 50_000, 10
+    x = rng.normal(size=(clusters, dims))[rng.integers(0, clusters, n)] * 2 + noise * rng.normal(size=(n, dims))
+    graph = ann.Graph(ann.balanced(x[rng.choice(n, ann.SAMPLE, replace=False)], n // ann.LIST_ROWS))
+    lists = [c for at in range(0, n, ann.BLOCK) for c in graph.lists_of(x[at : at + ann.BLOCK], 1.1, 4)]
+    posted: dict[int, list[int]] = {}
+    for i, own in enumerate(lists):
+        for c in own:
+            posted.setdefault(c, []).append(i)
+    queries = np.arange(0, n, 250)
+    hits, seen, most = 0, 0, 0
+    for q, own in zip(queries, graph.lists_for(x[queries], 1.2, 8), strict=True):
+        rows = np.unique(np.concatenate([posted.get(c, []) for c in own])).astype(int)
+        true = ann.compared(np.array([q]), x[q : q + 1], np.arange(n), x, k)[1]
+        hits, seen, most = hits + np.isin(true, rows).sum(), seen + len(rows), max(most, len(own))
+    assert hits / (k * len(queries)) >= 0.95 and seen / n / len(queries) < share and max(map(len, lists)) <= 4
+    assert most < len(graph.centroids) / 2
+
+
+def test_compared_equals_plain_distances():
+    rng = np.random.default_rng(3)
+    x = rng.integers(-3, 4, size=(300, 3)).astype(float)
+    x[5], x[6], x[7] = 1e200, -1e200, [1e200, 0, 0]
+    ids = rng.permutation(300)
+    a, b, c = ann.compared(ids[:40], x[:40], ids, x, 10)
+    with np.errstate(all="ignore"):
+        for i in range(40):
+            d = np.sqrt(((x - x[i]) ** 2).sum(axis=1))
+            want = [j for j in np.lexsort((ids, d)) if j != i][:10]
+            assert b[a == ids[i]].tolist() == ids[want].tolist() and (c[a == ids[i]] == d[want]).all()
