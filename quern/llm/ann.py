@@ -190,6 +190,10 @@ def grouped(queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:
                 some, rows = reader[read == name], np.flatnonzero(own == name)
                 out.append(compared(asking[some], q[some], ids[rows], x[rows], k))
         a, b, c = (np.concatenate(z) for z in zip(*out, strict=True)) if out else (np.zeros(0),) * 3
+        order = np.lexsort((b, c, a))
+        order = order[np.concatenate(([True], (np.diff(a[order]) != 0) | (np.diff(b[order]) != 0)))] if len(a) else order
+        order = order[np.arange(len(order)) - np.searchsorted(a[order], a[order]) < k]  # the group's k nearest, each once
+        a, b, c = a[order], b[order], c[order]
         return pa.table({"query_id": pa.array(a.astype(np.int64)), "vec_id": pa.array(b.astype(np.int64)), "score": pa.array(c.astype(np.float64))})
 
     return queries.groupBy("qgroup", "qturn").cogroup(rows.groupBy("group", "turn")).applyInArrow(nearest, RESULT)
@@ -210,14 +214,17 @@ def spot(key: int, n: int) -> int:
     return ((key * 0x9E3779B97F4A7C15) >> 32 & 0xFFFFFFFF) % n
 
 
-def placed(counts: list[tuple[int, int, int]]) -> dict[int, tuple[int, int, int]]:
-    """From (list, rows, queries) of each list its (first group, groups, turns): short lists share a group, long ones get several."""
+def placed(counts: list[tuple[int, int, int]], most: int) -> dict[int, tuple[int, int, int]]:
+    """From (list, rows, queries) of each list its (first group, groups, turns): short lists share a group, long ones get several.
+
+    ``most``: the number of all queries, so that no group counts more.
+    """
     place, open_, held, asked, group = {}, [], 0, 0, 0
 
     def close() -> None:
         nonlocal open_, held, asked, group
         for name in open_:
-            place[name] = (group, 1, max(1, math.ceil(asked / QUERY_ROWS)))
+            place[name] = (group, 1, max(1, math.ceil(min(most, asked) / QUERY_ROWS)))
         group += bool(open_)
         open_, held, asked = [], 0, 0
 
@@ -284,7 +291,7 @@ def search(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "
     asked = stored(listed(rows.where(is_query), "lists_for", query_ratio, least), "asked")
     # a row for each list, so at most SAMPLE / LEAST_SAMPLE
     sizes = posted.groupBy("list").count().join(asked.select(F.explode("lists").alias("list")).groupBy("list").agg(F.count(F.lit(1)).alias("asked")), "list", "left").collect()
-    place = context.broadcast(placed([(r["list"], r["count"], r["asked"] or 0) for r in sizes]))
+    place = context.broadcast(placed([(r["list"], r["count"], r["asked"] or 0) for r in sizes], asked.count()))
 
     def groups_of():
         where = place.value
