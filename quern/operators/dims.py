@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quern.functions import lookups
 from quern.functions.metrics import any_like
+from quern.functions.shared import stored
 
 
 def date_key(c: Column) -> Column:
@@ -33,7 +34,8 @@ def type_key() -> Column:
 def surrogate_key(distinct: DataFrame, columns: list[str], name: str, existing: DataFrame | None = None) -> DataFrame:
     """Number distinct members from 1 in the order of ``columns``; members of ``existing`` keep their numbers.
 
-    The numbers of ranges are counted range by range, so no task sorts all members.
+    The numbers of ranges are counted range by range, so no task sorts all members. The members are stored with
+    their ranges, so that a lost executor cannot deal them anew.
     """
     if existing is not None:
         known = distinct.join(existing.select(*columns, name), columns)
@@ -41,7 +43,8 @@ def surrogate_key(distinct: DataFrame, columns: list[str], name: str, existing:
         last = existing.agg(F.coalesce(F.max(name), F.lit(0)).alias("__last"))
         # a scalar aggregate: one row
         return known.unionByName(new.join(F.broadcast(last)).withColumn(name, F.col(name) + F.col("__last")).drop("__last"))
-    ranged = distinct.repartitionByRange(*columns).withColumn("__range", F.spark_partition_id()).persist()
+    ranged = distinct.repartitionByRange(*columns).withColumn("__range", F.spark_partition_id())
+    ranged = stored(ranged, "members")
     counts = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
     before = counts.withColumn("__before", F.coalesce(F.sum("__n").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__n")
     inside = F.row_number().over(Window.partitionBy("__range").orderBy(*columns))

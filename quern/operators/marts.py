@@ -201,7 +201,22 @@ def agg_monthly(facts: DataFrame, dims: Dims, compat: bool = False) -> DataFrame
     )
 
 
-def incremental(build: Callable[[DataFrame], DataFrame], facts: DataFrame, last_day: str, lookback: int, pad: int) -> DataFrame:
-    """The last ``lookback`` days of a day mart: built from ``pad`` days more, so that rolling frames are whole."""
-    key = lambda days: date_key(F.date_sub(F.lit(last_day).cast("date"), days))
-    return build(facts.where(F.col("created_date_key") >= key(lookback + pad))).where(F.col("date_key") >= key(lookback))
+def incremental(build: Callable[[DataFrame], DataFrame], facts: DataFrame, last_day: str, lookback: int, rows: int = 30) -> DataFrame:
+    """The last ``lookback`` days of a day mart, up to ``last_day``, equal to those of a full build.
+
+    Read are the requests created since then and on the ``rows`` days with requests before, so that rolling
+    frames are whole however sparse the days, and those that were closed since then, whenever they were created.
+    """
+    key = date_key(F.date_sub(F.lit(last_day).cast("date"), lookback))
+    days = facts.where(F.col("created_date_key") < key).select("created_date_key").distinct().orderBy(F.desc("created_date_key")).limit(rows)
+    first = days.agg(F.min("created_date_key")).first()[0]
+    since = F.coalesce(F.lit(first).cast("int"), key)
+    wanted = (F.col("created_date_key") >= since) | F.coalesce(F.col("closed_date_key") >= key, F.lit(False))
+    return build(facts.where(wanted)).where(F.col("date_key") >= key)
+
+
+def incremental_months(build: Callable[[DataFrame], DataFrame], facts: DataFrame, last_month: int, lookback: int) -> DataFrame:
+    """The months from ``lookback`` before ``last_month`` (as 202401) on; read are those and the twelve months before, for changes by year."""
+    back = lambda n: (last_month // 100 * 12 + last_month % 100 - 1 - n) // 12 * 100 + (last_month // 100 * 12 + last_month % 100 - 1 - n) % 12 + 1
+    recent = facts.where(F.col("created_date_key") >= back(lookback + 12) * 100)
+    return build(recent).where(F.col("month_key") >= back(lookback))

@@ -1,4 +1,4 @@
-"""Keyed tables on plain Parquet: latest row for each key, merges by partition, and differences."""
+"""Keyed tables on plain Parquet: latest row for each key, merges into versions, and differences."""
 
 from __future__ import annotations
 
@@ -13,13 +13,13 @@ def row_hash(df: DataFrame, columns: list[str] | None = None) -> Column:
     return F.sha2(F.to_json(F.struct(*[F.col(c) for c in columns or sorted(df.columns)])), 256)
 
 
-def scd1_latest(df: DataFrame, keys: list[str], sequence: str, tie: str | None = None) -> DataFrame:
-    """One row for each key: the one of the largest sequence value; ties by ``tie``, then by a hash of the row.
+def scd1_latest(df: DataFrame, keys: list[str], sequence: str | None, tie: str | None = None) -> DataFrame:
+    """One row for each key: the one of the largest sequence value; ties by ``tie``, then by a hash of the row (which alone decides without a sequence).
 
     An aggregation, combined before the shuffle; null values of the latest row do overwrite.
     """
     rest = [c for c in df.columns if c not in keys]
-    order = F.struct(F.col(sequence), *([F.col(tie)] if tie else []), row_hash(df))
+    order = F.struct(*([F.col(sequence)] if sequence else []), *([F.col(tie)] if tie else []), row_hash(df))
     best = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("__row"))
     return best.select(*[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in df.columns])
 
@@ -45,38 +45,43 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def _versions(spark: SparkSession, path: str) -> list[tuple[int, str, str]]:
+    """(number, folder, batch) of the versions that a table has kept, newest first."""
+    folder, fs = _fs(spark, f"{path}/_versions")
+    names = [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
+    parts = [n.split("_") for n in names if n.count("_") == 2]
+    return sorted(((int(n), version, batch) for n, version, batch in parts), reverse=True)
+
+
 def current(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table as its version pointer names it; None before the first version."""
-    pointer, fs = _fs(spark, f"{path}/CURRENT")
-    if not fs.exists(pointer):
-        return None
-    return spark.read.parquet(f"{path}/{spark.read.text(str(pointer)).first()[0].split(' ')[0]}")
+    """The table's newest version; None before the first."""
+    versions = _versions(spark, path)
+    return spark.read.parquet(f"{path}/{versions[0][1]}") if versions else None
 
 
-def upsert(spark: SparkSession, path: str, updates: DataFrame, keys: list[str], sequence: str | None = None, tie: str | None = None, partition: list[str] | None = None, batch_id: int | None = None) -> DataFrame:
+def upsert(spark: SparkSession, path: str, updates: DataFrame, keys: list[str], sequence: str | None = None, tie: str | None = None, partition: list[str] | None = None, batch_id: int | None = None, keep: int = 2) -> DataFrame:
     """Merge into the keyed table at ``path`` and return its new version.
 
-    A new version is written beside the old one and the pointer is then renamed into place, so readers
-    never see half a table and nothing is overwritten that is being read. A batch whose id the pointer
-    already holds is not applied again.
+    The merged table is written beside the old one and counts from the moment that an empty file with its number
+    and name appears under ``_versions``: one step, nothing is deleted or replaced before. A crash at any
+    place leaves the old version or the new one. Of earlier versions all but ``keep`` are removed afterwards. A batch whose
+    id is not above the newest version's is not applied again. Without a sequence, of updates with one key the
+    one of the largest hash counts.
     """
-    pointer, fs = _fs(spark, f"{path}/CURRENT")
-    if batch_id is not None and fs.exists(pointer):
-        held = spark.read.text(str(pointer)).first()[0].split(" ")
-        if len(held) > 1 and held[1] and int(held[1]) >= batch_id:
-            return current(spark, path)
+    versions = _versions(spark, path)
+    if batch_id is not None and versions and versions[0][2] and int(versions[0][2]) >= batch_id:
+        return current(spark, path)
     old = current(spark, path)
-    new = scd1_latest(updates, keys, sequence, tie) if sequence else updates.dropDuplicates(keys)
+    new = scd1_latest(updates, keys, sequence, tie)
     table = new if old is None else merged(old, new, keys, sequence, tie)
     version = f"v-{uuid.uuid4().hex[:12]}"
     write_partitioned(table, f"{path}/{version}", partition or [])
-    staged, _ = _fs(spark, f"{path}/NEXT-{version}")
-    out = fs.create(staged, True)
-    out.write(bytearray(f"{version} {'' if batch_id is None else batch_id}".encode()))
-    out.close()
-    if fs.exists(pointer):
-        fs.delete(pointer, False)
-    fs.rename(staged, pointer)
+    number = versions[0][0] + 1 if versions else 1
+    mark, fs = _fs(spark, f"{path}/_versions/{number}_{version}_{'' if batch_id is None else batch_id}")
+    fs.create(mark, False).close()
+    for n, folder, batch in _versions(spark, path)[keep:]:
+        fs.delete(_fs(spark, f"{path}/_versions/{n}_{folder}_{batch}")[0], False)
+        fs.delete(_fs(spark, f"{path}/{folder}")[0], True)
     return current(spark, path)
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -10,8 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions import lookups
+from quern.functions.shared import shared_dir
+from quern.operators import marts
 from quern.operators import silver as S
 from quern.operators import upsert as U
+from quern.plans import marts as M
 from quern.plans.views import AS_OF, FACT, MIN_YEAR, REQUESTS, half_up, raw, requests, star
 from quern.sources import landing as L
 from quern.streaming import requests as stream
@@ -32,8 +34,7 @@ def query(sql: str | None = None) -> Callable:
 
 def work_dir(spark: SparkSession) -> str:
     """A new folder where the cluster shares files."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quern-")
-    return f"{base.rstrip('/')}/quern-{uuid.uuid4().hex[:12]}"
+    return f"{shared_dir(spark)}/quern-{uuid.uuid4().hex[:12]}"
 
 
 @query(f"{REQUESTS} SELECT unique_key, created_date::DATE AS created_day FROM req WHERE created_date >= DATE '1997-12-01' AND created_date < DATE '1998-01-01'")
@@ -246,28 +247,42 @@ def upsert_merge(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    f"""{LATEST}, old AS (SELECT l_orderkey, l_linenumber, first(l_shipdate ORDER BY l_shipdate, l_extendedprice, l_quantity) AS d, first(l_quantity ORDER BY l_shipdate, l_extendedprice, l_quantity) AS q, first(l_extendedprice ORDER BY l_shipdate, l_extendedprice, l_quantity) AS p FROM l WHERE l_orderkey % 5 > 0 GROUP BY 1, 2),
-    new AS (SELECT l_orderkey, l_linenumber, l_shipdate AS d, l_quantity AS q, l_extendedprice AS p FROM best WHERE r = 1 AND l_orderkey % 7 > 0)
+    f"""{LATEST}, old AS (SELECT l_orderkey, l_linenumber, first(l_shipdate ORDER BY l_shipdate, l_extendedprice, l_quantity) AS d, first(l_quantity ORDER BY l_shipdate, l_extendedprice, l_quantity) AS q, first(l_extendedprice ORDER BY l_shipdate, l_extendedprice, l_quantity) AS p FROM l WHERE l_shipdate < DATE '1997-01-01' GROUP BY 1, 2),
+    new AS (SELECT l_orderkey, l_linenumber, l_shipdate AS d, l_quantity AS q, l_extendedprice AS p FROM best WHERE r = 1 AND l_shipdate >= DATE '1993-01-01')
     SELECT coalesce(old.l_orderkey, new.l_orderkey) AS l_orderkey, coalesce(old.l_linenumber, new.l_linenumber) AS l_linenumber, CASE WHEN old.l_orderkey IS NULL THEN 'insert' WHEN new.l_orderkey IS NULL THEN 'delete' ELSE 'update' END AS change
     FROM old FULL JOIN new USING (l_orderkey, l_linenumber) WHERE old.l_orderkey IS NULL OR new.l_orderkey IS NULL OR (old.d, old.q, old.p) <> (new.d, new.q, new.p)"""
 )
 def change_diff(spark: SparkSession, sf: str) -> DataFrame:
-    """From the first versions of some keys to the last of others."""
+    """From the first versions before 1997 to the last ones since 1993."""
     rows = versions(spark, sf)
-    first = rows.where("l_orderkey % 5 > 0").groupBy(*KEYS).agg(F.min("seq").alias("s"))
-    last = rows.where("l_orderkey % 7 > 0").groupBy(*KEYS).agg(F.max("seq").alias("s"))
+    first = rows.where("l_shipdate < '1997-01-01'").groupBy(*KEYS).agg(F.min("seq").alias("s"))
+    last = rows.where("l_shipdate >= '1993-01-01'").groupBy(*KEYS).agg(F.max("seq").alias("s"))
     return U.change_diff(*[df.select(*KEYS, "s.*") for df in (first, last)], KEYS)
 
 
-@query(f"{FACT} SELECT date_key, count(*) AS total_complaints FROM v WHERE date_actual > (SELECT max(date_actual) FROM v) - 15 GROUP BY 1")
+@query(f"WITH d AS ({M.ORACLE_SQL['daily_summary']}) SELECT * FROM d WHERE date_actual >= (SELECT max(date_actual) FROM d) - 14")
 def incremental_equals_full(spark: SparkSession, sf: str) -> DataFrame:
-    """The last days of the daily summary, built from the look-back alone; the tests hold all columns against the full build."""
-    from quern.operators import marts
-
+    """The last days of the daily summary with all its columns, built from the look-back alone."""
     facts, dims = star(spark, sf)
     last = facts.agg(F.max("created_date_key")).first()[0]
     day = f"{last // 10000}-{last // 100 % 100:02d}-{last % 100:02d}"
-    return marts.incremental(lambda f: marts.agg_daily(f, dims), facts, day, 14, 60).select("date_key", "total_complaints")
+    return marts.incremental(lambda f: marts.agg_daily(f, dims), facts, day, 14)
+
+
+@query(f"WITH d AS ({M.ORACLE_SQL['monthly_summary']}) SELECT * FROM d WHERE month_start_date >= (SELECT max(month_start_date) FROM d) - INTERVAL 2 MONTH")
+def incremental_months_equal_full(spark: SparkSession, sf: str) -> DataFrame:
+    """The last three months of the monthly summary with all its columns, built from those and the twelve before."""
+    facts, dims = star(spark, sf)
+    last = facts.agg(F.max("created_date_key")).first()[0]
+    return marts.incremental_months(lambda f: marts.agg_monthly(f, dims), facts, last // 100, 2)
+
+
+@query("SELECT event_id, ts::DATE AS day FROM events WHERE ts > (SELECT max(ts) FROM events WHERE ts::DATE <= (SELECT min(ts)::DATE + ((max(ts)::DATE - min(ts)::DATE) // 2)::INT FROM events))")
+def watermark_pull(spark: SparkSession, sf: str) -> DataFrame:
+    """Events newer than the newest one of a table that holds the first half of the days."""
+    events = L.load(spark, sf, "events").withColumn("day", F.to_date("ts"))
+    middle = events.agg(F.expr("date_add(min(day), cast(datediff(max(day), min(day)) div 2 as int))")).first()[0]
+    return U.newer(events, events.where(F.col("day") <= F.lit(middle)), "ts").select("event_id", "day")
 
 
 # ---- streams ----

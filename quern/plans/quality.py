@@ -71,10 +71,10 @@ SUITE = [
 ]
 
 COUNTS = {
-    "unique_key_unique": "SELECT count(*) - count(DISTINCT unique_key) FROM fct", "keys_not_null": "SELECT 0", "status_accepted": "SELECT count(*) FROM fct WHERE status = 'PENDING'", "agency_known": "SELECT 0", "hour_in_range": "SELECT 0", "response_not_negative": "SELECT 0",
-    "closed_after_created": "SELECT count(*) FROM fct WHERE closed_date_key < created_date_key", "hours_match_days": "SELECT count(*) FROM fct WHERE abs(response_time_hours / 24 - response_time_days) > 1", "area_matches": "SELECT 0",
-    "closed_has_time": "SELECT count(*) FROM fct WHERE is_closed AND response_time_hours IS NULL", "closed_has_time_unless_flagged": "SELECT 0", "null_keys": "SELECT 0", "expected_agencies": "SELECT 3 - count(*) FROM ag WHERE agency_code IN ('BUILDING', 'MACHINERY', 'NOWHERE')",
-    "not_too_long": "SELECT count(*) FROM fct WHERE response_time_days > 730", "date_gaps": "SELECT 0", "coordinates": "SELECT 0",
+    "unique_key_unique": "SELECT count(*) - count(DISTINCT unique_key) FROM fct", "keys_not_null": "SELECT count(*) FROM fct WHERE unique_key IS NULL OR agency_key IS NULL OR location_key IS NULL OR created_date_key IS NULL", "status_accepted": "SELECT count(*) FROM fct WHERE status = 'PENDING'", "agency_known": "SELECT count(*) FROM fct WHERE agency_key NOT IN (SELECT agency_id FROM ag)", "hour_in_range": "SELECT count(*) FROM fct WHERE created_hour NOT BETWEEN 0 AND 23", "response_not_negative": "SELECT count(*) FROM fct WHERE response_time_hours < 0",
+    "closed_after_created": "SELECT count(*) FROM fct WHERE closed_date_key < created_date_key", "hours_match_days": "SELECT count(*) FROM fct WHERE abs(response_time_hours / 24 - response_time_days) > 1", "area_matches": "SELECT count(*) FROM fct JOIN loc ON location_id = location_key WHERE fct.borough <> loc.b",
+    "closed_has_time": "SELECT count(*) FROM fct WHERE is_closed AND response_time_hours IS NULL", "closed_has_time_unless_flagged": "SELECT count(*) FROM fct WHERE is_closed AND response_time_hours IS NULL AND NOT (has_invalid_closed_date OR has_historical_closed_date OR has_future_closed_date)", "null_keys": "SELECT count(*) FROM fct WHERE agency_key IS NULL OR location_key IS NULL OR complaint_type_key IS NULL", "expected_agencies": "SELECT 3 - count(*) FROM ag WHERE agency_code IN ('BUILDING', 'MACHINERY', 'NOWHERE')",
+    "not_too_long": "SELECT count(*) FROM fct WHERE response_time_days > 730", "date_gaps": "SELECT max(date_actual) - min(date_actual) + 1 - count(DISTINCT date_actual) FROM hol", "coordinates": "SELECT 0",
 }
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.functions.shared import stored
 from quern.operators.dims import dim_agency, dim_date, dim_location, dim_type
 from quern.operators.fact import Dims, fact
 from quern.operators.silver import DATE_FORMAT, date_flags, partition_columns
@@ -44,10 +45,10 @@ def contract(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def star(spark: SparkSession, sf: str) -> tuple[DataFrame, Dims]:
-    """(facts, dimensions)."""
-    rows = contract(spark, sf)
+    """(facts, dimensions). Requests and facts are stored, since many steps read them."""
+    rows = stored(contract(spark, sf), "requests")
     dims = Dims(dim_date(spark, START, END, AS_OF), dim_agency(rows), dim_location(rows), dim_type(rows))
-    return fact(rows, dims), dims
+    return stored(fact(rows, dims), "facts"), dims
 
 
 def raw(spark: SparkSession, sf: str) -> DataFrame:

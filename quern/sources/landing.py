@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def load(spark: SparkSession, folder: str, name: str, merge_schemas: bool = False) -> DataFrame:
+    """A table's files; with ``merge_schemas``, columns that only some files have are null in the rows of the others."""
+    return spark.read.option("mergeSchema", merge_schemas).parquet(f"{folder}/{name}.parquet")
 
 
 def with_provenance(df: DataFrame) -> DataFrame:
@@ -84,6 +85,15 @@ def manifest(df: DataFrame, ts: str, grain: str = "day", fmt: str = "parquet", l
     return df.where(F.col(ts).isNotNull()).groupBy(period_start(F.col(ts), grain).alias("period_start")).agg(F.count(F.lit(1)).alias("record_count")).withColumns(facts)
 
 
+def landed(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
+    """(period_start, record_count, files, bytes, ingested_at) of what ``land`` has written, read from the files themselves."""
+    df = spark.read.format(fmt).load(root)
+    day = F.col("day") if "day" in df.columns else F.lit(1)
+    rows = df.select(F.make_date(F.col("year").cast("int"), F.col("month").cast("int"), day.cast("int")).alias("period_start"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"), F.col("_metadata.file_modification_time").alias("at"))
+    files = rows.groupBy("period_start", "path").agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size"), F.max("at").alias("at"))
+    return files.groupBy("period_start").agg(F.sum("n").alias("record_count"), F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes"), F.max("at").alias("ingested_at"))
+
+
 def missing_periods(wanted: DataFrame, landed: DataFrame) -> DataFrame:
     """Periods (start, end) without a row in the manifest."""
     return wanted.join(landed.select(F.col("period_start").alias("start")), "start", "left_anti")
