@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.llm import bpe, decontam, langid, neardup, secrets
-from quern.llm.common import quoted, stored, table
+from quern.llm.common import discard, fresh, quoted, stored, table
 
 #: A language prediction below this score is rejected, besides ``und``.
 LEAST_SCORE = 0.2
@@ -20,29 +20,40 @@ RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told with a score of ``LEAST_SCORE`` at least; learned from their own labels."""
-    tree = langid.fit(docs)
-    told = langid.predict(docs, tree, lang="__lang", score="__score")
-    return told.where((F.col("__lang") != langid.UNDETERMINED) & (F.col("__score") >= LEAST_SCORE)).select(*[F.col(quoted(c)) for c in docs.columns])
+    """Documents whose language is told with a score of ``LEAST_SCORE`` at least; learned from their own labels.
+
+    Null texts and texts without a letter go; a null lang, doc_id or source does not matter; repeated rows stay. Where
+    no row has a language (an empty table too) nothing is learned, and none stays. All columns stay, whatever their names.
+    """
+    name, score = fresh(docs, "told"), fresh(docs, "certain")
+    told = langid.predict(docs, langid.fit(docs), lang=name, score=score)
+    return told.where((F.col(name) != langid.UNDETERMINED) & (F.col(score) >= LEAST_SCORE)).select(*[F.col(quoted(c)) for c in docs.columns])
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of a similarity of 0.8 and more over five-word shingles."""
+    """One document of each group of a similarity of 0.8 and more over five-word shingles.
+
+    Null, empty and word-free texts and rows without doc_id stay; of rows that repeat a doc_id one stays
+    (see ``deduplicated``). An empty table stays empty, and all columns stay.
+    """
     return neardup.deduplicated(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item. Null and empty texts and repeated rows stay, as do all columns."""
     return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, their secrets replaced."""
+    """All documents, their secrets replaced. Null and empty texts and repeated rows stay as they are, as do all columns."""
     return secrets.redacted(docs)
 
 
 def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with n_tokens, token_ids (packed) and whether decoding gives the text again."""
+    """All documents with n_tokens, token_ids (packed) and whether decoding gives the text again.
+
+    A null text counts as empty: no tokens. Repeated rows stay; columns that have the new ones' names are replaced.
+    """
     return bpe.round_trip(docs, public_tokenizers.path(RANKS))
 
 
@@ -59,7 +70,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage. Each stage's table is deleted once its successor is written; the last one that was written stays."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+    for number, (name, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, stored(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+        if number:
+            discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)
