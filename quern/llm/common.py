@@ -76,15 +76,19 @@ def text_crc(column: str) -> Column:
     return F.crc32(F.col(column).cast("string"))
 
 
-def sampled(df: DataFrame, key: str, bound: int) -> DataFrame:
+def sampled(df: DataFrame, key: str, bound: int, size: Column | None = None, most_bytes: int = 0) -> DataFrame:
     """About ``bound`` rows of ``df`` (all, if it has no more), chosen by a hash of ``key``.
 
-    The choice depends on the keys alone, so a rerun after a lost executor makes the same one.
+    With ``size`` (bytes of a row), about ``most_bytes`` at most, and no row of over a sixteenth of that. The
+    choice depends on the keys and sizes alone, so a rerun after a lost executor makes the same one.
     """
-    n = df.count()
-    if n <= bound:
+    if size is not None:
+        df = df.where(F.coalesce(size, F.lit(0)) <= most_bytes // 16)
+    n, total = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0)) if size is not None else F.lit(0)).first()
+    if n <= bound and total <= most_bytes:
         return df
-    return df.where(F.pmod(F.xxhash64(F.col(key), F.lit("sample")), F.lit(1 << 30)) < int(bound / n * (1 << 30)))
+    share = min(bound / n, most_bytes / total if total else 1.0)
+    return df.where(F.pmod(F.xxhash64(F.col(quoted(key)), F.lit("sample")), F.lit(1 << 30)) < int(share * (1 << 30)))
 
 
 def small_batches(spark: SparkSession) -> None:

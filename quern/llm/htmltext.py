@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quern.llm.common import sampled, with_python_columns
+from quern.llm.common import quoted, sampled, with_python_columns
 
 #: Elements that only style text, those without an end tag, and those whose content is never shown as text.
 INLINE = set("a abbr acronym b bdi bdo big br cite code data dfn em font i img ins del kbd mark q s samp small span strike strong sub sup time tt u var wbr".split())
@@ -334,14 +334,20 @@ def composed(main: list[str], other: list[str], rng: random.Random) -> list[tupl
     return found, np.array(label, dtype=np.float32)
 
 
-def fit(pages: DataFrame, html: str = "html", key: str = "page_id", bound: int = 400, composed_pages: int = 700) -> Labeller:
-    """Train on ``composed_pages`` pages composed from the texts of a bounded sample of about ``bound`` pages."""
-    sample = sampled(pages.where(F.col(html).isNotNull() & F.col(key).isNotNull()).select(key, html), key, bound)
+def fit(pages: DataFrame, html: str = "html", key: str = "page_id", bound: int = 400, composed_pages: int = 700, most_bytes: int = 16 << 20) -> Labeller:
+    """Train on ``composed_pages`` pages composed from the texts of a bounded sample of pages.
+
+    The sample has about ``bound`` pages and ``most_bytes`` of HTML at most, with all their blocks whole; pages of
+    over a sixteenth of that are not learned from. Null pages and keys are left out, repeated rows count again,
+    and an empty table trains on one built-in sentence.
+    """
+    plain = pages.where(F.col(quoted(html)).isNotNull() & F.col(quoted(key)).isNotNull()).select(F.col(quoted(key)).alias("key"), F.col(quoted(html)).alias("html"))
+    sample = sampled(plain, "key", bound, F.octet_length("html"), most_bytes)
 
     def make() -> Callable:
-        return lambda columns: [pa.array([[t[:600] for _, t, _ in blocks(h)][:60] for h in columns[0].to_pylist()], pa.list_(pa.string()))]
+        return lambda columns: [pa.array([[t for _, t, _ in blocks(h)] for h in columns[0].to_pylist()], pa.list_(pa.string()))]
 
-    rows = with_python_columns(sample, [html], [T.StructField("texts", T.ArrayType(T.StringType()))], make, drop=(html,)).orderBy(key).collect()
+    rows = with_python_columns(sample, ["html"], [T.StructField("texts", T.ArrayType(T.StringType()))], make, drop=("html",)).orderBy("key").collect()
     texts = [t for r in rows for t in r["texts"] if len(t) > 60] or ["A few plain words that stand for the text of a page, and nothing else."]
     rng = random.Random(8)
     vectors, model, train = Features(), Labeller(), []

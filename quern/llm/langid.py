@@ -107,21 +107,24 @@ class Tree:
         return names.tolist(), sure
 
 
-def fit(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", per_language: int = 800, total: int = 4800) -> Tree | None:
+def fit(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", per_language: int = 800, total: int = 4800, most_languages: int = 200) -> Tree | None:
     """Fit on a bounded sample: about ``per_language`` rows of each language, ``total`` in all.
 
-    Rows with a null language, or without letters, are not used; None if no rows are left. The features
-    are made on the executors; only they and the labels of the sample come to the driver.
+    Rows with a null language, or without letters, are not used; None if no rows are left, as in an empty table.
+    Of more than ``most_languages`` values of ``lang`` the commonest are learned. Whole texts are read; rows that
+    repeat a key are taken or left together. The features are made on the executors; only they and the labels
+    of the sample come to the driver.
     """
-    known = df.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
-    counts = {r[lang]: r["n"] for r in known.groupBy(lang).agg(F.count(F.lit(1)).alias("n")).collect()}
+    df = df.select(F.col(quoted(key)).alias("key"), F.col(quoted(lang)).alias("lang"), F.col(quoted(text)).alias("text"))
+    known = df.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(most_languages).collect()}
     if not counts:
         return None
     each = max(20, min(per_language, total // len(counts)))
     share: Column = F.lit(0)
     for name, n in counts.items():
-        share = F.when(F.col(lang) == name, F.lit(min(1 << 30, int(each / n * (1 << 30))))).otherwise(share)
-    chosen = known.where(F.pmod(F.xxhash64(F.col(key), F.lit("langid")), F.lit(1 << 30)) < share).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+        share = F.when(F.col("lang") == name, F.lit(min(1 << 30, int(each / n * (1 << 30))))).otherwise(share)
+    chosen = known.where(F.pmod(F.xxhash64("key", F.lit("langid")), F.lit(1 << 30)) < share).select("lang", "text")
 
     def make() -> Callable:
         return lambda columns: [pa.array([features(t).astype(np.float16).tobytes() for t in columns[0].to_pylist()], pa.binary())]

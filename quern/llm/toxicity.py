@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quern.llm.common import sampled, with_python_columns
+from quern.llm.common import quoted, sampled, stored, with_python_columns
 
 BITS = 20
 WORD = regex.compile(r"\p{L}+").findall
@@ -94,20 +94,24 @@ def train(rows: list[np.ndarray], label: np.ndarray, rank: int = 4, most: int =
     return Machine(chosen, float(state[0][0]), state[1], state[2])
 
 
-def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "toxic", key: str = "doc_id", bound: int = 20_000) -> Machine:
-    """Fit on a bounded sample of about ``bound`` labelled rows.
+def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "toxic", key: str = "doc_id", bound: int = 20_000, most_bytes: int = 40 << 20) -> Machine:
+    """Fit on a bounded sample of labelled rows: about ``bound`` rows, and ``most_bytes`` of their hashed terms (4 bytes each).
 
-    Rows with a null key or label are left out; of several labels of a key the largest counts. The
-    sample's keys are bounded and so broadcast to the scan of the texts; terms are made on the executors.
+    Rows with a null key or label are left out; of several labels of a key the largest counts. A row whose
+    terms take over a sixteenth of ``most_bytes`` is not learned from. Null and empty texts have no terms, rows that
+    repeat a key count each, and tables without a common key give a machine of the prior alone. The sample's keys
+    are bounded and so broadcast to the scan of the texts; terms are made on the executors.
     """
-    marked = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.max(F.col(label).cast("int")).alias("label"))
+    own, mark = F.col(quoted(key)), F.col(quoted(label))
+    marked = labels.where(own.isNotNull() & mark.isNotNull()).groupBy(own.alias("key")).agg(F.max(mark.cast("int")).alias("label"))
     some = F.broadcast(sampled(marked, "key", bound))
-    joined = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(some, "key")
+    joined = docs.select(own.alias("key"), F.col(quoted(text)).alias("text")).join(some, "key")
 
     def make() -> Callable:
         return lambda columns: [pa.array([terms(t or "").astype("<i4").tobytes() for t in columns[0].to_pylist()], pa.binary())]
 
-    rows = with_python_columns(joined, ["text"], [T.StructField("terms", T.BinaryType())], make, drop=("text",)).collect()
+    found = stored(with_python_columns(joined, ["text"], [T.StructField("terms", T.BinaryType())], make, drop=("text",)), "terms")
+    rows = sampled(found, "key", bound, F.octet_length("terms"), most_bytes).collect()
     rows.sort(key=lambda r: (r["key"], bytes(r["terms"])))
     return train([np.frombuffer(r["terms"], dtype="<i4") for r in rows], np.array([min(1, max(0, r["label"])) for r in rows], dtype=float))
 
