@@ -23,6 +23,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -139,7 +140,7 @@ class Block:
     """Some sets, and many others to compare them with one by one, as places in what they hold in common."""
 
     def __init__(self, rows: pa.Table, others: pa.Table) -> None:
-        packed = [*rows.column("sets").to_pylist(), *others.column("own").to_pylist()]
+        packed = [*rows.column("sets").to_pylist(), *others.column("sets").to_pylist()]
         sets = [np.frombuffer(x, dtype=np.uint64) for x in packed]
         self.vocabulary, places = np.unique(np.concatenate(sets), return_inverse=True)
         cut = np.cumsum([0, *map(len, sets)])
@@ -166,25 +167,23 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     groups = max(1, -(-total // BLOCK))
     dealt = pairs.withColumn("part", F.pmod(F.xxhash64("member"), F.col("parts")))
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("hub", "part"), F.lit(groups)))
-    members = dealt.join(sets.select(F.col("key").alias("member"), "sets"), "member").select(F.col("block").alias("its_block"), F.col("hub").alias("its_hub"), "member", "sets")
-    hubs = dealt.select("block", "hub").distinct().join(sets.select(F.col("key").alias("hub"), F.col("sets").alias("own")), "hub").select("block", "hub", "own")
+    # a hub stands among its members, so that one join brings all sets
+    rows = dealt.select("block", "hub", F.col("member").alias("key")).union(dealt.select("block", "hub", "hub").distinct()).join(sets, "key")
 
-    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+    def compare(t: pa.Table) -> pa.Table:
+        t = t.select(["hub", "key", "sets"]).sort_by("hub")
+        owners, keys = t.column("hub").to_numpy(), t.column("key").to_numpy()
+        sets = [np.frombuffer(x, dtype=np.uint64) for x in t.column("sets").to_pylist()]
         hub, member = [], []
-        if left.num_rows and right.num_rows:
-            right = right.sort_by("its_hub")
-            owners, keys = right.column("its_hub").to_numpy(), right.column("member").to_numpy()
-            sets = [np.frombuffer(x, dtype=np.uint64) for x in right.column("sets").to_pylist()]
-            for key, raw in zip(left.column("hub").to_pylist(), left.column("own").to_pylist(), strict=True):
-                i, j = np.searchsorted(owners, [key, key + 1])
-                if i < j:
-                    near = keys[i:j][alike(np.frombuffer(raw, dtype=np.uint64), sets[i:j], percent)]
-                    hub.append(np.full(len(near), key))
-                    member.append(near)
+        for at in np.flatnonzero(keys == owners).tolist():
+            i, j = np.searchsorted(owners, [keys[at], keys[at] + 1])
+            near = keys[i:j][alike(sets[at], sets[i:j], percent)]
+            hub.append(np.full(len(near), keys[at]))
+            member.append(near)
         ends = [np.concatenate(x).astype(np.int64) if x else np.zeros(0, dtype=np.int64) for x in (hub, member)]
         return pa.table({"a": ends[0], "b": ends[1]})
 
-    return hubs.groupBy("block").cogroup(members.groupBy("its_block")).applyInArrow(compare, "a long, b long").distinct()
+    return rows.groupBy("block").applyInArrow(compare, "a long, b long").where("a <> b").distinct()
 
 
 def smallest(pairs: DataFrame) -> DataFrame:
@@ -240,38 +239,52 @@ def candidates(met: DataFrame, percent: int) -> DataFrame:
 
 
 def apart(members: DataFrame, found: DataFrame) -> DataFrame:
-    """Members (bucket, key, n) of buckets of several components, with ``label``, whether they stand ``out`` of
-    the bucket's commonest component, and the parts into which the bucket's members and those out are dealt."""
+    """Members (bucket, key, n) of buckets of several components, with ``label``, the bucket's commonest component
+    ``main`` and whether they stand ``out`` of it."""
     labels = found.select(F.col("node").alias("key"), "label")
     named = stored(members.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key")), "named")
-    per = named.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("share"), F.sum("n").alias("mass"))
-    main = per.groupBy("bucket").agg(F.max(F.struct("share", "label", "mass")).alias("top"), F.count(F.lit(1)).alias("labels"), F.sum("mass").alias("mass")).where("labels > 1")
-    sizes = main.select("bucket", F.col("top.label").alias("main"), F.ceil(F.col("mass") / BLOCK).cast("int").alias("parts"), F.ceil((F.col("mass") - F.col("top.mass")) / OUTSIDE_BLOCK).cast("int").alias("out_parts"))
-    several = named.join(stored(sizes, "sizes"), "bucket").select("bucket", "key", "label", (F.col("label") != F.col("main")).alias("out"), "parts", "out_parts")
-    return stored(several, "apart")
+    per = named.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("share"))
+    main = per.groupBy("bucket").agg(F.max(F.struct("share", "label")).alias("top"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
+    several = named.join(stored(main.select("bucket", F.col("top.label").alias("main")), "mains"), "bucket")
+    return stored(several.withColumn("out", F.col("label") != F.col("main")), "apart")
 
 
 def further(several: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between members of different components in the buckets that ``apart`` gives, one for each member outside and other component."""
-    own, out = F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"), F.pmod(F.xxhash64("key", F.lit("out")), F.col("out_parts")).cast("int")
+    """Links (a, b) between members of different components in the buckets that ``apart`` gives, one for each member outside and other component.
+
+    Members outside a bucket's commonest component are compared with all members of that component which
+    stand in such buckets (group 0: once for a component, however many buckets they share), and with each
+    other (group 1: in each bucket).
+    """
+    out = several.where("out")
+    mixed_out = out.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("bucket")
+    among = out.join(mixed_out, "bucket").select(F.lit(1).alias("kind"), F.col("bucket").alias("group"), "key", "n", "label")
+    inner = several.where("not out").select(F.lit(0).alias("kind"), F.col("label").alias("group"), "key", "n", "label").distinct()
+    outer = out.select(F.lit(0).alias("kind"), F.col("main").alias("group"), "key", "n", "label").distinct()
+    right, left = stored(inner.union(among), "inside"), stored(outer.union(among), "outside")
+    mass = lambda df, size: df.groupBy("kind", "group").agg(F.ceil(F.sum("n") / size).cast("int").alias("parts"))
+    sizes = stored(mass(right, BLOCK).join(mass(left, OUTSIDE_BLOCK).withColumnRenamed("parts", "out_parts"), ["kind", "group"]), "sizes")
+    part = lambda n: F.pmod(F.xxhash64("key"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    right = several.select("bucket", "key", "label", own.alias("part"), every("out_parts").alias("turn")).join(sets, "key")
-    asked = several.where("out").select(F.col("bucket").alias("its_bucket"), F.col("key").alias("one"), F.col("label").alias("its"), every("parts").alias("its_part"), out.alias("its_turn"))
-    left = asked.join(sets.select(F.col("key").alias("one"), F.col("sets").alias("own")), "one")
+    groups = ["kind", "group", "part", "turn"]
+    right = right.join(sizes, ["kind", "group"]).select("kind", "group", part("parts").alias("part"), every("out_parts").alias("turn"), "key", "label", F.lit(False).alias("asks"))
+    left = left.join(sizes, ["kind", "group"]).select("kind", "group", every("parts").alias("part"), part("out_parts").alias("turn"), "key", "label", F.lit(True).alias("asks"))
 
-    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+    def compare(t: pa.Table) -> pa.Table:
+        asks = t.column("asks")
+        left, right = t.filter(asks), t.filter(pc.invert(asks))
         a, b = [], []
         if left.num_rows and right.num_rows:
             block = Block(right, left)
             keys, labels = right.column("key").to_numpy(), right.column("label").to_numpy()
-            for k, (key, label) in enumerate(zip(left.column("one").to_pylist(), left.column("its").to_pylist(), strict=True)):
+            for k, (key, label) in enumerate(zip(left.column("key").to_pylist(), left.column("label").to_pylist(), strict=True)):
                 near = np.flatnonzero(block.linked(k, percent) & (labels != label))
                 near = near[np.unique(labels[near], return_index=True)[1]]
                 a += [key] * len(near)
                 b += keys[near].tolist()
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return left.groupBy("its_bucket", "its_part", "its_turn").cogroup(right.groupBy("bucket", "part", "turn")).applyInArrow(compare, "a long, b long").distinct()
+    return left.union(right).join(sets, "key").groupBy(*groups).applyInArrow(compare, "a long, b long").distinct()
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 2, percent: int = 80) -> DataFrame:
@@ -299,7 +312,9 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", size
     wanted = pairs.select(F.explode(F.array("hub", "member")).alias("key")).union(members.select("key")).distinct()
     if wanted.count() <= BROADCAST_KEYS:
         wanted = F.broadcast(wanted)
-    sets = stored(with_sets(docs.join(wanted, "key", "left_semi"), size).distinct(), "sets")
+    sets = with_sets(docs.join(wanted, "key", "left_semi"), size)
+    # only where rows repeat must whole sets be made distinct
+    sets = stored(sets if full.groupBy("key", "same").count().where("count > 1").isEmpty() else sets.distinct(), "sets")
     links = stored(confirmed(pairs, sets, percent).union(_repeated(sketches, heads)), "links")
     discard(pairs)
     found = components(links)
