@@ -1,9 +1,11 @@
 """Chat formatting with quotation linking (operator 9).
 
-Lines of a message that begin with ``>`` are quotes, of a level that is the number of such marks. Quoted lines
-are normalised and hashed, and joined to the message that first wrote them; a message replies to the
-message that it quotes at its lowest level, or else to the one before it. The quotes are cut from the
-text, and the messages numbered in an order in which each follows what it replies to.
+Lines of a message that begin with ``>`` are quotes, of a level that is the number of such marks. A passage is a
+run of lines of one level without a blank one between them, its white space and line breaks made single
+spaces, so that a quote which was wrapped anew is the passage it was. Quoted passages are hashed, and so are their sentences
+and lines, for quotes of a part; the hashes are joined to the message that first wrote the same passage, sentence or
+line. A message replies to the message that it quotes at its lowest level, or else to the one before it. The quotes are cut
+from the text, and the messages numbered in an order in which each follows what it replies to.
 """
 
 from __future__ import annotations
@@ -11,11 +13,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.llm.common import quoted, stored
+from quern.llm.common import discard, quoted, stored
 
 #: How the line that announces a quote begins and ends in some languages.
 ANNOUNCES = r"(?i)^(on|am|el|le)\b.*(wrote|schrieb|escribió|a écrit)\s*:$"
 MARKS = r"^([ \t]*>)+"
+#: Parts into which the quotes of one passage are dealt for the join.
+SALTS = 8
+#: Hashes and links up to this number are broadcast; more are joined by shuffle.
+BROADCAST_KEYS = 1_000_000
 
 
 def level(line: Column) -> Column:
@@ -27,50 +33,104 @@ def normalised(line: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(F.regexp_replace(line, MARKS, ""), r"[ \t\r]+", " ")))
 
 
-def lines(messages: DataFrame) -> DataFrame:
-    """(row, conv, turn, at, line, level, own): the lines of all messages; own: neither quoted nor announcing a quote."""
-    split = messages.select("row", "conv", "turn", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("at", "line"))
-    marked = split.withColumn("level", level(F.col("line")))
-    follows = F.lead("level", 1, 0).over(Window.partitionBy("row").orderBy("at"))
-    announces = F.trim(F.col("line")).rlike(ANNOUNCES) & (F.col("next") > 0)
-    return marked.withColumn("next", follows).withColumn("own", (F.col("level") == 0) & ~announces).drop("next")
+def own_lines(text: Column) -> Column:
+    """array<struct(line, level, own)> of a message; own: neither quoted nor announcing a quote."""
+    lines = F.split(text, "\n", -1)
+    levels = F.transform(lines, level)
+    following = F.concat(F.slice(levels, F.lit(2), F.size(levels)), F.array(F.lit(0)))
+    parts = F.arrays_zip(lines.alias("line"), levels.alias("level"), following.alias("next"))
+
+    def marked(x: Column) -> Column:
+        announces = F.trim(x["line"]).rlike(ANNOUNCES) & (x["next"] > 0)
+        return F.struct(x["line"].alias("line"), x["level"].alias("level"), ((x["level"] == 0) & ~announces).alias("own"))
+
+    return F.transform(parts, marked)
+
+
+def passages(marked: Column) -> Column:
+    """array<string> from ``own_lines``: ``level:words`` of each passage, ``\\r`` between its lines; announcing lines give none.
+
+    Each line is put down with a mark of whether it goes on with the line before, and the whole is cut at those
+    that do not: one pass, however long the message.
+    """
+    tags = F.transform(marked, lambda x: F.when(x["own"] | (x["level"] > 0), x["level"]).otherwise(-1))
+    words = F.transform(marked, lambda x: normalised(x["line"]))
+    shifted = lambda array, first: F.concat(F.array(first), F.slice(array, F.lit(1), F.size(array) - 1))
+    rows = F.arrays_zip(tags.alias("tag"), words.alias("words"), shifted(tags, F.lit(-2)).alias("last"), shifted(words, F.lit("")).alias("before"))
+    goes_on = lambda x: (x["tag"] == x["last"]) & (x["words"] != "") & (x["before"] != "")
+    cut = F.transform(rows, lambda x: F.concat(F.when(goes_on(x), F.lit("\r")).otherwise(F.concat(F.lit("\n"), x["tag"].cast("string"), F.lit(":"))), x["words"]))
+    return F.filter(F.split(F.array_join(cut, ""), "\n", -1), lambda p: p.rlike(r"(?s)^\d+:."))
+
+
+def pieces(messages: DataFrame, shortest: int) -> DataFrame:
+    """(conv, position, turn, level, size, hash): whole passages, and their sentences and lines of ``shortest`` characters and more."""
+    found = messages.select("conv", "position", "turn", F.explode(passages(own_lines(F.col("text")))).alias("p"))
+    told = found.select("conv", "position", "turn", F.substring_index("p", ":", 1).cast("int").alias("level"), F.regexp_replace("p", r"^\d+:", "").alias("p"))
+    whole = F.translate(F.col("p"), "\r", " ")
+    parts = F.concat(F.split("p", "\r"), F.split(F.regexp_replace(whole, r"([.!?]) ", "$1\n"), "\n"))
+    every = F.concat(F.array(whole), F.filter(parts, lambda x: F.length(x) >= shortest))
+    each = told.select("conv", "position", "turn", "level", F.explode(every).alias("words"))
+    return each.select("conv", "position", "turn", "level", F.length("words").alias("size"), F.md5("words").alias("hash"))
 
 
 def numbered(messages: DataFrame) -> DataFrame:
-    """Add ``position``: the place of a message in its conversation, from 1, by turn and then row.
+    """(conv, turn, role, text, times, position, before) of messages (conv, turn, role, text).
 
-    Rows are dealt by ranges and counted range by range, so that a conversation of any size is spread
-    over tasks; only the counts of each conversation in each range meet.
+    Equal rows are one that stands several ``times``. ``position``: its first place in its conversation, from 1,
+    by turn, role and digest of the text; ``before``: the turn of the message before. Rows are dealt by ranges
+    and counted range by range, so that a conversation of any size is spread over tasks; only the
+    counts of each conversation in each range meet.
     """
-    dealt = stored(messages.repartitionByRange("conv", "turn", "row").withColumn("range", F.spark_partition_id()), "ranges")
-    inside = F.row_number().over(Window.partitionBy("conv", "range").orderBy("turn", "row"))
-    before = Window.partitionBy("conv").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    counts = dealt.groupBy("conv", "range").agg(F.count(F.lit(1)).alias("n"))
-    offsets = counts.withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0))).select(F.col("conv").alias("c"), F.col("range").alias("r"), "offset")
-    joined = dealt.withColumn("inside", inside).join(offsets, F.col("conv").eqNullSafe(F.col("c")) & (F.col("range") == F.col("r")))
-    return joined.withColumn("position", (F.col("inside") + F.col("offset")).cast("long")).drop("range", "inside", "c", "r", "offset")
-
-
-def originals(found: DataFrame, shortest: int) -> DataFrame:
-    """(row, to_conv, to_turn): the message that each quoting message quotes.
-
-    A line's origin is the first message of the same conversation, else of all, that wrote it itself. Of
-    the lines at the lowest level with an origin other than the message itself or a later one, the
-    message that wrote most characters is quoted; ties go to the same conversation, then to the later
-    turn. Origins are aggregated before the join, so lines that many share cause no more rows.
+    order = ["turn", "role", "digest"]
+    same = messages.groupBy("conv", "turn", "role", "text").agg(F.count(F.lit(1)).alias("times")).withColumn("digest", F.sha2("text", 256))
+    dealt = stored(same.repartitionByRange("conv", *order).withColumn("range", F.spark_partition_id()), "ranges")
+    inside = Window.partitionBy("conv", "range").orderBy(*order)
+    earlier = Window.partitionBy("conv").orderBy("range")
+    counts = dealt.groupBy("conv", "range").agg(F.sum("times").alias("n"), F.max("turn").alias("last"))
+    offset = F.coalesce(F.sum("n").over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = counts.select("conv", "range", offset.alias("offset"), F.lag("last").over(earlier).alias("last"))
+    upto = F.sum("times").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("times")
+    joined = dealt.withColumn("upto", upto).withColumn("lag", F.lag("turn").over(inside)).join(offsets, ["conv", "range"])
+    done = joined.select("conv", "turn", "role", "text", "times", (F.col("upto") + F.col("offset") + 1).alias("position"), F.coalesce("lag", "last").alias("before"))
+    ordered = stored(done, "ordered")
+    discard(dealt)
+    return ordered
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """``df``, to be broadcast if it has no more than ``BROADCAST_KEYS`` rows."""
+    return F.broadcast(df) if df.count() <= BROADCAST_KEYS else df
+
+
+def originals(ordered: DataFrame, shortest: int) -> DataFrame:
+    """(conv, position, to_conv, to_turn): the message that each quoting message quotes.
+
+    A piece's origin is the first message of the same conversation, else of all, that wrote it itself; it must
+    stand before the quoting message or in another conversation, where a piece shorter than ``shortest``
+    proves nothing. At the lowest level with an origin, the message that wrote most characters of all pieces is quoted; ties
+    go to the same conversation, then to the later place. Only what is quoted is looked for among the
+    originals, and origins are aggregated before the join, so passages that many share cause no more rows.
     """
-    hashed = found.withColumn("words", normalised(F.col("line"))).where(F.length("words") >= shortest).withColumn("hash", F.md5("words"))
-    own = hashed.where("own")
-    here = own.groupBy("conv", "hash").agg(F.min("turn").alias("here"))
-    anywhere = own.groupBy("hash").agg(F.min(F.struct("conv", "turn")).alias("first"))
-    quotes = hashed.where("level > 0").groupBy("row", "conv", "turn", "hash").agg(F.min("level").alias("level"), F.max(F.length("words")).alias("size"))
-    traced = quotes.join(here, ["conv", "hash"], "left").join(anywhere, "hash", "left")
-    inside = F.col("here") < F.col("turn")
-    to = F.when(inside, F.struct("conv", F.col("here").alias("turn"))).when(F.col("first.conv") != F.col("conv"), F.col("first"))
-    linked = traced.select("row", "conv", "level", "size", to.alias("to")).where(F.col("to").isNotNull())
-    sums = linked.groupBy("row", "conv", "level", "to").agg(F.sum("size").alias("size"))
-    best = F.max(F.struct((-F.col("level")).alias("low"), "size", (F.col("to.conv") == F.col("conv")).alias("same"), F.col("to.turn").alias("turn"), (-F.col("to.conv")).alias("minus")))
-    return sums.groupBy("row").agg(best.alias("b")).select("row", (-F.col("b.minus")).alias("to_conv"), F.col("b.turn").alias("to_turn"))
+    quotes = pieces(ordered.where(F.col("text").rlike(r"(?m)" + MARKS)), shortest).where("level > 0")
+    quotes = stored(quotes.groupBy("conv", "position", "hash").agg(F.min("level").alias("level"), F.max("size").alias("size")), "quotes")
+    own = pieces(ordered, shortest).where("level = 0").join(bounded(quotes.select("hash").distinct()), "hash", "left_semi")
+    salts = F.explode(F.array(*map(F.lit, range(SALTS)))).alias("salt")
+    first = own.groupBy("conv", "hash").agg(F.min(F.struct("position", "turn")).alias("here"))
+    first = stored(first, "first")
+    here = first.select("conv", "hash", "here", salts)
+    anywhere = first.groupBy("hash").agg(F.min(F.struct("conv", "here")).alias("first")).select("hash", "first", salts)
+    dealt = quotes.withColumn("salt", F.pmod(F.xxhash64("conv", "position"), F.lit(SALTS)).cast("int"))
+    traced = dealt.join(here, ["conv", "hash", "salt"], "left").join(anywhere, ["hash", "salt"], "left")
+    to = lambda conv, place: F.struct(conv.alias("conv"), place["turn"].alias("turn"), place["position"].alias("place"))
+    inside = F.col("here.position") < F.col("position")
+    elsewhere = (F.col("first.conv") != F.col("conv")) & (F.col("size") >= shortest)
+    linked = traced.withColumn("to", F.when(inside, to(F.col("conv"), F.col("here"))).when(elsewhere, to(F.col("first.conv"), F.col("first.here")))).where("to is not null")
+    sums = linked.groupBy("conv", "position", "level", "to").agg(F.sum("size").alias("size"))
+    same = F.col("to.conv") == F.col("conv")
+    best = F.max(F.struct((-F.col("level")).alias("low"), "size", same.alias("same"), F.col("to.turn").alias("turn"), F.col("to.place").alias("place"), (-F.col("to.conv")).alias("minus")))
+    found = stored(sums.groupBy("conv", "position").agg(best.alias("b")).select("conv", "position", (-F.col("b.minus")).alias("to_conv"), F.col("b.turn").alias("to_turn")), "origins")
+    discard(quotes, first)
+    return found
 
 
 def threads(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", shortest: int = 8) -> DataFrame:
@@ -78,33 +138,34 @@ def threads(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str
 
     ``text`` is the message without quotes and the lines that announce them, white space trimmed off its
     ends; ``formatted`` puts the role before it. ``quoted`` tells whether the reply goes by a quote;
-    otherwise it goes to the message before in the conversation (null for the first). Lines of fewer than
-    ``shortest`` normalised characters prove no quote. A null text counts as empty, a null role as
-    "user". Messages with equal turns are ordered by role and text; repeated rows are kept. Rows with a null
-    conversation or turn are ordered as if these were -1. Other columns are not returned.
+    otherwise it goes to the message before in the conversation (null for the first). Sentences and lines of fewer
+    than ``shortest`` normalised characters prove no quote; a whole passage of any length does inside its conversation.
+    A null text counts as empty, a null role as "user". Messages with equal turns are ordered by role, then by a digest of the
+    text, and quote by that order; repeated rows are kept, and all reply alike to quotes. Rows with a null
+    conversation or turn are ordered as if these were -1. Whole texts are read, however long. Other columns are not
+    returned, whatever their names; an empty table gives an empty one.
     """
     get = lambda c: F.col(quoted(c))
-    base = df.select(F.coalesce(get(conv).cast("long"), F.lit(-1)).alias("conv"), F.coalesce(get(turn).cast("long"), F.lit(-1)).alias("turn"), F.coalesce(get(role), F.lit("user")).alias("role"), get(text).alias("text"))
-    # equal rows are one message that stands several times
-    same = base.groupBy("conv", "turn", "role", "text").agg(F.count(F.lit(1)).alias("times"))
-    keyed = stored(same.withColumn("row", F.sha2(F.concat_ws("\x00", F.col("conv").cast("string"), F.col("turn").cast("string"), "role", F.coalesce(F.concat(F.lit("t"), F.col("text")), F.lit("n"))), 256)), "messages")
-    found = lines(keyed)
-    kept = found.where("own").groupBy("row").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "line"))), lambda x: x["line"]), "\n").alias("body"))
-    whole = keyed.join(kept, "row", "left").join(originals(found, shortest), "row", "left")
-    body = F.regexp_replace(F.regexp_replace(F.coalesce("body", F.lit("")), r"^\s+", ""), r"\s+$", "")
-    every = whole.select("conv", "turn", "role", "row", "to_conv", "to_turn", body.alias("body"), F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("copy"))
-    order = numbered(every.withColumn("row", F.concat("role", F.lit("\x00"), "body", F.lit("\x00"), "row", F.lit("\x00"), F.lpad(F.col("copy").cast("string"), 12, "0"))))
-    order = stored(order, "ordered")
-    before = order.select(F.col("conv").alias("c"), (F.col("position") + 1).alias("p"), F.col("turn").alias("before"))
-    joined = order.join(before, (F.col("conv") == F.col("c")) & (F.col("position") == F.col("p")), "left")
+    base = df.select(
+        F.coalesce(get(conv).cast("long"), F.lit(-1)).alias("conv"),
+        F.coalesce(get(turn).cast("long"), F.lit(-1)).alias("turn"),
+        F.coalesce(get(role), F.lit("user")).alias("role"),
+        F.coalesce(get(text), F.lit("")).alias("text"),
+    )
+    ordered = numbered(base)
+    whole = ordered.join(bounded(originals(ordered, shortest)), ["conv", "position"], "left")
+    kept = F.array_join(F.transform(F.filter(own_lines(F.col("text")), lambda x: x["own"]), lambda x: x["line"]), "\n")
+    body = F.regexp_replace(F.regexp_replace(kept, r"^\s+", ""), r"\s+$", "")
+    copies = whole.withColumn("body", body).drop("text").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("times").cast("int") - 1)))
     quoting = F.col("to_turn").isNotNull()
-    return joined.select(
+    before = F.when(F.col("copy") > 0, F.col("turn")).otherwise(F.col("before"))
+    return copies.select(
         F.col("conv").alias(conv),
         F.col("turn").alias(turn),
         F.col("role").alias(role),
-        "position",
-        F.when(quoting, F.col("to_conv")).when(F.col("before").isNotNull(), F.col("conv")).alias("reply_conv_id"),
-        F.when(quoting, F.col("to_turn")).otherwise(F.col("before")).alias("reply_turn"),
+        (F.col("position") + F.col("copy")).alias("position"),
+        F.when(quoting, F.col("to_conv")).when(before.isNotNull(), F.col("conv")).alias("reply_conv_id"),
+        F.when(quoting, F.col("to_turn")).otherwise(before).alias("reply_turn"),
         quoting.alias("quoted"),
         F.col("body").alias(text),
         F.concat(F.lit("<|"), F.col("role"), F.lit("|>\n"), F.col("body")).alias("formatted"),

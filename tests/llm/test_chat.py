@@ -18,6 +18,15 @@ TALK = [
     (3, 2, None, ">>> \n>"),
     (4, 0, "user", "word " * 50_000),
     (None, None, "user", "lost\n> It keeps equal items in order."),
+    (5, 0, "user", "A first sentence stands here, and it is a rather long one. Then a second\nfollows it on the next line.\n\nx = 1"),
+    (5, 1, "assistant", "yes"),
+    (5, 2, "user", "El lunes Ann escribió:\n> A first sentence stands\n> here, and it is a\n>\trather long one. Then a\n> second follows it on\n> the next line.\nWrapped anew."),
+    (5, 3, "assistant", "> Yes\nA short one."),
+    (5, 4, "user", "> Then a second follows it\n> on the next line.\n\n> x = 1\nA part of it."),
+    (6, 0, "user", "> yes\nTold in another conversation."),
+    (7, None, "assistant", "Without any turns."),
+    (7, None, "user", "> Without any turns.\nStill linked."),
+    (7, None, "user", "> Without any turns.\nStill linked."),
 ]
 SCHEMA = "conv_id long, turn long, role string, text string"
 
@@ -36,6 +45,23 @@ def test_links(got):
     assert reply[3, 0] == (None, None, False) and reply[-1, -1] == (2, 1, True)
 
 
+def test_passages(got):
+    reply = {(r.conv_id, r.text.partition("\n")[0]): (r.reply_conv_id, r.reply_turn, r.quoted) for r in got}
+    assert reply[5, "Wrapped anew."] == (5, 0, True), "line breaks do not matter"
+    assert reply[5, "A short one."] == (5, 1, True), "a whole short message"
+    assert reply[5, "A part of it."] == (5, 0, True)
+    assert reply[6, "Told in another conversation."] == (None, None, False), "short ones count only in their conversation"
+    assert reply[7, "Still linked."] == (7, -1, True), "without turns, by the order"
+    assert sum(r.quoted for r in got if r.conv_id == 7) == 2
+
+
+def test_long_quote(spark):
+    lines = [f"line {i} of many" for i in range(30_000)]
+    rows = [(1, 0, "user", "\n".join(lines)), (1, 1, "user", "another"), (1, 2, "user", "\n".join("> " + x for x in lines))]
+    got = chat.threads(spark.createDataFrame(rows, SCHEMA)).where("turn = 2").first()
+    assert (got.reply_turn, got.quoted, got.text) == (0, True, "")
+
+
 def test_texts_and_order(got):
     text = {(r.conv_id, r.turn): r.text for r in got}
     assert text[1, 2] == "I mean in place." and text[1, 4] == "Thanks!" and text[3, 2] == "" and text[1, 1].endswith("\n\nIt is stable.")
