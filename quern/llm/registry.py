@@ -8,7 +8,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 
 #: Modules of this subpackage that hold ``QUERIES`` and ``ORACLE_SQL``.
-MODULES = ["q_bpe", "q_labels", "q_lm", "q_html", "q_decontam", "q_neardup", "q_ann", "q_chat", "q_secrets", "q_quality", "q_whitening", "q_pipeline"]
+MODULES = ["q_bpe", "q_labels", "q_lm", "q_html", "q_decontam", "q_neardup", "q_ann", "q_chat", "q_secrets", "q_quality", "q_whitening", "q_repair", "q_pipeline"]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
