@@ -1,10 +1,8 @@
-"""Keyed tables on plain Parquet: latest row for each key, merges into versions, and differences."""
+"""Latest row for each key, merges, differences and partitioned writes (see ``versions`` for keyed tables)."""
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -40,51 +38,6 @@ def newer(source: DataFrame, target: DataFrame, column: str) -> DataFrame:
     return source.where(F.col(column) > watermark(target, column))
 
 
-def _fs(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def _versions(spark: SparkSession, path: str) -> list[tuple[int, str, str]]:
-    """(number, folder, batch) of the versions that a table has kept, newest first."""
-    folder, fs = _fs(spark, f"{path}/_versions")
-    names = [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
-    parts = [n.split("_") for n in names if n.count("_") == 2]
-    return sorted(((int(n), version, batch) for n, version, batch in parts), reverse=True)
-
-
-def current(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table's newest version; None before the first."""
-    versions = _versions(spark, path)
-    return spark.read.parquet(f"{path}/{versions[0][1]}") if versions else None
-
-
-def upsert(spark: SparkSession, path: str, updates: DataFrame, keys: list[str], sequence: str | None = None, tie: str | None = None, partition: list[str] | None = None, batch_id: int | None = None, keep: int = 2) -> DataFrame:
-    """Merge into the keyed table at ``path`` and return its new version.
-
-    The merged table is written beside the old one and counts from the moment that an empty file with its number
-    and name appears under ``_versions``: one step, nothing is deleted or replaced before. A crash at any
-    place leaves the old version or the new one. Of earlier versions all but ``keep`` are removed afterwards. A batch whose
-    id is not above the newest version's is not applied again. Without a sequence, of updates with one key the
-    one of the largest hash counts.
-    """
-    versions = _versions(spark, path)
-    if batch_id is not None and versions and versions[0][2] and int(versions[0][2]) >= batch_id:
-        return current(spark, path)
-    old = current(spark, path)
-    new = scd1_latest(updates, keys, sequence, tie)
-    table = new if old is None else merged(old, new, keys, sequence, tie)
-    version = f"v-{uuid.uuid4().hex[:12]}"
-    write_partitioned(table, f"{path}/{version}", partition or [])
-    number = versions[0][0] + 1 if versions else 1
-    mark, fs = _fs(spark, f"{path}/_versions/{number}_{version}_{'' if batch_id is None else batch_id}")
-    fs.create(mark, False).close()
-    for n, folder, batch in _versions(spark, path)[keep:]:
-        fs.delete(_fs(spark, f"{path}/_versions/{n}_{folder}_{batch}")[0], False)
-        fs.delete(_fs(spark, f"{path}/{folder}")[0], True)
-    return current(spark, path)
-
-
 def write_partitioned(df: DataFrame, path: str, columns: list[str], mode: str = "error", salt: int = 8) -> None:
     """Write by partition columns; rows are dealt by them and a salt, so one large partition is several tasks and files."""
     if columns:
@@ -101,11 +54,3 @@ def change_diff(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     joined = a.join(b, keys, "full_outer")
     kind = F.when(F.col("__old").isNull(), "insert").when(F.col("__new").isNull(), "delete").when(F.col("__old") != F.col("__new"), "update")
     return joined.withColumn("change", kind).where("change is not null").select(*keys, "change")
-
-
-def compact(spark: SparkSession, path: str, out: str, where: Column, sort: list[str], partition: list[str], files: int = 8) -> None:
-    """Rewrite the chosen rows sorted into few files of ranges, the rest as it is, to ``out``."""
-    df = spark.read.parquet(path)
-    chosen = df.where(where).repartitionByRange(files, *partition, *sort).sortWithinPartitions(*partition, *sort)
-    chosen.write.mode("append").partitionBy(*partition).parquet(out)
-    df.where(~F.coalesce(where, F.lit(False))).write.mode("append").partitionBy(*partition).parquet(out)

@@ -13,6 +13,7 @@ from quern.functions.shared import shared_dir
 from quern.operators import marts
 from quern.operators import silver as S
 from quern.operators import upsert as U
+from quern.operators import versions as V
 from quern.plans import marts as M
 from quern.plans.views import AS_OF, FACT, MIN_YEAR, REQUESTS, half_up, raw, requests, star
 from quern.sources import landing as L
@@ -240,10 +241,10 @@ KEYS = ["l_orderkey", "l_linenumber"]
 def upsert_merge(spark: SparkSession, sf: str) -> DataFrame:
     """Three batches by a hash, out of order, the last one twice: the table is that of all rows at once."""
     path, rows = work_dir(spark), versions(spark, sf)
-    for batch, k in enumerate((2, 0, 1)):
-        U.upsert(spark, path, rows.where(F.pmod(F.xxhash64("l_shipdate", "l_quantity"), F.lit(3)) == k), KEYS, "seq", batch_id=batch)
-    U.upsert(spark, path, rows.where("l_orderkey < 0"), KEYS, "seq", batch_id=2)
-    return U.current(spark, path).select(*KEYS, F.to_date("l_shipdate").alias("day"), "l_quantity", "l_extendedprice")
+    part = lambda k: rows.where(F.pmod(F.xxhash64("l_shipdate", "l_quantity"), F.lit(3)) == k)
+    for batch, k in [*enumerate((2, 0, 1)), (2, 1)]:
+        V.merge(spark, path, part(k), KEYS, "seq", batch_id=batch)
+    return V.current(spark, path).select(*KEYS, F.to_date("l_shipdate").alias("day"), "l_quantity", "l_extendedprice")
 
 
 @query(
@@ -304,4 +305,4 @@ def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
     root = work_dir(spark)
     source = stream.bronze_stream(spark, f"{sf}/events.parquet*", schema)
     stream.upsert_stream(source, f"{root}/table", f"{root}/checkpoint", ["user_id"], "ts", "event_id").awaitTermination()
-    return U.current(spark, f"{root}/table").select("user_id", F.to_date("ts").alias("last_day"), F.lit(1).cast("long").alias("n"))
+    return V.current(spark, f"{root}/table").select("user_id", F.to_date("ts").alias("last_day"), F.lit(1).cast("long").alias("n"))

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from quern.operators.silver import silver
-from quern.operators.upsert import upsert
+from quern.operators.versions import merge
 from quern.sources.landing import with_provenance
 
 
@@ -29,7 +29,7 @@ def upsert_stream(stream: DataFrame, out: str, checkpoint: str, keys: list[str],
     """Clean each batch and merge it into the keyed table; rows out of order lose to later ones, a replayed batch changes nothing."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        upsert(batch.sparkSession, out, clean(batch) if clean else batch, keys, sequence, tie, batch_id=batch_id)
+        merge(batch.sparkSession, out, clean(batch) if clean else batch, keys, sequence, tie, batch_id=batch_id)
 
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
