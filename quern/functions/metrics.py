@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 #: percentile_approx with this accuracy is exact for groups of up to as many rows.
@@ -45,6 +45,46 @@ def trailing(order: str, rows: int, *by: str) -> Window:
     return Window.partitionBy(*by).orderBy(order).rowsBetween(1 - rows, 0)
 
 
+def day_number(key: str = "date_key") -> Column:
+    """Days since 1970 of a yyyyMMdd key."""
+    return F.unix_date(F.to_date(F.col(key).cast("string"), "yyyyMMdd"))
+
+
+class Rolling:
+    """Means, lags and deviations of a measure over the rows of a key before a row: by rows, or by days.
+
+    By days, frames are ranges of day numbers, and a day without a row counts 0 from the day ``first`` on (a day
+    number; before it there is nothing): the same as rows over a table that has every day for every key, which is not built.
+    """
+
+    def __init__(self, *by: str, first: int | None = None, order: str = "date_key") -> None:
+        self.by, self.first, self.order = by, first, order
+        self.day = day_number(order)
+
+    def _range(self, start: int, end: int) -> WindowSpec:
+        return Window.partitionBy(*self.by).orderBy(self.day).rangeBetween(start, end)
+
+    def mean(self, c: Column, n: int) -> Column:
+        if self.first is None:
+            return F.avg(c).over(trailing(self.order, n, *self.by))
+        return F.sum(c).over(self._range(1 - n, 0)) / self._days(n).cast("double")
+
+    def lag(self, c: Column, n: int = 1) -> Column:
+        if self.first is None:
+            return F.lag(c, n).over(Window.partitionBy(*self.by).orderBy(self.order))
+        return F.coalesce(F.sum(c).over(self._range(-n, -n)), F.when(self.day - n >= self.first, 0))
+
+    def deviation(self, c: Column, n: int) -> Column:
+        if self.first is None:
+            return F.stddev_samp(c).over(trailing(self.order, n, *self.by))
+        frame, days = self._range(1 - n, 0), self._days(n)
+        spread = F.sum(c * c).over(frame).cast("double") - F.pow(F.sum(c).over(frame).cast("double"), 2) / days
+        return F.when(days > 1, F.sqrt(F.greatest(spread, F.lit(0.0)) / (days - 1)))
+
+    def _days(self, n: int) -> Column:
+        return F.least(F.lit(n), self.day - self.first + 1)
+
+
 def top_n(counts: DataFrame, by: list[str], name: str, count: str, n: int, prefix: str, suffix: str = "") -> DataFrame:
     """One row for each ``by``: the n largest of (name, count) as columns; ties go to the smaller name.
 

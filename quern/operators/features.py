@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.functions.metrics import change, ratio, rounded, trailing
+from quern.functions.metrics import Rolling, change, ratio, rounded
 from quern.operators.dims import season
 from quern.operators.fact import Dims
 from quern.operators.marts import by_day
@@ -13,15 +13,18 @@ from quern.operators.marts import by_day
 STARTED = ["OPEN", "ASSIGNED", "STARTED"]
 
 
-def forecast_features(facts: DataFrame, dims: Dims, start: str = "2020-01-01", group_cols: tuple[str, ...] = ()) -> DataFrame:
-    """One row for each day (and group): the volume, its lags and rolling figures by row, and marks of the season."""
+def forecast_features(facts: DataFrame, dims: Dims, start: str = "2020-01-01", group_cols: tuple[str, ...] = (), first: int | None = None) -> DataFrame:
+    """One row for each day (and group): the volume, its lags and rolling figures, and marks of the season.
+
+    Lags and frames go by rows; with ``first``, a day number, by days from it on, of which those without a row count 0.
+    """
     base = by_day(facts, dims).where(F.col("date_actual") >= F.lit(start).cast("date"))
     timed = F.when(F.col("is_closed") & (F.col("response_time_hours") >= 0), F.col("response_time_hours"))
     days = base.groupBy(*group_cols, "date_key", "date_actual").agg(
         F.count(F.lit(1)).alias("y"), F.count_if("is_closed").alias("closed_complaints"), F.count_if(F.upper("status").isin(STARTED)).alias("in_progress_count"), F.avg(timed).alias("mean_hours"), *[F.max(c).alias(c) for c in ("year", "month", "holiday_name")], *[F.max(c).cast("int").alias(c) for c in ("is_weekend", "is_holiday", "is_business_day")]
     )
-    order, month = Window.partitionBy(*group_cols).orderBy("date_actual"), trailing("date_actual", 30, *group_cols)
-    rolled = days.withColumns({"week": F.avg("y").over(trailing("date_actual", 7, *group_cols)), "mean": F.avg("y").over(month), "std": F.stddev_samp("y").over(month), **{f"lag_{n}day": F.lag("y", n).over(order) for n in (1, 7, 30, 365)}})
+    y, roll = F.col("y"), Rolling(*group_cols, first=first)
+    rolled = days.withColumns({"week": roll.mean(y, 7), "mean": roll.mean(y, 30), "std": roll.deviation(y, 30), **{f"lag_{n}day": roll.lag(y, n) for n in (1, 7, 30, 365)}})
     m = F.col("month")
     flag = lambda *months: m.isin(*months).cast("int")
     return rolled.select(

@@ -164,21 +164,22 @@ def _changes(hits: DataFrame, new: DataFrame, keys: list[str], columns: list[str
 
 def merge(
     spark: SparkSession, path: str, updates: DataFrame, keys: list[str], sequence: str | None = None, tie: str | None = None, partition: list[str] | None = None,
-    deletes: Column | None = None, batch_id: int | None = None, attempts: int = 5, salt: int = 1,
+    deletes: Column | str | None = None, batch_id: int | None = None, attempts: int = 5, salt: int = 1,
 ) -> Version:
     """Put ``updates`` into the keyed table at ``path``, and return the version that holds them.
 
     Of rows with one key the last by ``sequence``, ``tie`` and a hash of the row counts, in the updates and against the table, so rows
-    out of order change nothing; without a sequence updates win. Rows where ``deletes`` holds remove their key (a later merge of an
-    older row brings it back: nothing remembers what was deleted). Null keys are equal to each other. Columns that the table lacks are added,
+    out of order change nothing; without a sequence updates win. Rows where ``deletes`` holds (a condition, or the name of a column that is not
+    kept) remove their key; a later merge of an older row brings it back, since nothing remembers what was deleted. Null keys are equal to each other. Columns that the table lacks are added,
     those that the updates lack are null in them. Partition columns are those of the first version; a key may move between them.
     A batch whose id is not above the highest one merged is not applied again.
 
     Read of the table are the keys of all files, and then the folders that hold a key of the updates; written are the changed rows (as the
     feed) and the folders that hold one of those, with what else is in them. If another writer commits first, all is done again on their version.
     """
-    gone = F.lit(False) if deletes is None else F.coalesce(deletes, F.lit(False))
-    latest = stored(scd1_latest(updates.withColumn("__delete", gone), keys, sequence, tie), "updates")
+    gone = F.lit(False) if deletes is None else F.coalesce(F.col(deletes) if isinstance(deletes, str) else deletes, F.lit(False))
+    marked = updates.withColumn("__delete", gone)
+    latest = stored(scd1_latest(marked.drop(deletes) if isinstance(deletes, str) else marked, keys, sequence, tie), "updates")
     own = [c for c in latest.columns if c != "__delete"]
     for attempt in range(attempts):
         base = version(spark, path)

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions import lookups
-from quern.functions.shared import shared_dir
+from quern.functions.shared import stored, work_dir
 from quern.operators import marts
 from quern.operators import silver as S
 from quern.operators import upsert as U
@@ -33,11 +32,6 @@ def query(sql: str | None = None) -> Callable:
     return register
 
 
-def work_dir(spark: SparkSession) -> str:
-    """A new folder where the cluster shares files."""
-    return f"{shared_dir(spark)}/quern-{uuid.uuid4().hex[:12]}"
-
-
 @query(f"{REQUESTS} SELECT unique_key, created_date::DATE AS created_day FROM req WHERE created_date >= DATE '1997-12-01' AND created_date < DATE '1998-01-01'")
 def period_slice(spark: SparkSession, sf: str) -> DataFrame:
     """December, whose end is in the next year."""
@@ -263,11 +257,12 @@ def change_diff(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH d AS ({M.ORACLE_SQL['daily_summary']}) SELECT * FROM d WHERE date_actual >= (SELECT max(date_actual) FROM d) - 14")
 def incremental_equals_full(spark: SparkSession, sf: str) -> DataFrame:
-    """The last days of the daily summary with all its columns, built from the look-back alone."""
+    """The last days of the daily summary with all its columns, from an older summary and the look-back alone."""
     facts, dims = star(spark, sf)
     last = facts.agg(F.max("created_date_key")).first()[0]
     day = f"{last // 10000}-{last // 100 % 100:02d}-{last % 100:02d}"
-    return marts.incremental(lambda f: marts.agg_daily(f, dims), facts, day, 14)
+    mart = stored(marts.agg_daily(facts.where(F.col("created_date_key") < last), dims), "older-mart")
+    return marts.incremental(lambda since: marts.agg_daily(facts, dims, since), mart, [], day, 14)
 
 
 @query(f"WITH d AS ({M.ORACLE_SQL['monthly_summary']}) SELECT * FROM d WHERE month_start_date >= (SELECT max(month_start_date) FROM d) - INTERVAL 2 MONTH")

@@ -8,7 +8,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 
 #: Modules of ``quern.plans`` that hold ``QUERIES`` and ``ORACLE_SQL``.
-MODULES = ["marts", "cleaning", "quality"]
+MODULES = ["marts", "cleaning", "keyed", "quality"]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -153,3 +153,67 @@ def test_clustering(spark, tmp_path):
     versions.merge(spark, heavy, one, ["k"])
     clustering.cluster(spark, heavy, ["agency", "month"], rows_per_file=50)
     assert versions.current(spark, heavy).count() == 402 and clustering.file_ranges(versions.current(spark, heavy), ["agency"]).agg(F.max("rows")).first()[0] < 150
+
+
+def test_pruning_when_it_runs(spark, sf):
+    """The join's filter on the dates reaches the scan of the facts, which opens the folders of two years of seven."""
+    from quern.plans import keyed
+    from quern.plans.views import star
+
+    facts, dims = star(spark, sf)
+    df = keyed.holidays(versions.current(spark, keyed.fact_table(spark, facts)), dims)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower()
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line and "dynamicpruning" in line.lower()]
+    assert scans
+    read = {r.created_year for r in df.select("created_year").distinct().collect()}
+    assert read and read < {r.created_year for r in facts.select("created_year").distinct().collect()}
+
+    def files(node):
+        found = [node.metrics().get("numFiles").get().value()] if node.nodeName().startswith("Scan parquet") and "dynamicpruning" in node.toString().lower() else []
+        inner = [node.executedPlan()] if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec" else [node.plan()] if "QueryStageExec" in node.getClass().getSimpleName() else []
+        below = node.children()
+        for child in [*inner, *[below.apply(i) for i in range(below.size())]]:
+            found += files(child)
+        return found
+
+    assert files(df._jdf.queryExecution().executedPlan()) == [2]
+
+
+def test_a_refresh_reads_and_writes_little(spark, sf, tmp_path):
+    """Months before the look-back are carried, vanished rows go, and facts before it are not asked for."""
+    from quern.operators import marts
+    from quern.plans.views import star
+
+    facts, dims = star(spark, sf)
+    path = str(tmp_path / "mart")
+    marts.put_down(spark, path, marts.agg_location(facts, dims))
+    months = len(versions.version(spark, path).folders)
+    last = facts.agg(F.max("created_date_key")).first()[0]
+    day = f"{last // 10000}-{last // 100 % 100:02d}-{last % 100:02d}"
+    fewer = facts.where(F.col("created_date_key") != last)
+    asked = []
+
+    def build(since):
+        asked.append(since.day)
+        return marts.agg_location(fewer, dims, since=since)
+
+    marts.refresh(spark, path, build, ["location_key"], day, 20, 7)
+    v = versions.version(spark, path)
+    assert len(v.added) <= 2 and len(v.folders) >= months - 1 and asked[0] > last - 10_000
+    got, want = versions.current(spark, path).drop("mart_month"), marts.agg_location(fewer, dims)
+    assert sorted(map(repr, got.select(*want.columns).collect())) == sorted(map(repr, want.collect()))
+    marts.refresh(spark, path, lambda since: marts.agg_location(fewer, dims, since=since), ["location_key"], day, 20, 7)
+    assert versions.version(spark, path).added == []  # nothing changed, nothing is written
+    with pytest.raises(ValueError):
+        marts.refresh(spark, str(tmp_path / "none"), build, ["location_key"], day, 20)
+
+
+def test_rolling_by_days(spark):
+    from quern.functions.metrics import Rolling
+
+    df = spark.createDataFrame([("a", 20240227, 4), ("a", 20240301, 2), ("a", 20240308, 6), ("b", 20240301, 5)], "g string, date_key int, n long")
+    roll = Rolling("g", first=19_780)  # 27 February 2024
+    got = {(r.g, r.date_key): (r.m, r.d, r.w, r.s and round(r.s, 9)) for r in df.withColumns({"m": roll.mean(F.col("n"), 7), "d": roll.lag(F.col("n")), "w": roll.lag(F.col("n"), 7), "s": roll.deviation(F.col("n"), 3)}).collect()}
+    assert got == {("a", 20240227): (4.0, None, None, None), ("a", 20240301): (1.5, 0, None, round((4 / 3) ** 0.5, 9)), ("a", 20240308): (6 / 7, 0, 2, round(12**0.5, 9)), ("b", 20240301): (1.25, 0, None, round((25 / 3) ** 0.5, 9))}
