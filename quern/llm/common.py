@@ -91,6 +91,26 @@ def sampled(df: DataFrame, key: str, bound: int, size: Column | None = None, mos
     return df.where(F.pmod(F.xxhash64(F.col(quoted(key)), F.lit("sample")), F.lit(1 << 30)) < int(share * (1 << 30)))
 
 
+def sampled_rows(df: DataFrame, bound: int, size: Column | None = None, most_bytes: int = 0) -> DataFrame:
+    """About ``bound`` rows of ``df`` (all, if it has no more), whatever their keys are: equal rows are chosen one by one.
+
+    With ``size`` (bytes of a row), about ``most_bytes`` at most, and no row of over a sixteenth of that. The choice goes by a hash
+    of the row's place in the scan, and never leaves out all rows of a table that has some. To be collected at once, from a table that is stored or read as it is.
+    """
+    if size is not None:
+        df = df.where(F.coalesce(size, F.lit(0)) <= most_bytes // 16)
+    n, total = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0)) if size is not None else F.lit(0)).first()
+    if n <= bound and total <= most_bytes:
+        return df
+    share = min(bound / n, most_bytes / total if total else 1.0)
+    return df.where(chosen(F.lit(max(1, int(share * (1 << 30))))))
+
+
+def chosen(share: Column) -> Column:
+    """Whether a row is taken, of 2^30 ``share`` times: by a hash of its place in the scan."""
+    return F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit("sample")), F.lit(1 << 30)) < share
+
+
 def small_batches(spark: SparkSession) -> None:
     """Hold the session to batches that keep a worker's memory low with long rows, by rows and by bytes.
 

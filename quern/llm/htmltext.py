@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quern.llm.common import quoted, sampled, with_python_columns
+from quern.llm.common import quoted, sampled_rows, with_python_columns
 
 #: Elements that only style text, those without an end tag, and those whose content is never shown as text.
 INLINE = set("a abbr acronym b bdi bdo big br cite code data dfn em font i img ins del kbd mark q s samp small span strike strong sub sup time tt u var wbr".split())
@@ -342,7 +342,7 @@ def fit(pages: DataFrame, html: str = "html", key: str = "page_id", bound: int =
     and an empty table trains on one built-in sentence.
     """
     plain = pages.where(F.col(quoted(html)).isNotNull() & F.col(quoted(key)).isNotNull()).select(F.col(quoted(key)).alias("key"), F.col(quoted(html)).alias("html"))
-    sample = sampled(plain, "key", bound, F.octet_length("html"), most_bytes)
+    sample = sampled_rows(plain, bound, F.octet_length("html"), most_bytes)
 
     def make() -> Callable:
         return lambda columns: [pa.array([[t for _, t, _ in blocks(h)] for h in columns[0].to_pylist()], pa.list_(pa.string()))]

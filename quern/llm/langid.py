@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quern.llm.common import quoted, with_python_columns
+from quern.llm.common import chosen, quoted, with_python_columns
 
 #: Language codes of the larger European families. Other codes form the family "other".
 FAMILIES = {
@@ -111,9 +111,9 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_i
     """Fit on a bounded sample: about ``per_language`` rows of each language, ``total`` in all.
 
     Rows with a null language, or without letters, are not used; None if no rows are left, as in an empty table.
-    Of more than ``most_languages`` values of ``lang`` the commonest are learned. Whole texts are read; rows that
-    repeat a key are taken or left together. The features are made on the executors; only they and the labels
-    of the sample come to the driver.
+    Of more than ``most_languages`` values of ``lang`` the commonest are learned. Whole texts are read; the choice goes by
+    a row's place in the scan, so null and equal keys, and equal rows, do not matter. The features are made on the
+    executors; only they and the labels of the sample come to the driver.
     """
     df = df.select(F.col(quoted(key)).alias("key"), F.col(quoted(lang)).alias("lang"), F.col(quoted(text)).alias("text"))
     known = df.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
@@ -124,14 +124,13 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_i
     share: Column = F.lit(0)
     for name, n in counts.items():
         share = F.when(F.col("lang") == name, F.lit(min(1 << 30, int(each / n * (1 << 30))))).otherwise(share)
-    chosen = known.where(F.pmod(F.xxhash64("key", F.lit("langid")), F.lit(1 << 30)) < share).select("lang", "text")
+    some = known.where(chosen(share)).select("lang", "text")
 
     def make() -> Callable:
         return lambda columns: [pa.array([features(t).astype(np.float16).tobytes() for t in columns[0].to_pylist()], pa.binary())]
 
-    rows = with_python_columns(chosen, ["text"], [T.StructField("vector", T.BinaryType())], make, drop=("text",)).collect()
-    if not rows:
-        return None
+    vectors = lambda df: with_python_columns(df, ["text"], [T.StructField("vector", T.BinaryType())], make, drop=("text",)).collect()
+    rows = vectors(some) or vectors(known.select("lang", "text").limit(each))
     rows.sort(key=lambda r: (r["lang"], bytes(r["vector"])))
     x = np.stack([np.frombuffer(r["vector"], dtype=np.float16).astype(np.float32) for r in rows])
     return Tree(x, [r["lang"] for r in rows])

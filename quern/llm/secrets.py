@@ -33,21 +33,50 @@ BROADCAST_PIECES = 500_000
 REDACTED = "[REDACTED]"
 
 
+def total(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0), lambda acc, n: acc + n)
+
+
+def block_sums(numbers: Column) -> Column:
+    """Sums of each 64 entries."""
+    return F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size(numbers) - 1) / 64)).cast("int")), lambda b: total(F.slice(numbers, b * 64 + 1, F.lit(64))))
+
+
+def sum_before(i: Column, numbers: Column, by_64: Column, by_4096: Column) -> Column:
+    """The sum of the entries before place ``i`` (from 0), from whole blocks and the rest."""
+    wide, narrow = F.shiftright(i, 12), F.shiftright(i, 6)
+    return total(F.slice(by_4096, F.lit(1), wide)) + total(F.slice(by_64, wide * 64 + 1, narrow - wide * 64)) + total(F.slice(numbers, narrow * 64 + 1, i - narrow * 64))
+
+
 def findings(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, doc, first, start, candidate, before, after): each place of each candidate of a text, and what is beside it.
+    """(key, doc, start, candidate, before, after): each place of each candidate of a text, and what is beside it; ``doc`` is a digest of the text.
 
-    ``doc`` is a digest of the text, ``first`` whether the candidate stands in it there for the first time.
+    Made as small structs inside the row, from the candidates and what stands between them; only these leave it, so
+    neither memory nor time grows with the square of a text. What stands before or after is put together from neighbours: each
+    candidate has 8 characters at least, so five before it give 40 and two after it 16.
     """
-    t, found = F.col("text"), F.col("found")
+    t, found, between, pairs = (F.col(c) for c in ("text", "found", "between", "pairs"))
     base = docs.select(F.col(quoted(key)).alias("key"), F.col(quoted(text)).alias("text")).where(t.rlike(CANDIDATE))
-    parts = base.withColumn("doc", F.md5("text")).withColumn("found", F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0))).withColumn("between", F.transform(F.split("text", CANDIDATE, -1), F.length))
-    each = parts.select("key", "doc", "text", "found", "between", F.posexplode("found").alias("at", "candidate"))
-    total = lambda lengths: F.aggregate(lengths, F.lit(0), lambda acc, n: acc + n)
-    start = total(F.slice("between", F.lit(1), F.col("at") + 1)) + total(F.transform(F.slice(found, F.lit(1), F.col("at")), F.length)) + 1
-    begun = each.select("key", "doc", "text", "candidate", (F.array_position(found, F.col("candidate")) == F.col("at") + 1).alias("first"), start.alias("start"))
-    before = F.substring(t, F.greatest(F.lit(1), F.col("start") - 40), F.least(F.lit(40), F.col("start") - 1))
-    after = F.substring(t, F.col("start") + F.length("candidate"), F.lit(16))
-    return begun.select("key", "doc", "first", F.col("start").cast("long").alias("start"), "candidate", before.alias("before"), after.alias("after"))
+    parts = base.select("key", F.md5("text").alias("doc"), F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("found"), F.split("text", CANDIDATE, -1).alias("between"))
+    joined = parts.select("key", "doc", "found", F.transform(between, F.length).alias("gaps"), F.transform(between, lambda x: F.right(x, F.lit(40))).alias("between"), F.zip_with(between, found, lambda x, y: F.concat(x, F.coalesce(y, F.lit("")))).alias("pairs"))
+    tails = F.transform(pairs, lambda x: F.right(x, F.lit(40)))
+    heads = F.transform(pairs, lambda x: F.left(x, F.lit(16)))
+    ready = joined.select("key", "doc", "found", "between", "gaps", F.transform(pairs, F.length).alias("lengths"), tails.alias("tails"), heads.alias("heads"))
+    ready = ready.withColumn("by_64", block_sums(F.col("lengths")))
+    # the generator keeps the optimizer from putting these arrays' making into the lambda below, once for each candidate
+    made = F.struct("found", "between", "gaps", "lengths", "tails", "heads", "by_64", block_sums(F.col("by_64")).alias("by_4096"))
+    ready = ready.select("key", "doc", F.explode_outer(F.array(made)).alias("r"))
+
+    def place(c: Column, i: Column) -> Column:
+        near = lambda array, at: F.coalesce(F.get(F.col(f"r.{array}"), at), F.lit(""))
+        first = F.greatest(F.lit(0), i - 5)
+        start = sum_before(i, F.col("r.lengths"), F.col("r.by_64"), F.col("r.by_4096")) + F.get(F.col("r.gaps"), i) + 1
+        before = F.right(F.concat(F.array_join(F.slice("r.tails", first + 1, i - first), ""), near("between", i)), F.lit(40))
+        after = F.left(F.concat(near("heads", i + 1), near("heads", i + 2)), F.lit(16))
+        return F.struct(start.cast("long").alias("start"), c.alias("candidate"), before.alias("before"), after.alias("after"))
+
+    places = ready.select("key", "doc", F.explode_outer(F.transform("r.found", place)).alias("p"))  # outer: a filter on its size would make it twice
+    return places.select("key", "doc", "p.*")
 
 
 def pieces(candidate: Column) -> Column:
@@ -177,7 +206,7 @@ def rated(docs: DataFrame, key: str, text: str, labelled: DataFrame | None) -> D
     both = stored(found.select("candidate").union(known.select("candidate")).distinct(), "candidates")
     words = stored(covered(both, docs, text), "covered")
     model = train(measured(known.join(words, "candidate", "left")))
-    return model.transform(measured(found.join(words, "candidate", "left"))).select("key", "doc", "first", "start", "candidate", vector_to_array("probability")[1].alias("score"))
+    return model.transform(measured(found.join(words, "candidate", "left"))).select("key", "doc", "start", "candidate", vector_to_array("probability")[1].alias("score"))
 
 
 def occurrences(docs: DataFrame, key: str = "doc_id", text: str = "text", labelled: DataFrame | None = None, threshold: float = 0.5) -> DataFrame:
@@ -198,7 +227,8 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", labelled: Dat
     findings are generated). Null and empty texts have no candidates; a null key is kept; rows that
     repeat give repeated findings. Other columns are not looked at.
     """
-    highest = rated(docs, key, text, labelled).groupBy("key", "doc", "candidate").agg(F.min("start").alias("start"), F.max("score").alias("score"), F.count_if("first").alias("times"))
+    places = rated(docs, key, text, labelled).groupBy("key", "doc", "candidate", "start").agg(F.max("score").alias("score"), F.count(F.lit(1)).alias("times"))
+    highest = places.groupBy("key", "doc", "candidate").agg(F.min("start").alias("start"), F.max("score").alias("score"), F.max("times").alias("times"))
     each = highest.select("key", "start", "candidate", "score", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("copy"))
     return each.select(F.col("key").alias(key), "start", F.length("candidate").alias("length"), F.col("candidate").alias("secret"), "score", (F.col("score") >= threshold).alias("is_secret"))
 
@@ -208,15 +238,19 @@ def redacted(docs: DataFrame, key: str = "doc_id", text: str = "text", n_chars:
 
     A candidate that is a secret in one place of a text is replaced in all places where it is a candidate of that
     text, and nowhere inside a longer run. Rows without a candidate, null and empty texts pass
-    through as they are; rows that repeat a key share their secrets; all columns stay, whatever their names.
+    through as they are; rows that repeat are redacted alike; all columns stay, whatever their names.
     """
-    name, bad = fresh(docs, "owner"), fresh(docs, "secrets")
-    secrets = scan(docs, key, text).where("is_secret").groupBy(F.col(quoted(key)).alias(name)).agg(F.collect_set("secret").alias(bad))
+    name, digest, bad = fresh(docs, "owner"), fresh(docs, "digest"), fresh(docs, "secrets")
+    places = rated(docs, key, text, None).groupBy("key", "doc", "candidate", "start").agg(F.max("score").alias("score"))
+    told = places.groupBy("key", "doc", "candidate").agg((F.max("score") >= 0.5).alias("bad"), F.collect_list("start").alias("starts"))
+    flags = told.select("key", "doc", "bad", F.explode("starts").alias("start")).groupBy("key", "doc").agg(F.array_sort(F.collect_list(F.struct("start", "bad"))).alias("flags"), F.max("bad").alias("some"))
+    secrets = flags.where("some").select(F.col("key").alias(name), F.col("doc").alias(digest), F.transform("flags", lambda x: x["bad"]).alias(bad))
     t = F.col(quoted(text))
     has = F.coalesce(t.rlike(CANDIDATE), F.lit(False))
-    some = docs.where(has).join(secrets, F.col(quoted(key)).eqNullSafe(F.col(name)), "left")
+    some = docs.where(has).join(secrets, F.col(quoted(key)).eqNullSafe(F.col(name)) & (F.md5(t) == F.col(digest)), "left")
+    # every candidate of a text has a flag, in order
     found, between = F.regexp_extract_all(t, F.lit(CANDIDATE), F.lit(0)), F.split(t, CANDIDATE, -1)
-    clean = F.transform(found, lambda c: F.when(F.array_contains(F.col(bad), c), F.lit(REDACTED)).otherwise(c))
+    clean = F.zip_with(found, F.col(bad), lambda c, on: F.when(on, F.lit(REDACTED)).otherwise(c))
     whole = F.array_join(F.zip_with(between, clean, lambda x, y: F.concat(x, F.coalesce(y, F.lit("")))), "")
     columns = {text: F.when(F.col(bad).isNull(), t).otherwise(whole)}
     if n_chars and n_chars in docs.columns:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quern.llm.common import quoted, sampled, stored, with_python_columns
+from quern.llm.common import discard, quoted, sampled, sampled_rows, stored, with_python_columns
 
 BITS = 20
 WORD = regex.compile(r"\p{L}+").findall
@@ -111,7 +111,8 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "to
         return lambda columns: [pa.array([terms(t or "").astype("<i4").tobytes() for t in columns[0].to_pylist()], pa.binary())]
 
     found = stored(with_python_columns(joined, ["text"], [T.StructField("terms", T.BinaryType())], make, drop=("text",)), "terms")
-    rows = sampled(found, "key", bound, F.octet_length("terms"), most_bytes).collect()
+    rows = sampled_rows(found, bound, F.octet_length("terms"), most_bytes).collect()
+    discard(found)
     rows.sort(key=lambda r: (r["key"], bytes(r["terms"])))
     return train([np.frombuffer(r["terms"], dtype="<i4") for r in rows], np.array([min(1, max(0, r["label"])) for r in rows], dtype=float))
 

@@ -61,3 +61,30 @@ def test_secrets_and_tokens(stages):
     assert any(pattern.search(r.text) for r in stages[3].values()) and not any(pattern.search(r.text) for r in stages[4].values())
     assert all(r.text == stages[3][k].text for k, r in stages[4].items() if "[REDACTED]" not in r.text)
     assert all(r.round_trip and r.n_tokens * 4 == len(r.token_ids) for r in stages[5].values())
+
+
+@pytest.mark.parametrize("ids", ["cast(null as long)", "5L", "id"])
+def test_language_stage_whatever_the_ids(spark, ids):
+    """Null, equal or repeated ids, and equal rows, leave the sample bounded and the clean documents in."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("length(text) > 200").limit(200)
+    many = spark.range(40).crossJoin(docs.drop("doc_id")).selectExpr(f"{ids} as doc_id", "text", "lang", "source", "n_chars")
+    kept = corpus_pipeline.known_language(spark, many, "")
+    assert kept.columns == many.columns and kept.count() == many.count()
+
+
+def test_stages_with_odd_rows(spark):
+    sf = "/root/testdata/sf0.01"
+    text = "The river house and the garden stand by the old stone bridge, and the music from the window is heard over the table. "
+    long = " ".join(f"word{i} stands in the house by the river number" for i in range(40_000))
+    rows = [(1, text * 2, "en"), (1, text * 2, "en"), (None, text * 3, None), (3, None, "en"), (4, "", "en"), (5, "12 34", "en"), (6, long, "en")]
+    docs = spark.createDataFrame([(i, t, lang, "s", len(t or ""), "x", "y") for i, t, lang in rows], "doc_id long, text string, lang string, source string, n_chars long, Score string, owner string")
+    out, counts = docs, []
+    for _, stage in corpus_pipeline.STAGES:
+        out = corpus_pipeline.stored(stage(spark, out, sf), "test")
+        counts.append(out.count())
+        assert out.columns[: len(docs.columns)] == docs.columns
+    assert counts[0] == 4 and counts[1] == counts[-1] and {r.doc_id for r in out.collect()} >= {1, 6}
+    empty = docs.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        empty = stage(spark, empty, sf)
+        assert empty.count() == 0

@@ -96,3 +96,44 @@ def test_every_place_is_rated(spark):
     got = sorted((r.start, r.is_secret) for r in secrets.occurrences(docs, labelled=labelled).where(F.col("secret") == HEX).collect())
     assert got == [(m.start() + 1, text[m.start() - 1] == '"') for m in re.finditer(rf"(?<!x){HEX}", text)]
     assert [r.is_secret for r in secrets.scan(docs, labelled=labelled).where(F.col("secret") == HEX).collect()] == [True]
+
+
+def plain_findings(text):
+    return [(m.start() + 1, m[0], text[max(0, m.start() - 40) : m.start()], text[m.end() : m.end() + 16]) for m in re.finditer(r"(?<![A-Za-z0-9_+/=\-])(?=[A-Za-z_+/=\-]*[0-9])[A-Za-z0-9_+/=\-]{16,}", text)]
+
+
+def test_places_of_many_candidates(spark):
+    """What is beside a candidate may be other candidates, and they may be many."""
+    runs = [hashlib.sha256(str(i).encode()).hexdigest()[: 16 + i % 40] for i in range(9_000)]
+    gaps = [" ", "\n", ", é ", " and then something longer than forty characters comes, "]
+    texts = ["".join(r + gaps[i * 7 % 4] for i, r in enumerate(runs)), " ".join(runs[:3]), f"{runs[0]}", f"é{runs[1]}é {runs[2]} x"]
+    texts = [re.sub(r"\b([a-z]{16,})\b", r"\g<1>7", t) for t in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {}
+    for r in secrets.findings(docs, "doc_id", "text").collect():
+        got.setdefault(r.key, []).append((r.start, r.candidate, r.before, r.after))
+    assert {k: sorted(v) for k, v in got.items()} == {k: plain_findings(t) for k, t in enumerate(texts) if plain_findings(t)}
+
+
+def test_time_and_memory_grow_with_the_text(spark):
+    import time
+
+    def seconds(n):
+        docs = spark.range(1).select(F.lit(1).cast("long").alias("doc_id"), F.array_join(F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.concat(F.lit("id "), F.md5(i.cast("string")))), " ").alias("text"))
+        docs = docs.withColumn("text", F.concat("text", F.lit(f' token = "{HEX}"')))
+        began = time.monotonic()
+        found = secrets.findings(docs, "doc_id", "text").agg(F.count(F.lit(1)).alias("n"), F.max("start").alias("last"), F.sum("start").alias("all")).first()
+        assert found.n >= n * 0.99 and found.last == n * 36 + 10
+        return time.monotonic() - began
+
+    seconds(1_000)
+    small, large = seconds(20_000), seconds(100_000)
+    assert large < 12 * max(small, 0.5)
+
+
+def test_redaction_of_many_candidates(spark):
+    n = 20_000
+    text = " ".join(f"see {hashlib.md5(str(i).encode()).hexdigest()}" for i in range(n)) + f' token = "{HEX}" end'
+    docs = spark.createDataFrame([(1, text), (1, text), (None, text), (2, "x")], "doc_id long, text string")
+    got = sorted((r.text for r in secrets.redacted(docs).collect()), key=len)
+    assert len(got) == 4 and got[0] == "x" and all(t.endswith('token = "[REDACTED]" end') for t in got[1:])
