@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -72,28 +73,75 @@ def predict_regression(model: PipelineModel, df: DataFrame, z: float = 1.96) ->
     return scored.withColumns({"yhat": at(0.0), "yhat_lower": at(-z * spread), "yhat_upper": at(z * spread)}).select(*df.columns, "yhat", "yhat_lower", "yhat_upper")
 
 
+def series_terms(ds: str = "ds", yearly: int = 2, weekly: int = 3) -> list[Column]:
+    """One, a trend and waves of the year and the week."""
+    return [F.lit(1.0), *seasonal_terms(ds, yearly, weekly).values()]
+
+
+def normal_equations(df: DataFrame, by: list[str], terms: list[Column], y: Column) -> DataFrame:
+    """(by, n, xx, xy, yy): for each series the sums of products of the terms (upper triangle, row by row), of terms and y, and of y's squares.
+
+    Plain sums: combined before the shuffle, one row a series after it, however long the series are.
+    """
+    named = df.select(*by, *[t.cast("double").alias(f"x{i}") for i, t in enumerate(terms)], y.cast("double").alias("y"))
+    p, x = len(terms), [F.col(f"x{i}") for i in range(len(terms))]
+    xx = [F.sum(x[i] * x[j]) for i in range(p) for j in range(i, p)]
+    return named.where("y is not null").groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.array(*xx).alias("xx"), F.array(*[F.sum(c * F.col("y")) for c in x]).alias("xy"), F.sum(F.col("y") * F.col("y")).alias("yy"))
+
+
+def solved(equations: DataFrame, penalty: float = 1.0) -> DataFrame:
+    """Add ``weights`` (ridge; the first term is not penalised) and ``spread``, the deviation of the residuals, which the sums give as well.
+
+    One small system a row, many at once; nothing of the series themselves is read again.
+    """
+
+    def solve(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        for n, xx, xy, yy in batches:
+            rows = len(n)
+            if not rows:
+                continue
+            b = np.stack(xy.to_list())
+            p = b.shape[1]
+            a = np.zeros((rows, p, p))
+            i, j = np.triu_indices(p)
+            a[:, i, j] = a[:, j, i] = np.stack(xx.to_list())
+            ridge = a + penalty * np.diag([0.0] + [1.0] * (p - 1))
+            w = np.stack([np.linalg.lstsq(r, v, rcond=1e-13)[0] for r, v in zip(ridge, b)])
+            squares = yy.to_numpy() - 2 * (w * b).sum(axis=1) + np.einsum("ri,rij,rj->r", w, a, w)
+            yield pd.DataFrame({"weights": list(w), "spread": np.sqrt(np.maximum(squares, 0) / n.to_numpy())})
+
+    fit = F.pandas_udf(solve, "weights array<double>, spread double")
+    return equations.withColumn("__w", fit("n", "xx", "xy", "yy")).select(*equations.columns, "__w.weights", "__w.spread")
+
+
+def predicted(df: DataFrame, terms: list[Column], z: float = 1.96) -> DataFrame:
+    """Add yhat and its interval to rows with ``weights`` and ``spread``; sums of products, on the log scale and back."""
+    p = F.aggregate(F.zip_with(F.array(*terms), "weights", lambda x, w: x * w), F.lit(0.0), lambda acc, v: acc + v)
+    at = lambda shift: F.expm1(F.col("__p") + shift)
+    return df.withColumn("__p", p).withColumns({"yhat": at(F.lit(0.0)), "yhat_lower": at(-z * F.col("spread")), "yhat_upper": at(z * F.col("spread"))}).drop("__p")
+
+
 def grouped_forecast(df: DataFrame, key: str, horizon: int = 14, penalty: float = 1.0) -> DataFrame:
-    """(key, ds, yhat, yhat_lower, yhat_upper): ``horizon`` days ahead for each series; a series is one row a day, so a group is small."""
-
-    def terms(days: np.ndarray) -> np.ndarray:
-        cols = [np.ones_like(days), days / 365.25]
-        for length, n in ((365.25, 2), (7.0, 3)):
-            cols += [f(2 * np.pi * k * days / length) for k in range(1, n + 1) for f in (np.sin, np.cos)]
-        return np.stack(cols, axis=1)
-
-    def one(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("ds")
-        days = pd.to_datetime(rows["ds"]).to_numpy().astype("datetime64[D]").astype(float)
-        x, y = terms(days - days[-1]), np.log1p(rows["y"].to_numpy(dtype=float))
-        w = np.linalg.solve(x.T @ x + penalty * np.diag([0.0] + [1.0] * (x.shape[1] - 1)), x.T @ y)
-        spread = np.std(y - x @ w)
-        ahead = np.arange(1, horizon + 1, dtype=float)
-        p = terms(ahead) @ w
-        dates = (days[-1] + ahead).astype("int64").astype("datetime64[D]")
-        return pd.DataFrame({key: rows[key].iloc[0], "ds": pd.Series(dates).dt.date, "yhat": np.expm1(p), "yhat_lower": np.expm1(p - 1.96 * spread), "yhat_upper": np.expm1(p + 1.96 * spread)})
-
-    kind = df.schema[key].dataType.simpleString()
-    return df.select(key, "ds", "y").groupBy(key).applyInPandas(one, f"{key} {kind}, ds date, yhat double, yhat_lower double, yhat_upper double")
+    """(key, ds, yhat, yhat_lower, yhat_upper): ``horizon`` days ahead for each series, by regression of log y, from sums alone.
+
+    The days are counted from the last one of all series; each series goes on from its own last day.
+    """
+    last = df.agg(F.max("ds")).first()[0]
+    shifted = df.withColumn("__ds", F.date_add(F.lit("1970-01-01").cast("date"), F.datediff("ds", F.lit(last))))
+    models = solved(normal_equations(shifted, [key], series_terms("__ds"), F.log1p("y")), penalty)
+    ends = df.groupBy(key).agg(F.max("ds").alias("__last"))
+    ahead = models.select(key, "weights", "spread").join(ends, key).withColumn("ds", F.explode(F.sequence(F.date_add("__last", 1), F.date_add("__last", horizon))))
+    ahead = ahead.withColumn("__ds", F.date_add(F.lit("1970-01-01").cast("date"), F.datediff("ds", F.lit(last))))
+    return predicted(ahead, series_terms("__ds")).select(key, "ds", "yhat", "yhat_lower", "yhat_upper")
+
+
+def trend_forecast(df: DataFrame, key: str, horizon: int = 14, z: float = 1.96) -> DataFrame:
+    """(key, ds, yhat, yhat_lower, yhat_upper): the straight line through log y of each series, ``horizon`` days on."""
+    last = df.agg(F.max("ds")).first()[0]
+    day = lambda ds: F.datediff(ds, F.lit(last)).cast("double")
+    models = solved(normal_equations(df, [key], [F.lit(1.0), day("ds")], F.log1p("y")), 0.0)
+    ahead = models.withColumn("ds", F.explode(F.sequence(F.date_add(F.lit(last), 1), F.date_add(F.lit(last), horizon))))
+    return predicted(ahead, [F.lit(1.0), day("ds")], z).select(key, "ds", "yhat", "yhat_lower", "yhat_upper")
 
 
 def errors(df: DataFrame) -> DataFrame:
