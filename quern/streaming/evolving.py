@@ -16,7 +16,7 @@ from quern.sources.landing import conform, with_provenance
 
 def arriving_files(spark: SparkSession, path: str, max_files: int = 100, suffix: str = "*.parquet") -> DataFrame:
     """New files under ``path`` as a stream of (path, modificationTime, length), ``max_files`` a batch; their contents are not read."""
-    reader = spark.readStream.format("binaryFile").option("pathGlobFilter", suffix).option("recursiveFileLookup", True).option("maxFilesPerTrigger", max_files)
+    reader = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("pathGlobFilter", suffix).option("recursiveFileLookup", True).option("maxFilesPerTrigger", max_files)
     return reader.load(path).select("path", "modificationTime", "length")
 
 
