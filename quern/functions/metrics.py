@@ -98,7 +98,7 @@ def top_n(counts: DataFrame, by: list[str], name: str, count: str, n: int, prefi
     return ranked.groupBy(*by).agg(*aggs)
 
 
-def any_like(c: Column, patterns: str) -> Column:
-    """Whether one of the |-separated substrings occurs (with % inside as in LIKE)."""
-    tests = [c.like(f"%{p}%") if "%" in p else c.contains(p) for p in patterns.split("|")]
+def any_like(c: Column, patterns: list[str]) -> Column:
+    """Whether one of the substrings occurs (with % inside as in LIKE)."""
+    tests = [c.like(f"%{p}%") if "%" in p else c.contains(p) for p in patterns]
     return reduce(lambda a, b: a | b, tests)

@@ -116,7 +116,7 @@ def classify(c: Column, rules: list = lookups.TYPE_RULES, default: str = "Other"
     named = []
     for name, parts, whole, unless in rules:
         tests = [any_like(c, parts)] if parts else []
-        tests += [c.isin(whole.split("|"))] if whole else []
+        tests += [c.isin(whole)] if whole else []
         tests += [c.contains(a) & ~c.contains(b) for a, b in unless.items()]
         named.append(F.when(reduce(lambda a, b: a | b, tests), name))
     return F.coalesce(*named, F.lit(default))
@@ -128,5 +128,5 @@ def dim_type(df: DataFrame, rules: list = lookups.TYPE_RULES) -> DataFrame:
     distinct = df.select(type_key().alias("complaint_type_key"), kind.alias("complaint_type"), descriptor.alias("descriptor")).distinct()
     c = F.col("complaint_type")
     return distinct.select(
-        "complaint_type_key", "complaint_type", "descriptor", classify(c, rules).alias("complaint_category"), any_like(c, lookups.MALICIOUS).alias("is_malicious_data"), (any_like(c, lookups.TESTS[0]) | c.isin(lookups.TESTS[1].split("|"))).alias("is_test_data")
+        "complaint_type_key", "complaint_type", "descriptor", classify(c, rules).alias("complaint_category"), any_like(c, lookups.MALICIOUS).alias("is_malicious_data"), (any_like(c, lookups.TESTS[0]) | c.isin(lookups.TESTS[1])).alias("is_test_data")
     )

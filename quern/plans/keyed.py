@@ -14,6 +14,7 @@ from quern.operators.fact import Dims
 from quern.plans import marts as M
 from quern.plans.views import AS_OF, FACT, half_up, star
 from quern.sources import landing as L
+from quern.streaming import evolving
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -202,3 +203,26 @@ def features_by_days(spark: SparkSession, sf: str) -> DataFrame:
     facts, dims = star(spark, sf)
     out = features.forecast_features(facts, dims, "1995-01-01", ("location_key",), first=marts.first_day(facts, dims))
     return out.select("ds", "location_key", "y", "rolling_7day_avg", "rolling_30day_avg", "rolling_30day_std", "lag_1day", "lag_7day", "lag_30day", "lag_365day", "week_over_week_change_pct", "z_score_30day")
+
+
+# ---- streams of files whose columns change ----
+@query(
+    """WITH e AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events)
+    SELECT user_id, event_id, ts::DATE AS day, CASE WHEN event_id % 4 <> 1 THEN event_type END AS event_type, value, event_id % 4 = 3 AS has_rescued FROM e WHERE r = 1"""
+)
+def stream_of_changing_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The latest event of each user from a stream of files, a file a batch and out of order: some lack a column, some write a number as text, some bring a column more.
+
+    The stream is started, stopped after two of four files and started again; the table is that of all rows at once.
+    """
+    root, events = work_dir(spark), L.load(spark, sf, "events").drop("props")
+    parts = [events.where(F.col("event_id") % 4 == k) for k in range(4)]
+    parts[1] = parts[1].drop("event_type")
+    parts[2] = parts[2].withColumn("value", F.col("value").cast("string"))
+    parts[3] = parts[3].withColumn("extra", F.lit("more"))
+    for half in ((3, 0), (2, 1)):
+        for k in half:
+            parts[k].coalesce(1).write.parquet(f"{root}/in/{k}")
+        evolving.evolving_upsert(spark, f"{root}/in", events.schema, f"{root}/table", f"{root}/checkpoint", ["user_id"], "ts", "event_id", max_files=1).awaitTermination()
+    out = V.current(spark, f"{root}/table")
+    return out.select("user_id", "event_id", F.to_date("ts").alias("day"), "event_type", "value", F.col("_rescued_data").isNotNull().alias("has_rescued"))
