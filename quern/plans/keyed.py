@@ -107,6 +107,22 @@ def clustered_facts(spark: SparkSession, sf: str) -> DataFrame:
     return after.groupBy("agency_code", "created_month").agg(F.count(F.lit(1)).alias("requests")).join(told, ["agency_code", "created_month"])
 
 
+@query()
+def clustered_file_share(spark: SparkSession, sf: str) -> DataFrame:
+    """(layout, files, share): the mean share of the files that a filter on an agency and a month has to open, before and after clustering.
+
+    How rows fall into files is for Spark to choose, so there is no SQL; the tests hold the shares.
+    """
+    facts, _ = star(spark, sf)
+    path, rows = fact_table(spark, facts, salt=8), facts.count()
+    pairs = [r.asDict() for r in facts.select("agency_code", "created_month").distinct().collect()]  # agencies x 12
+    told = [("by hash", *clustering.opened(V.current(spark, path), pairs))]
+    clustering.cluster(spark, path, ["agency_code", "created_month"], rows_per_file=max(1, rows // 64))
+    told.append(("by curve", *clustering.opened(V.current(spark, path), pairs)))
+    shares = [(name, files, round(sum(n) / len(n) / files, 4)) for name, files, *n in told]
+    return spark.createDataFrame(shares, "layout string, files long, share double")
+
+
 def holidays(facts: DataFrame, dims: Dims) -> DataFrame:
     """Facts of the public holidays of the second half of some fiscal years: the dates' filter prunes the facts' folders when it runs."""
     days = dims.date.where(F.col("is_holiday") & F.col("fiscal_year").isin(1997, 1998) & (F.col("month") >= 9)).select(F.col("date_key").alias("created_date_key"), F.col("year").alias("created_year"), "holiday_name")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.functions.shared import stored
+from quern.functions.shared import shared_dir, stored
 from quern.operators.dims import dim_agency, dim_date, dim_location, dim_type
 from quern.operators.fact import Dims, fact
 from quern.operators.silver import DATE_FORMAT, date_flags, partition_columns
@@ -44,11 +44,25 @@ def contract(spark: SparkSession, sf: str) -> DataFrame:
     return flagged.withColumns({"is_closed": closed, "has_closed_status_without_date": (F.col("status") == "CLOSED") & ~closed, "open_status_with_closed_date": F.col("status").isin("OPEN", "PENDING") & closed})
 
 
+#: What was stored for a session, a shared folder and the given tables as they were.
+STARS: dict[tuple, tuple[DataFrame, Dims]] = {}
+
+
 def star(spark: SparkSession, sf: str) -> tuple[DataFrame, Dims]:
-    """(facts, dimensions). Requests and facts are stored, since many steps read them."""
-    rows = stored(contract(spark, sf), "requests")
-    dims = Dims(dim_date(spark, START, END, AS_OF), dim_agency(rows), dim_location(rows), dim_type(rows))
-    return stored(fact(rows, dims), "facts"), dims
+    """(facts, dimensions). Requests and facts are stored once a session, as long as the given tables are the same: all summaries read the same facts."""
+    key = (spark._jsparkSession.hashCode(), shared_dir(spark), sf, *[changed(spark, f"{sf}/{t}.parquet") for t in ("orders", "lineitem", "customer", "part")])
+    if key not in STARS or not changed(spark, STARS[key][0].inputFiles()[0]):
+        rows = stored(contract(spark, sf), "requests")
+        dims = Dims(dim_date(spark, START, END, AS_OF), dim_agency(rows), dim_location(rows), dim_type(rows))
+        STARS[key] = stored(fact(rows, dims), "facts"), dims
+    return STARS[key]
+
+
+def changed(spark: SparkSession, path: str) -> int:
+    """When a file or folder was changed last; 0 if there is none."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.getFileStatus(place).getModificationTime() if fs.exists(place) else 0
 
 
 def raw(spark: SparkSession, sf: str) -> DataFrame:

@@ -61,3 +61,28 @@ def test_the_location_struct_is_dropped(spark):
     df = frame(spark, {"latitude": "40.7", "longitude": "-74.0"}).withColumn("location", F.struct(F.lit("1").alias("latitude"), F.lit("2").alias("longitude"), F.lit("{}").alias("human_address")))
     out = silver.silver(df, "2024-06-01")
     assert "location" not in out.columns and (out.first().latitude, out.first().longitude) == (40.7, -74.0)
+
+
+def test_provenance_by_value(spark, tmp_path):
+    import os
+
+    from quern.sources.landing import with_provenance
+
+    spark.range(3).coalesce(1).write.parquet(str(tmp_path / "t"))
+    file = next(f for f in os.listdir(tmp_path / "t") if f.endswith(".parquet"))
+    rows = with_provenance(spark.read.parquet(str(tmp_path / "t"))).collect()
+    status = os.stat(tmp_path / "t" / file)
+    assert len(rows) == 3
+    for r in rows:
+        assert r._source_file.endswith(file) and r._file_size == status.st_size and r._ingested_at is not None
+        assert abs(r._file_modification_time.timestamp() - status.st_mtime) < 86_400
+
+
+def test_actual_and_forecast_are_matched_by_date(spark):
+    """Days that only one side has do not count."""
+    from quern.operators import forecast
+
+    actual = spark.createDataFrame([("2024-01-01", 10), ("2024-01-02", 20), ("2024-01-03", 30)], "ds string, y int")
+    told = spark.createDataFrame([("2024-01-02", 22.0), ("2024-01-03", 27.0), ("2024-01-04", 1.0)], "ds string, yhat double")
+    r = forecast.accuracy(actual.join(told, "ds")).first()
+    assert (r.n, r.mae, r.smape, r.mdape) == (2, 2.5, round((2 * 200 / 42 + 3 * 200 / 57) / 2, 4), 10.0)

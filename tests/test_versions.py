@@ -217,3 +217,17 @@ def test_rolling_by_days(spark):
     roll = Rolling("g", first=19_780)  # 27 February 2024
     got = {(r.g, r.date_key): (r.m, r.d, r.w, r.s and round(r.s, 9)) for r in df.withColumns({"m": roll.mean(F.col("n"), 7), "d": roll.lag(F.col("n")), "w": roll.lag(F.col("n"), 7), "s": roll.deviation(F.col("n"), 3)}).collect()}
     assert got == {("a", 20240227): (4.0, None, None, None), ("a", 20240301): (1.5, 0, None, round((4 / 3) ** 0.5, 9)), ("a", 20240308): (6 / 7, 0, 2, round(12**0.5, 9)), ("b", 20240301): (1.25, 0, None, round((25 / 3) ** 0.5, 9))}
+
+
+def test_the_share_of_files_that_a_filter_opens(spark, sf):
+    from quern.plans import keyed
+
+    got = {r.layout: r for r in keyed.clustered_file_share(spark, sf).collect()}
+    assert got["by curve"].files >= 32 and got["by curve"].share < 0.25 and got["by curve"].share < 0.5 * got["by hash"].share
+
+
+def test_the_star_is_stored_once(spark, sf):
+    from quern.plans.views import star
+
+    a, b = star(spark, sf), star(spark, sf)
+    assert a[0] is b[0] and a[1] is b[1]
