@@ -101,14 +101,18 @@ def landing_round_trip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---- raw text ----
-RAW = f"""{REQUESTS}, raw AS (SELECT unique_key AS k, strftime(created_date, '%Y-%m-%dT%H:%M:%S.%g') AS created_date, CASE WHEN unique_key % 17 = 0 THEN '' WHEN unique_key % 17 = 1 THEN 'not a date' ELSE strftime(closed_date, '%Y-%m-%dT%H:%M:%S.%g') END AS closed_date, agency, ' ' || lower(agency) AS agency_name,
-    CASE WHEN unique_key % 19 = 0 THEN '' ELSE complaint_type || ' ' END AS complaint_type, CASE WHEN unique_key % 4 > 0 THEN descriptor END AS descriptor, CASE WHEN unique_key % 3 > 0 THEN 'Street' END AS location_type,
+RAW = f"""{REQUESTS}, raw AS (SELECT unique_key AS k, strftime(created_date, '%Y-%m-%dT%H:%M:%S.%g') AS created_date, CASE WHEN unique_key % 17 = 0 THEN '' WHEN unique_key % 17 = 1 THEN 'not a date' ELSE strftime(closed_date,
+  '%Y-%m-%dT%H:%M:%S.%g') END AS closed_date, agency, ' ' || lower(agency) AS agency_name,
+    CASE WHEN unique_key % 19 = 0 THEN '' ELSE complaint_type || ' ' END AS complaint_type, CASE WHEN unique_key % 4 > 0 THEN descriptor END AS descriptor,
+      CASE WHEN unique_key % 3 > 0 THEN 'Street' END AS location_type,
     CASE unique_key % 13 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '123' WHEN 3 THEN '11201-12' ELSE (10000 + unique_key % 1700)::VARCHAR END AS incident_zip,
     CASE unique_key % 6 WHEN 0 THEN NULL WHEN 1 THEN 'W 5 ST INTERSECTION' WHEN 2 THEN '10 BLOCK' WHEN 3 THEN '' ELSE (unique_key % 90) || ' main st' END AS incident_address,
     CASE unique_key % 7 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN ' Astoria ' WHEN 3 THEN 'chelsea' ELSE city END AS city, CASE unique_key % 11 WHEN 0 THEN NULL WHEN 1 THEN 'Open' WHEN 2 THEN 'Closed - Duplicate' ELSE status END AS status,
-    CASE unique_key % 5 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE ' done ' || descriptor END AS resolution_description, strftime(resolution_action_updated_date, '%Y-%m-%dT%H:%M:%S.%g') AS resolution_action_updated_date, CASE WHEN unique_key % 2 > 0 THEN '' ELSE borough END AS community_board,
+    CASE unique_key % 5 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE ' done ' || descriptor END AS resolution_description, strftime(resolution_action_updated_date,
+      '%Y-%m-%dT%H:%M:%S.%g') AS resolution_action_updated_date, CASE WHEN unique_key % 2 > 0 THEN '' ELSE borough END AS community_board,
     CASE unique_key % 10 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'Unspecified' WHEN 3 THEN ' bronx ' WHEN 4 THEN 'Queens' WHEN 5 THEN 'MANHATTAN' ELSE borough END AS borough,
-    CASE unique_key % 8 WHEN 0 THEN '' WHEN 1 THEN 'NaN' WHEN 2 THEN '0' WHEN 3 THEN 'bad' ELSE (40.3::DOUBLE + (unique_key % 700) / 1000)::VARCHAR END AS latitude, CASE WHEN unique_key % 9 > 0 THEN ((-74.4)::DOUBLE + (unique_key % 800) / 1000)::VARCHAR END AS longitude
+    CASE unique_key % 8 WHEN 0 THEN '' WHEN 1 THEN 'NaN' WHEN 2 THEN '0' WHEN 3 THEN 'bad' ELSE (40.3::DOUBLE + (unique_key % 700) / 1000)::VARCHAR END AS latitude,
+      CASE WHEN unique_key % 9 > 0 THEN ((-74.4)::DOUBLE + (unique_key % 800) / 1000)::VARCHAR END AS longitude
   FROM req)"""
 
 
@@ -133,16 +137,24 @@ tidy = lambda c: f"upper(trim({c}))"
 STEPS = f"""{RAW},
     d AS (SELECT * REPLACE ({sql_dates()}), CASE WHEN regexp_full_match(incident_zip, '[0-9]+') THEN incident_zip::INT END AS z FROM raw),
     a AS (SELECT *, CASE WHEN borough <> 'Unspecified' AND {tidy("borough")} IN ({sql_list(lookups.AREAS)}) THEN {tidy("borough")} ELSE coalesce({ZIP_CASE}, {PLACE_CASE}, 'UNSPECIFIED') END AS area,
-      coalesce(closed_date < created_date, FALSE) AS has_invalid_closed_date, coalesce(year(closed_date) < {MIN_YEAR}, FALSE) AS has_historical_closed_date, coalesce(closed_date > DATE '{AS_OF}' + 30, FALSE) AS has_future_closed_date,
+      coalesce(closed_date < created_date, FALSE) AS has_invalid_closed_date, coalesce(year(closed_date) < {MIN_YEAR}, FALSE) AS has_historical_closed_date,
+        coalesce(closed_date > DATE '{AS_OF}' + 30, FALSE) AS has_future_closed_date,
       coalesce(upper(status) LIKE 'CLOSED%' AND closed_date IS NULL AND resolution_action_updated_date BETWEEN created_date AND DATE '{AS_OF}', FALSE) AS inferred FROM d),
-    s AS (SELECT k, created_date, CASE WHEN inferred THEN resolution_action_updated_date ELSE closed_date END AS closed_date, closed_date AS closed_date_original, CASE WHEN closed_date IS NOT NULL THEN 'ORIGINAL' WHEN inferred THEN 'INFERRED_FROM_RESOLUTION' ELSE 'MISSING' END AS closed_date_source,
-      resolution_action_updated_date AS acted, area AS borough, CASE WHEN coalesce(city, '') = '' THEN {CITY_CASE} ELSE {tidy("city")} END AS city, {", ".join(f"coalesce(nullif({tidy(c)}, ''), '{v}') AS {c}" for c, v in S.DEFAULTS.items())}, {tidy("agency_name")} AS agency_name,
-      nullif({tidy("incident_address")}, '') AS incident_address, CASE WHEN coalesce(incident_address, '') = '' THEN 'NOT_PROVIDED' WHEN contains(incident_address, 'INTERSECTION') THEN 'INTERSECTION' WHEN contains(incident_address, 'BLOCK') THEN 'BLOCK' ELSE 'ADDRESS' END AS address_type,
-      CASE WHEN coalesce(resolution_description, '') <> '' THEN {tidy("resolution_description")} WHEN coalesce(status, '') NOT IN ({sql_list(S.UNRESOLVED)}) THEN 'NO_RESOLUTION_INFO' END AS resolution_description, CASE WHEN regexp_full_match(incident_zip, '[0-9]{{5}}') THEN incident_zip END AS incident_zip,
-      nullif(community_board, '') AS community_board, CASE WHEN try_cast(latitude AS DOUBLE) BETWEEN 40.477399::DOUBLE AND 40.917577::DOUBLE THEN try_cast(latitude AS DOUBLE) END AS latitude, CASE WHEN try_cast(longitude AS DOUBLE) BETWEEN (-74.259090)::DOUBLE AND (-73.700009)::DOUBLE THEN try_cast(longitude AS DOUBLE) END AS longitude,
+    s AS (SELECT k, created_date, CASE WHEN inferred THEN resolution_action_updated_date ELSE closed_date END AS closed_date, closed_date AS closed_date_original,
+      CASE WHEN closed_date IS NOT NULL THEN 'ORIGINAL' WHEN inferred THEN 'INFERRED_FROM_RESOLUTION' ELSE 'MISSING' END AS closed_date_source,
+      resolution_action_updated_date AS acted, area AS borough, CASE WHEN coalesce(city, '') = '' THEN {CITY_CASE} ELSE {tidy("city")} END AS city, {", ".join(f"coalesce(nullif({tidy(c)}, ''), '{v}') AS {c}" for c, v in S.DEFAULTS.items())},
+        {tidy("agency_name")} AS agency_name,
+      nullif({tidy("incident_address")}, '') AS incident_address, CASE WHEN coalesce(incident_address, '') = '' THEN 'NOT_PROVIDED' WHEN contains(incident_address,
+        'INTERSECTION') THEN 'INTERSECTION' WHEN contains(incident_address, 'BLOCK') THEN 'BLOCK' ELSE 'ADDRESS' END AS address_type,
+      CASE WHEN coalesce(resolution_description, '') <> '' THEN {tidy("resolution_description")} WHEN coalesce(status, '') NOT IN ({sql_list(S.UNRESOLVED)}) THEN 'NO_RESOLUTION_INFO' END AS resolution_description,
+        CASE WHEN regexp_full_match(incident_zip, '[0-9]{{5}}') THEN incident_zip END AS incident_zip,
+      nullif(community_board, '') AS community_board, CASE WHEN try_cast(latitude AS DOUBLE) BETWEEN 40.477399::DOUBLE AND 40.917577::DOUBLE THEN try_cast(latitude AS DOUBLE) END AS latitude,
+        CASE WHEN try_cast(longitude AS DOUBLE) BETWEEN (-74.259090)::DOUBLE AND (-73.700009)::DOUBLE THEN try_cast(longitude AS DOUBLE) END AS longitude,
       has_invalid_closed_date, has_historical_closed_date, has_future_closed_date FROM a),
-    f AS (SELECT *, latitude IS NOT NULL AND longitude IS NOT NULL AS has_valid_location, coalesce(resolution_description <> 'NO_RESOLUTION_INFO', FALSE) AS has_resolution, closed_date IS NOT NULL AS is_closed, incident_zip IS NOT NULL AS has_valid_zip,
-      status LIKE 'CLOSED%' AND closed_date IS NULL AS has_closed_status_without_date, status IN ({sql_list(S.OPEN_STATES)}) AND closed_date IS NOT NULL AS open_status_with_closed_date, greatest(created_date, coalesce(closed_date, created_date), coalesce(acted, created_date)) AS updated_date FROM s)"""
+    f AS (SELECT *, latitude IS NOT NULL AND longitude IS NOT NULL AS has_valid_location, coalesce(resolution_description <> 'NO_RESOLUTION_INFO', FALSE) AS has_resolution,
+      closed_date IS NOT NULL AS is_closed, incident_zip IS NOT NULL AS has_valid_zip,
+      status LIKE 'CLOSED%' AND closed_date IS NULL AS has_closed_status_without_date, status IN ({sql_list(S.OPEN_STATES)}) AND closed_date IS NOT NULL AS open_status_with_closed_date,
+        greatest(created_date, coalesce(closed_date, created_date), coalesce(acted, created_date)) AS updated_date FROM s)"""
 stamp = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
 sql_stamp = lambda c: f"strftime({c}, '%Y-%m-%d %H:%M:%S') AS {c}"
 
@@ -152,7 +164,8 @@ def cleaned(spark: SparkSession, sf: str) -> DataFrame:
 
 
 STAMPS = ["created_date", "closed_date", "closed_date_original", "updated_date"]
-FULL = """k, closed_date_source, borough, city, complaint_type, descriptor, location_type, status, agency_name, incident_address, address_type, resolution_description, incident_zip, community_board, round(latitude, 6) AS latitude, round(longitude, 6) AS longitude,
+FULL = """k, closed_date_source, borough, city, complaint_type, descriptor, location_type, status, agency_name, incident_address, address_type, resolution_description,
+  incident_zip, community_board, round(latitude, 6) AS latitude, round(longitude, 6) AS longitude,
     has_invalid_closed_date, has_historical_closed_date, has_future_closed_date, has_valid_location, has_resolution, is_closed, has_valid_zip, has_closed_status_without_date, open_status_with_closed_date"""
 
 
@@ -242,7 +255,9 @@ def upsert_merge(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    f"""{LATEST}, old AS (SELECT l_orderkey, l_linenumber, first(l_shipdate ORDER BY l_shipdate, l_extendedprice, l_quantity) AS d, first(l_quantity ORDER BY l_shipdate, l_extendedprice, l_quantity) AS q, first(l_extendedprice ORDER BY l_shipdate, l_extendedprice, l_quantity) AS p FROM l WHERE l_shipdate < DATE '1997-01-01' GROUP BY 1, 2),
+    f"""{LATEST}, old AS (SELECT l_orderkey, l_linenumber, first(l_shipdate ORDER BY l_shipdate, l_extendedprice, l_quantity) AS d, first(l_quantity ORDER BY l_shipdate,
+      l_extendedprice, l_quantity) AS q, first(l_extendedprice ORDER BY l_shipdate, l_extendedprice, l_quantity) AS p FROM l WHERE l_shipdate < DATE '1997-01-01' GROUP BY 1,
+      2),
     new AS (SELECT l_orderkey, l_linenumber, l_shipdate AS d, l_quantity AS q, l_extendedprice AS p FROM best WHERE r = 1 AND l_shipdate >= DATE '1993-01-01')
     SELECT coalesce(old.l_orderkey, new.l_orderkey) AS l_orderkey, coalesce(old.l_linenumber, new.l_linenumber) AS l_linenumber, CASE WHEN old.l_orderkey IS NULL THEN 'insert' WHEN new.l_orderkey IS NULL THEN 'delete' ELSE 'update' END AS change
     FROM old FULL JOIN new USING (l_orderkey, l_linenumber) WHERE old.l_orderkey IS NULL OR new.l_orderkey IS NULL OR (old.d, old.q, old.p) <> (new.d, new.q, new.p)"""

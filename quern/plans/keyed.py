@@ -60,7 +60,8 @@ def merge_by_folder(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     f"""{ORDERS}, y AS (SELECT count(DISTINCT o_year) FILTER (o_orderkey % 10 < 9) AS a, count(DISTINCT o_year) FILTER (o_orderkey % 10 = 9) AS b FROM o),
     c AS (SELECT (count(*) FILTER (o_year = 1997 AND o_orderkey % 7 = 0 AND o_orderkey % 10 < 9) > 0)::BIGINT AS x, (count(*) FILTER (o_year = 1995 AND o_orderkey % 11 = 0 AND o_orderkey % 10 < 9) > 0)::BIGINT AS d FROM o)
-    SELECT 1::BIGINT AS version, 0::BIGINT AS batch, a AS folders_written, 0::BIGINT AS folders_carried FROM y UNION ALL SELECT 2, 1, x, a - x FROM y, c UNION ALL SELECT 3, 2, d, a - d FROM y, c UNION ALL SELECT 4, 3, b, a FROM y"""
+    SELECT 1::BIGINT AS version, 0::BIGINT AS batch, a AS folders_written, 0::BIGINT AS folders_carried FROM y UNION ALL SELECT 2, 1, x, a - x FROM y, c UNION ALL SELECT 3,
+      2, d, a - d FROM y, c UNION ALL SELECT 4, 3, b, a FROM y"""
 )
 def merge_history(spark: SparkSession, sf: str) -> DataFrame:
     """What each merge wrote anew and what it carried: a late row and years without a change are not written."""
@@ -186,7 +187,8 @@ def sql_dense(by: str, value: str = "total_complaints") -> str:
     return f"""{FACT}, days AS (SELECT date_key, date_actual FROM hol WHERE date_actual BETWEEN (SELECT min(date_actual) FROM v) AND (SELECT max(date_actual) FROM v)),
     n AS (SELECT date_key, {by}, count(*) AS n FROM v GROUP BY ALL), keys AS (SELECT DISTINCT {by} FROM v),
     dense AS (SELECT dk.date_key, date_actual, {by}, coalesce(n, 0) AS {value}, n IS NOT NULL AS there FROM (SELECT * FROM days, keys) dk LEFT JOIN n USING (date_key, {by})),
-    w AS (SELECT *, avg({value}) OVER (PARTITION BY {by} ORDER BY date_key ROWS 6 PRECEDING) AS a7, avg({value}) OVER (PARTITION BY {by} ORDER BY date_key ROWS 29 PRECEDING) AS a30, stddev_samp({value}) OVER (PARTITION BY {by} ORDER BY date_key ROWS 29 PRECEDING) AS s30,
+    w AS (SELECT *, avg({value}) OVER (PARTITION BY {by} ORDER BY date_key ROWS 6 PRECEDING) AS a7, avg({value}) OVER (PARTITION BY {by} ORDER BY date_key ROWS 29 PRECEDING) AS a30,
+      stddev_samp({value}) OVER (PARTITION BY {by} ORDER BY date_key ROWS 29 PRECEDING) AS s30,
       lag({value}) OVER k AS d1, lag({value}, 7) OVER k AS d7, lag({value}, 30) OVER k AS d30, lag({value}, 365) OVER k AS d365 FROM dense WINDOW k AS (PARTITION BY {by} ORDER BY date_key))"""
 
 
@@ -201,7 +203,8 @@ def agency_by_days(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    f"""{sql_dense("location_key")} SELECT date_key, location_key, total_complaints, round(a7, 2) AS complaints_7day_avg, {M.sql_change("total_complaints", "d7")} AS complaints_vs_prev_week_pct, {M.sql_change("total_complaints", "d1")} AS complaints_vs_prev_day_pct,
+    f"""{sql_dense("location_key")} SELECT date_key, location_key, total_complaints, round(a7, 2) AS complaints_7day_avg, {M.sql_change("total_complaints", "d7")} AS complaints_vs_prev_week_pct,
+      {M.sql_change("total_complaints", "d1")} AS complaints_vs_prev_day_pct,
     {M.sql_trend("total_complaints", "d7", 1.2, 0.8, "INCREASING", "DECREASING")} AS trend_direction FROM w WHERE there"""
 )
 def location_by_days(spark: SparkSession, sf: str) -> DataFrame:
@@ -211,7 +214,8 @@ def location_by_days(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    f"""{sql_dense("location_key", "y")} SELECT date_actual AS ds, location_key, y, round(a7, 2) AS rolling_7day_avg, round(a30, 2) AS rolling_30day_avg, round(s30, 2) AS rolling_30day_std, d1 AS lag_1day, d7 AS lag_7day, d30 AS lag_30day, d365 AS lag_365day,
+    f"""{sql_dense("location_key", "y")} SELECT date_actual AS ds, location_key, y, round(a7, 2) AS rolling_7day_avg, round(a30, 2) AS rolling_30day_avg,
+      round(s30, 2) AS rolling_30day_std, d1 AS lag_1day, d7 AS lag_7day, d30 AS lag_30day, d365 AS lag_365day,
     {M.sql_change("y", "d7")} AS week_over_week_change_pct, CASE WHEN s30 > 0 THEN round((y - a30) / s30, 3) END AS z_score_30day FROM w WHERE there"""
 )
 def features_by_days(spark: SparkSession, sf: str) -> DataFrame:

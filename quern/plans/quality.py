@@ -160,7 +160,8 @@ def series(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    f"""{SERIES} SELECT count(*) AS n, round(avg(abs(y - yhat)), 4) AS mae, round(avg(abs(y - yhat) * 200 / (y + yhat)), 4) AS smape, round(quantile_cont(abs(y - yhat) * 100 / y, 0.5), 4) AS mdape, round(sqrt(avg((y - yhat) * (y - yhat))), 4) AS rmse,
+    f"""{SERIES} SELECT count(*) AS n, round(avg(abs(y - yhat)), 4) AS mae, round(avg(abs(y - yhat) * 200 / (y + yhat)), 4) AS smape, round(quantile_cont(abs(y - yhat) * 100 / y,
+      0.5), 4) AS mdape, round(sqrt(avg((y - yhat) * (y - yhat))), 4) AS rmse,
     CASE WHEN smape < 10 THEN 'excellent' WHEN smape < 15 THEN 'good' WHEN smape < 20 THEN 'acceptable' ELSE 'needs improvement' END AS readiness FROM nai WHERE yhat IS NOT NULL"""
 )
 def naive_forecast_metrics(spark: SparkSession, sf: str) -> DataFrame:
@@ -231,7 +232,8 @@ def areas(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    f"""{AREAS}, w AS (SELECT *, [1.0::DOUBLE, x / 365.25, sin(x * 2 * pi() / 7), cos(x * 2 * pi() / 7)] AS v FROM t), i AS (SELECT unnest(range(1, 5)) AS i), p AS (SELECT a.i AS i, b.i AS j FROM i a JOIN i b ON a.i <= b.i)
+    f"""{AREAS}, w AS (SELECT *, [1.0::DOUBLE, x / 365.25, sin(x * 2 * pi() / 7), cos(x * 2 * pi() / 7)] AS v FROM t), i AS (SELECT unnest(range(1, 5)) AS i),
+      p AS (SELECT a.i AS i, b.i AS j FROM i a JOIN i b ON a.i <= b.i)
     SELECT borough, i::INT AS i, j::INT AS j, round(sum(v[i] * v[j]), 4) AS xx, round(sum(v[i] * ly), 4) AS xy, round(sum(ly * ly), 4) AS yy, count(*) AS n FROM w, p GROUP BY borough, i, j"""
 )
 def series_equations(spark: SparkSession, sf: str) -> DataFrame:
@@ -249,7 +251,8 @@ def series_equations(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     f"""{AREAS}, f AS (SELECT borough, regr_slope(ly, x) AS b, regr_intercept(ly, x) AS a, sqrt(greatest(0, regr_syy(ly, x) - regr_slope(ly, x) * regr_sxy(ly, x)) / count(*)) AS s FROM t GROUP BY 1)
-    SELECT borough, ((SELECT max(ds) FROM ser) + k)::DATE AS ds, round(exp(a + b * k) - 1, 5) AS yhat, round(exp(a + b * k - 1.96::DOUBLE * s) - 1, 5) AS yhat_lower, round(exp(a + b * k + 1.96::DOUBLE * s) - 1, 5) AS yhat_upper FROM f, (SELECT unnest(range(1, 15))::INT AS k)"""
+    SELECT borough, ((SELECT max(ds) FROM ser) + k)::DATE AS ds, round(exp(a + b * k) - 1, 5) AS yhat, round(exp(a + b * k - 1.96::DOUBLE * s) - 1, 5) AS yhat_lower,
+      round(exp(a + b * k + 1.96::DOUBLE * s) - 1, 5) AS yhat_upper FROM f, (SELECT unnest(range(1, 15))::INT AS k)"""
 )
 def trend_forecast(spark: SparkSession, sf: str) -> DataFrame:
     """A fortnight ahead on each area's straight line, with its interval."""

@@ -116,7 +116,8 @@ req AS (
 
 CAL = f"""
 cal AS (
-  SELECT d::DATE AS date_actual, (year(d) * 10000 + month(d) * 100 + day(d))::INT AS date_key, year(d)::INT AS year, month(d)::INT AS month, day(d)::INT AS dom, (dayofweek(d) + 1)::INT AS dow, quarter(d)::INT AS quarter
+  SELECT d::DATE AS date_actual, (year(d) * 10000 + month(d) * 100 + day(d))::INT AS date_key, year(d)::INT AS year, month(d)::INT AS month, day(d)::INT AS dom,
+    (dayofweek(d) + 1)::INT AS dow, quarter(d)::INT AS quarter
   FROM generate_series(TIMESTAMP '{START}', TIMESTAMP '{END}', INTERVAL 1 DAY) t(d)),
 hol AS (
   SELECT *, CASE WHEN month = 1 AND dom = 1 THEN 'New Year''s Day' WHEN month = 6 AND dom = 19 THEN 'Juneteenth' WHEN month = 7 AND dom = 4 THEN 'Independence Day' WHEN month = 11 AND dom = 11 THEN 'Veterans Day'
@@ -144,7 +145,8 @@ fct AS (
     CASE WHEN closed_date >= created_date AND NOT (has_invalid_closed_date OR has_historical_closed_date OR has_future_closed_date) THEN ((epoch(closed_date) - epoch(created_date))::BIGINT * 100 + 43200) // 86400 / 100::DOUBLE END AS response_time_days,
     CASE WHEN NOT is_closed THEN 'OPEN' WHEN has_invalid_closed_date OR has_historical_closed_date OR has_future_closed_date THEN 'INVALID_DATE' WHEN closed_date::DATE = created_date::DATE THEN 'SAME_DAY'
       WHEN closed_date::DATE - created_date::DATE <= 7 THEN 'WITHIN_WEEK' WHEN closed_date::DATE - created_date::DATE <= 30 THEN 'WITHIN_MONTH' ELSE 'OVER_MONTH' END AS response_sla_category,
-    status, is_closed, has_resolution, has_invalid_closed_date, has_historical_closed_date, has_future_closed_date, status = 'CLOSED' AND NOT is_closed AS has_closed_status_without_date, status IN ('OPEN', 'PENDING') AND is_closed AS open_status_with_closed_date,
+    status, is_closed, has_resolution, has_invalid_closed_date, has_historical_closed_date, has_future_closed_date, status = 'CLOSED' AND NOT is_closed AS has_closed_status_without_date,
+      status IN ('OPEN', 'PENDING') AND is_closed AS open_status_with_closed_date,
     {quoted(KINDS, "complaint_type")} AS complaint_category, date_actual, year, month, dow, dom, is_weekend, holiday_name
   FROM flg JOIN ag ON ag.agency_code = upper(trim(agency)) JOIN loc ON loc.b = upper(borough) AND loc.z = incident_zip LEFT JOIN hol ON date_actual = created_date::DATE),
 v AS (
