@@ -89,3 +89,32 @@ def test_short_items_as_whole_words(spark):
     assert got == want and {r["__hits"] for r in rows} == {"b"}
     left = decontam.clean(df, items)
     assert left.columns == df.columns and sorted(r.doc_id for r in left.collect()) == [2, 3, 6]
+
+
+def test_short_items_with_edits(spark):
+    """The share of edits holds at every length: hits of items of 13 to 60 characters equal a search of all places."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 8)))
+    items = []
+    while len(items) < 40:
+        text = " ".join(word() for _ in range(rng.randint(3, 11)))
+        if 13 <= len(text) <= 60:
+            items.append((len(items), text))
+    docs = [(k, " ".join([*(word() for _ in range(8)), changed(items[k % 40][1], rng.randint(0, 4), rng), *(word() for _ in range(8))])) for k in range(200)]
+    want = {(k, i, d) for k, t in docs for i, x in items if (d := plain(x, decontam.normalised(t))) <= int(len(x) * 0.08)}
+    by_budget = {min(3, int(len(items[i][1]) * 0.08)) for _, i, d in want if d}
+    assert by_budget == {1, 2, 3}
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = decontam.find(df, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, h.item_id, h.distance) for r in got for h in r.hits} == want
+
+
+def test_passes_leave_one_table(spark, case):
+    import glob
+
+    from quern.llm.common import shared_dir
+
+    item, docs = case
+    before = set(glob.glob(f"{shared_dir(spark)}/quern-hits-*"))
+    got = decontam.find(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(list(enumerate(item)), "item_id long, text string"), limit=1)
+    assert got.count() == len(docs) and len(set(glob.glob(f"{shared_dir(spark)}/quern-hits-*")) - before) == 1
