@@ -5,7 +5,8 @@ run of lines of one level without a blank one between them, its white space and
 spaces, so that a quote which was wrapped anew is the passage it was. Quoted passages are hashed, and so are their sentences
 and lines, for quotes of a part; the hashes are joined to the message that first wrote the same passage, sentence or
 line. A message replies to the message that it quotes at its lowest level, or else to the one before it. The quotes are cut
-from the text, and the messages numbered in an order in which each follows what it replies to.
+from the text, and the messages numbered twice: by turn, and in reply order, in which the answers to a message, and
+the answers to those, stand below it before anything else does.
 """
 
 from __future__ import annotations
@@ -103,7 +104,7 @@ def bounded(df: DataFrame) -> DataFrame:
 
 
 def originals(ordered: DataFrame, shortest: int) -> DataFrame:
-    """(conv, position, to_conv, to_turn): the message that each quoting message quotes.
+    """(conv, position, to_conv, to_turn, to_place): the message that each quoting message quotes.
 
     A piece's origin is the first message of the same conversation, else of all, that wrote it itself; it must
     stand before the quoting message or in another conversation, where a piece shorter than ``shortest``
@@ -128,13 +129,104 @@ def originals(ordered: DataFrame, shortest: int) -> DataFrame:
     sums = linked.groupBy("conv", "position", "level", "to").agg(F.sum("size").alias("size"))
     same = F.col("to.conv") == F.col("conv")
     best = F.max(F.struct((-F.col("level")).alias("low"), "size", same.alias("same"), F.col("to.turn").alias("turn"), F.col("to.place").alias("place"), (-F.col("to.conv")).alias("minus")))
-    found = stored(sums.groupBy("conv", "position").agg(best.alias("b")).select("conv", "position", (-F.col("b.minus")).alias("to_conv"), F.col("b.turn").alias("to_turn")), "origins")
+    found = stored(sums.groupBy("conv", "position").agg(best.alias("b")).select("conv", "position", (-F.col("b.minus")).alias("to_conv"), F.col("b.turn").alias("to_turn"), F.col("b.place").alias("to_place")), "origins")
     discard(quotes, first)
     return found
 
 
+def runs(messages: DataFrame, heads: DataFrame) -> DataFrame:
+    """(conv, kind, who, run): the last head at or before each message (kind 0) and before the place that each head replies to (kind 1).
+
+    Counted range by range like ``numbered``, so neither a long conversation nor a place that many reply to is one task.
+    """
+    rows = messages.select("conv", F.col("position").alias("at"), F.lit(0).alias("kind"), F.col("position").alias("who"))
+    own = rows.join(heads.select("conv", F.col("head").alias("at"), F.col("head")), ["conv", "at"], "left")
+    asked = heads.where("parent > 0").select("conv", F.col("parent").alias("at"), F.lit(1).alias("kind"), F.col("head").alias("who"), F.lit(None).cast("long").alias("head"))
+    order = ["at", "kind", "who"]
+    dealt = stored(own.unionByName(asked).repartitionByRange("conv", *order).withColumn("range", F.spark_partition_id()), "places")
+    inside = Window.partitionBy("conv", "range").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = Window.partitionBy("conv").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = dealt.groupBy("conv", "range").agg(F.max("head").alias("head")).select("conv", "range", F.max("head").over(earlier).alias("carried"))
+    run = F.coalesce(F.last("head", ignorenulls=True).over(inside), F.col("carried"))
+    told = stored(dealt.join(carried, ["conv", "range"]).select("conv", "kind", "who", run.alias("run")), "runs")
+    discard(dealt)
+    return told
+
+
+def tour(nodes: DataFrame) -> DataFrame:
+    """(conv, e, rest, next) of nodes (conv, head, up, low, n): the walk around the trees of heads, as a list.
+
+    A node is walked into (e = 2 head, costing its n messages) and out of (2 head + 1, costing none): in, then its children by
+    ``low`` and head, then out. Next siblings are told range by range, however many a node has.
+    """
+    order = ["low", "head"]
+    dealt = stored(nodes.repartitionByRange("conv", "up", *order).withColumn("range", F.spark_partition_id()), "siblings")
+    inside = Window.partitionBy("conv", "up", "range").orderBy(*order)
+    edges = dealt.groupBy("conv", "up", "range").agg(F.min(F.struct("low", "head"))["head"].alias("edge"))
+    later = edges.select("conv", "up", "range", F.lead("edge").over(Window.partitionBy("conv", "up").orderBy("range")).alias("later"))
+    beside = dealt.withColumn("beside", F.lead("head").over(inside)).join(later, ["conv", "up", "range"]).withColumn("beside", F.coalesce("beside", "later"))
+    first = dealt.groupBy("conv", F.col("up").alias("head")).agg(F.min(F.struct("low", "head"))["head"].alias("child"))
+    whole = beside.join(first, ["conv", "head"], "left")
+    out = F.when(F.col("beside").isNotNull(), F.col("beside") * 2).when(F.col("up") > 0, F.col("up") * 2 + 1)
+    enter = F.struct((F.col("head") * 2).alias("e"), F.col("n").alias("rest"), F.coalesce(F.col("child") * 2, F.col("head") * 2 + 1).alias("next"))
+    leave = F.struct((F.col("head") * 2 + 1).alias("e"), F.lit(0).cast("long").alias("rest"), out.alias("next"))
+    steps = stored(whole.select("conv", F.explode(F.array(enter, leave)).alias("s")).select("conv", "s.*"), "tour")
+    discard(dealt)
+    return steps
+
+
+def ranked(steps: DataFrame) -> DataFrame:
+    """(conv, e, rest) of a list (conv, e, rest, next): ``rest`` summed from e to the list's end, by doubling the steps.
+
+    Each round halves the number of steps left; places have one predecessor, so its join has no frequent key.
+    """
+    while True:
+        going = steps.where("next is not null")
+        if going.isEmpty():
+            return steps.select("conv", "e", "rest")
+        ahead = steps.select("conv", F.col("e").alias("next"), F.col("rest").alias("more"), F.col("next").alias("after"))
+        gone = going.join(ahead, ["conv", "next"]).select("conv", "e", (F.col("rest") + F.col("more")).alias("rest"), F.col("after").alias("next"))
+        before, steps = steps, stored(steps.where("next is null").unionByName(gone), "tour")
+        discard(before)
+
+
+def reply_positions(messages: DataFrame) -> DataFrame | None:
+    """(conv, position, reply_position) of messages (conv, position, to_conv, to_place), for the conversations whose
+    reply order is not that of their positions; None if there are none.
+
+    A message's parent is what it quotes in its own conversation, or else the message before; the first one and
+    those that quote another conversation have none. The order is depth first, children by position. A message that has no
+    quote, or quotes the one before, comes right after that one; so such runs stay whole, and the trees need one node a
+    run: the runs that quote a run stand below it, those that quote its later messages first.
+    """
+    same = F.col("to_conv") == F.col("conv")
+    turns = messages.where(F.col("to_conv").isNotNull() & (F.col("position") > 1) & ~(same & (F.col("to_place") == F.col("position") - 1)))
+    turns = stored(turns.select("conv", F.col("position").alias("head"), F.when(same, F.col("to_place")).otherwise(0).alias("parent")), "heads")
+    live = turns.where("parent > 0").select("conv").distinct()
+    if live.isEmpty():
+        discard(turns)
+        return None
+    live = bounded(live)
+    heads = turns.join(live, "conv", "left_semi").unionByName(live.select("conv", F.lit(1).cast("long").alias("head"), F.lit(0).cast("long").alias("parent")))
+    told = runs(messages.select("conv", "position").join(live, "conv", "left_semi"), heads)
+    sizes = told.where("kind = 0").groupBy("conv", F.col("run").alias("head")).agg(F.count(F.lit(1)).alias("n"))
+    ups = told.where("kind = 1").select("conv", F.col("who").alias("head"), F.col("run").alias("up"))
+    nodes = heads.join(ups, ["conv", "head"], "left").join(sizes, ["conv", "head"])
+    ranks = ranked(tour(nodes.select("conv", "head", F.coalesce("up", F.lit(0)).alias("up"), (-F.col("parent")).alias("low"), "n")))
+    entered = ranks.where("e % 2 = 0").select("conv", (F.col("e") / 2).cast("long").alias("run"), "rest")
+    starts = entered.join(ranks.groupBy("conv").agg(F.max("rest").alias("all")), "conv").select("conv", "run", (F.col("all") - F.col("rest") + 1).alias("start"))
+    salts = F.explode(F.array(*map(F.lit, range(SALTS)))).alias("salt")
+    dealt = told.where("kind = 0").withColumn("salt", F.pmod(F.xxhash64("who"), F.lit(SALTS)).cast("int"))
+    placed = dealt.join(starts.select("*", salts), ["conv", "run", "salt"])
+    found = stored(placed.select("conv", F.col("who").alias("position"), (F.col("start") + F.col("who") - F.col("run")).alias("reply_position")), "reply-order")
+    discard(turns, told, ranks)
+    return found
+
+
 def threads(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", shortest: int = 8) -> DataFrame:
-    """One row for each message: conv_id, turn, role, position, reply_conv_id, reply_turn, quoted, text, formatted.
+    """One row for each message: conv_id, turn, role, position, reply_position, reply_conv_id, reply_turn, quoted, text, formatted.
+
+    ``position`` numbers a conversation's messages by turn, ``reply_position`` in reply order (see ``reply_positions``).
 
     ``text`` is the message without quotes and the lines that announce them, white space trimmed off its
     ends; ``formatted`` puts the role before it. ``quoted`` tells whether the reply goes by a quote;
@@ -156,14 +248,21 @@ def threads(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str
     whole = ordered.join(bounded(originals(ordered, shortest)), ["conv", "position"], "left")
     kept = F.array_join(F.transform(F.filter(own_lines(F.col("text")), lambda x: x["own"]), lambda x: x["line"]), "\n")
     body = F.regexp_replace(F.regexp_replace(kept, r"^\s+", ""), r"\s+$", "")
-    copies = whole.withColumn("body", body).drop("text").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("times").cast("int") - 1)))
+    each = lambda df: df.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("times").cast("int") - 1))).withColumn("position", F.col("position") + F.col("copy"))
+    copies = each(whole.withColumn("body", body).drop("text"))
+    moved = reply_positions(each(whole.select("conv", "position", "times", "to_conv", "to_place")))
+    if moved is None:
+        copies = copies.withColumn("reply_position", F.col("position"))
+    else:
+        copies = copies.join(bounded(moved), ["conv", "position"], "left").withColumn("reply_position", F.coalesce("reply_position", "position"))
     quoting = F.col("to_turn").isNotNull()
     before = F.when(F.col("copy") > 0, F.col("turn")).otherwise(F.col("before"))
     return copies.select(
         F.col("conv").alias(conv),
         F.col("turn").alias(turn),
         F.col("role").alias(role),
-        (F.col("position") + F.col("copy")).alias("position"),
+        "position",
+        "reply_position",
         F.when(quoting, F.col("to_conv")).when(before.isNotNull(), F.col("conv")).alias("reply_conv_id"),
         F.when(quoting, F.col("to_turn")).otherwise(before).alias("reply_turn"),
         quoting.alias("quoted"),

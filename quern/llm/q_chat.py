@@ -15,7 +15,7 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {"op9_chat": op9_chat}
 ORACLE_SQL = {
     "op9_chat": r"""
-WITH m AS (
+WITH RECURSIVE m AS (
   SELECT coalesce(conv_id, -1) AS conv, coalesce(turn, -1) AS turn, coalesce(role, 'user') AS role, coalesce(text, '') AS text, count(*) AS times
   FROM conversations GROUP BY ALL),
 n AS (
@@ -52,12 +52,17 @@ linked AS (
   FROM q LEFT JOIN here ON here.conv = q.conv AND here.words = q.words LEFT JOIN first ON first.words = q.words),
 sums AS (SELECT conv, position, level, t[1] AS to_conv, t[2] AS to_turn, t[3] AS place, sum(size) AS size FROM linked WHERE t IS NOT NULL GROUP BY ALL),
 r AS (
-  SELECT conv, position, to_conv, to_turn FROM sums
+  SELECT conv, position, to_conv, to_turn, place FROM sums
   QUALIFY row_number() OVER (PARTITION BY conv, position ORDER BY level, size DESC, to_conv = conv DESC, to_turn DESC, place DESC, to_conv) = 1),
 c AS (
-  SELECT n.conv, n.turn, n.role, n.position + copy AS position, CASE WHEN copy > 0 THEN n.turn ELSE before END AS before, to_conv, to_turn, coalesce(body, '') AS body
-  FROM (SELECT *, unnest(range(times)) AS copy FROM n) n LEFT JOIN r USING (conv, position) LEFT JOIN body USING (conv, position))
-SELECT conv AS conv_id, turn, role, position, CASE WHEN to_turn IS NOT NULL THEN to_conv WHEN before IS NOT NULL THEN conv END AS reply_conv_id,
+  SELECT n.conv, n.turn, n.role, n.position + copy AS position, CASE WHEN copy > 0 THEN n.turn ELSE before END AS before, to_conv, to_turn, coalesce(body, '') AS body,
+    CASE WHEN to_conv = conv THEN place WHEN to_conv IS NULL THEN n.position + copy - 1 ELSE 0 END AS parent
+  FROM (SELECT *, unnest(range(times)) AS copy FROM n) n LEFT JOIN r USING (conv, position) LEFT JOIN body USING (conv, position)),
+tree AS (
+  SELECT conv, position, [position] AS path FROM c WHERE parent = 0
+  UNION ALL SELECT c.conv, c.position, list_append(path, c.position) FROM c JOIN tree ON tree.conv = c.conv AND tree.position = c.parent),
+walk AS (SELECT conv, position, row_number() OVER (PARTITION BY conv ORDER BY path) AS reply_position FROM tree)
+SELECT conv AS conv_id, turn, role, position, reply_position, CASE WHEN to_turn IS NOT NULL THEN to_conv WHEN before IS NOT NULL THEN conv END AS reply_conv_id,
   coalesce(to_turn, before) AS reply_turn, to_turn IS NOT NULL AS quoted, body AS text, '<|' || role || '|>' || chr(10) || body AS formatted
-FROM c"""
+FROM c JOIN walk USING (conv, position)"""
 }

@@ -79,6 +79,50 @@ def test_sql_agrees(got):
     assert sorted(map(repr, map(clean, want[names].values.tolist()))) == sorted(map(repr, [tuple(r) for r in got]))
 
 
+def depth_first(rows):
+    """Reply order of (position, parent) rows of one conversation, by walking the tree."""
+    below = {}
+    for position, parent in sorted(rows):
+        below.setdefault(parent, []).append(position)
+    out, stack = {}, below.get(0, [])[::-1]
+    while stack:
+        at = stack.pop()
+        out[at] = len(out) + 1
+        stack.extend(below.get(at, [])[::-1])
+    return out
+
+
+def test_reply_order_is_depth_first(got):
+    order = {(r.conv_id, r.turn): r.reply_position for r in got}
+    assert [order[1, t] for t in range(5)] == [1, 2, 4, 5, 3], "turn 4 quotes turn 1, turn 2 quotes turn 0"
+    for c in {r.conv_id for r in got}:
+        own = [r for r in got if r.conv_id == c]
+        assert sorted(r.reply_position for r in own) == list(range(1, len(own) + 1))
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_reply_order_of_any_tree(spark, parts):
+    """Random trees, a chain of quotes, a place that hundreds quote, a hot conversation, quotes of other conversations."""
+    import random
+
+    rng = random.Random(parts)
+    quote = {}
+    for c in range(12):
+        for p in range(2, rng.randint(2, 40)):
+            quote[c, p] = rng.choice([None, (c, rng.randint(1, p - 1)), (c, rng.randint(1, p - 1)), (c + 1, 1)])
+        quote[c, 1] = None
+    quote |= {(20, p): (20, 3) if p > 3 else None for p in range(1, 400)}
+    quote |= {(21, p): (21, max(1, p - 2)) if p > 1 else None for p in range(1, 300)}
+    quote |= {(22, p): None for p in range(1, 50)}
+    want = {}
+    for c in {c for c, _ in quote}:
+        rows = [(p, q[1] if q and q[0] == c else 0 if q else p - 1) for (k, p), q in quote.items() if k == c]
+        want |= {(c, p): n for p, n in depth_first(rows).items()}
+    df = spark.createDataFrame([(c, p, *(q or (None, None))) for (c, p), q in quote.items()], "conv long, position long, to_conv long, to_place long")
+    found = {(r.conv, r.position): r.reply_position for r in chat.reply_positions(df.repartition(parts)).collect()}
+    assert {k: found.get(k, k[1]) for k in quote} == want and not any(c == 22 for c, _ in found)
+
+
 def test_empty(spark):
     assert chat.threads(spark.createDataFrame([], SCHEMA)).count() == 0
 
