@@ -85,6 +85,15 @@ def change_feed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---- layout and pruning ----
+#: Rows of a clustered file at most (some 40 MB of facts on their way to the task that writes it).
+FILE_ROWS = 250_000
+
+
+def clustered(spark: SparkSession, path: str, rows: int) -> None:
+    """Cluster a fact table by agency and month: 64 files, and more once they would exceed ``FILE_ROWS``."""
+    clustering.cluster(spark, path, ["agency_code", "created_month"], rows_per_file=min(max(1, rows // 64), FILE_ROWS))
+
+
 def fact_table(spark: SparkSession, facts: DataFrame, salt: int = 1) -> str:
     """The facts as a keyed table by year of creation."""
     path = work_dir(spark)
@@ -99,7 +108,7 @@ def clustered_facts(spark: SparkSession, sf: str) -> DataFrame:
     path = fact_table(spark, facts, salt=8)
     before = V.current(spark, path)
     rows = facts.count()
-    clustering.cluster(spark, path, ["agency_code", "created_month"], rows_per_file=max(1, rows // 64))
+    clustered(spark, path, rows)
     after = V.current(spark, path)
     pairs = [r.asDict() for r in facts.select("agency_code", "created_month").distinct().collect()]  # agencies x 12
     (all_before, *old), (all_after, *new) = clustering.opened(before, pairs), clustering.opened(after, pairs)
@@ -118,7 +127,7 @@ def clustered_file_share(spark: SparkSession, sf: str) -> DataFrame:
     path, rows = fact_table(spark, facts, salt=8), facts.count()
     pairs = [r.asDict() for r in facts.select("agency_code", "created_month").distinct().collect()]  # agencies x 12
     told = [("by hash", *clustering.opened(V.current(spark, path), pairs))]
-    clustering.cluster(spark, path, ["agency_code", "created_month"], rows_per_file=max(1, rows // 64))
+    clustered(spark, path, rows)
     told.append(("by curve", *clustering.opened(V.current(spark, path), pairs)))
     shares = [(name, files, round(sum(n) / len(n) / files, 4)) for name, files, *n in told]
     return spark.createDataFrame(shares, "layout string, files long, share double")

@@ -231,3 +231,14 @@ def test_the_star_is_stored_once(spark, sf):
 
     a, b = star(spark, sf), star(spark, sf)
     assert a[0] is b[0] and a[1] is b[1]
+
+
+def test_clustered_files_hold_so_many_rows_at_most(spark, tmp_path, monkeypatch):
+    from quern.plans import keyed
+
+    monkeypatch.setattr(keyed, "FILE_ROWS", 100)
+    path = str(tmp_path / "t")
+    versions.overwrite(spark, path, spark.range(20_000).selectExpr("id as k", "concat('A', id % 5) as agency_code", "cast(id % 12 as int) as created_month"))
+    keyed.clustered(spark, path, 20_000)
+    rows = clustering.file_ranges(versions.current(spark, path), ["k"]).agg(F.count(F.lit(1)), F.max("rows"), F.sum("rows")).first()
+    assert rows[0] > 150 and rows[1] < 200 and rows[2] == 20_000
