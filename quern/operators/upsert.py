@@ -39,9 +39,12 @@ def newer(source: DataFrame, target: DataFrame, column: str) -> DataFrame:
 
 
 def write_partitioned(df: DataFrame, path: str, columns: list[str], mode: str = "error", salt: int = 8) -> None:
-    """Write by partition columns; rows are dealt by them and a salt, so one large partition is several tasks and files."""
+    """Write by partition columns; rows are dealt by them and a salt, so one large partition is several tasks and files.
+
+    What is still more than ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` for one task is split further, so a task's share does not grow with the table.
+    """
     if columns:
-        dealt = df.withColumn("__salt", F.pmod(F.xxhash64(*df.columns), F.lit(salt))).repartition(*columns, "__salt").drop("__salt")
+        dealt = df.withColumn("__salt", F.pmod(F.xxhash64(*df.columns), F.lit(salt))).hint("rebalance", *map(F.col, [*columns, "__salt"])).drop("__salt")
         dealt.write.mode(mode).partitionBy(*columns).parquet(path)
     else:
         df.write.mode(mode).parquet(path)

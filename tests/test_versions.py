@@ -233,6 +233,20 @@ def test_the_star_is_stored_once(spark, sf):
     assert a[0] is b[0] and a[1] is b[1]
 
 
+def test_a_large_partition_is_split_between_tasks(spark, tmp_path):
+    """A file of one partition holds no more rows when the table is larger, whatever the salt."""
+    largest = []
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128k")
+    for n in (40_000, 320_000):
+        path = str(tmp_path / str(n))
+        versions.overwrite(spark, path, spark.range(0, n, 1, n // 5_000).selectExpr("id as k", "cast(id % 2 as int) as y", "sha2(string(id), 256) as v"), ["y"])
+        got = versions.current(spark, path)
+        assert got.count() == n == got.distinct().count()
+        largest.append(clustering.file_ranges(got, ["k"]).agg(F.max("rows")).first()[0])
+    spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert largest[1] <= 1.5 * largest[0]
+
+
 def test_clustered_files_hold_so_many_rows_at_most(spark, tmp_path, monkeypatch):
     from quern.plans import keyed
 
