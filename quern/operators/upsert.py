@@ -11,18 +11,28 @@ def row_hash(df: DataFrame, columns: list[str] | None = None) -> Column:
     return F.sha2(F.to_json(F.struct(*[F.col(c) for c in columns or sorted(df.columns)])), 256)
 
 
-def scd1_latest(df: DataFrame, keys: list[str], sequence: str | None, tie: str | None = None) -> DataFrame:
-    """One row for each key: the one of the largest sequence value; ties by ``tie``, then by a hash of the row (which alone decides without a sequence).
+def ordering(sequence: str | list[str] | None, tie: str | None = None) -> list[str]:
+    """The columns that tell which of two rows is the later one."""
+    return [*([sequence] if isinstance(sequence, str) else sequence or []), *([tie] if tie else [])]
 
-    An aggregation, combined before the shuffle; null values of the latest row do overwrite.
+
+def scd1_latest(df: DataFrame, keys: list[str], sequence: str | list[str] | None, tie: str | None = None) -> DataFrame:
+    """One row for each key: the one of the largest sequence value (a column or several); ties by ``tie``, then by a hash of the row (which alone decides without a sequence).
+
+    An aggregation, combined before the shuffle; null values of the latest row do overwrite. Where the sequence holds all other columns, rows that tie are
+    equal, and the sequence alone is shuffled; else of the hash the first half.
     """
+    by = ordering(sequence, tie)
     rest = [c for c in df.columns if c not in keys]
-    order = F.struct(*([F.col(sequence)] if sequence else []), *([F.col(tie)] if tie else []), row_hash(df))
-    best = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("__row"))
+    if by and set(rest) <= set(by):
+        latest = F.max(F.struct(*dict.fromkeys(by)))
+    else:
+        latest = F.max_by(F.struct(*rest), F.struct(*by, F.unhex(F.substring(row_hash(df), 1, 32))))
+    best = df.groupBy(*keys).agg(latest.alias("__row"))
     return best.select(*[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in df.columns])
 
 
-def merged(target: DataFrame, updates: DataFrame, keys: list[str], sequence: str | None = None, tie: str | None = None) -> DataFrame:
+def merged(target: DataFrame, updates: DataFrame, keys: list[str], sequence: str | list[str] | None = None, tie: str | None = None) -> DataFrame:
     """``target`` with ``updates`` put in by key; with a sequence column, older updates are ignored, else updates win."""
     if sequence:
         return scd1_latest(target.unionByName(updates, allowMissingColumns=True), keys, sequence, tie)

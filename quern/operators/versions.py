@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quern.functions.shared import discard, stored
-from quern.operators.upsert import row_hash, scd1_latest, write_partitioned
+from quern.operators.upsert import ordering, scd1_latest, write_partitioned
 
 TAG = "__version"
 
@@ -145,17 +145,21 @@ def _same(a: str, b: str, keys: list[str]) -> Column:
     return reduce(lambda x, y: x & y, [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in keys])
 
 
-def _changes(hits: DataFrame, new: DataFrame, keys: list[str], columns: list[str], sequence: str | None, tie: str | None) -> DataFrame:
-    """Rows that ``new`` changes: their new image (a deleted row's last one), ``__change`` and the folder that they stand in."""
-    order = lambda df: F.struct(*[F.col(c) for c in (sequence, tie) if c], row_hash(df, columns))
-    old = hits.select(*keys, F.struct(*columns).alias("o"), order(hits).alias("oo"), row_hash(hits, columns).alias("oh"), "__folder").alias("old")
-    put = new.select(*keys, F.struct(*columns).alias("n"), order(new).alias("no"), row_hash(new, columns).alias("nh"), "__delete").alias("new")
+def _changes(there: DataFrame, new: DataFrame, keys: list[str], columns: list[str], sequence: str | list[str] | None, tie: str | None) -> DataFrame:
+    """Rows that ``new`` changes: their new image (a deleted row's last one), ``__change`` and the folder that they stand in.
+
+    Rows are digested once they are joined, so no digest is shuffled.
+    """
+    text = lambda row: F.to_json(F.col(row))
+    order = lambda row: F.struct(*[F.col(row)[c] for c in ordering(sequence, tie)], F.sha2(text(row), 256))
+    old = there.select(*keys, F.struct(*columns).alias("o"), "__folder").alias("old")
+    put = new.select(*keys, F.struct(*columns).alias("n"), "__delete").alias("new")
     both = put.join(old, _same("new", "old", keys), "left")
-    wins = F.col("no") > F.col("oo") if sequence else F.lit(True)
+    wins = order("n") > order("o") if sequence else F.lit(True)
     kind = (
         F.when(F.col("o").isNull(), F.when(~F.col("__delete"), "insert"))
-        .when(F.col("__delete") & (wins | (F.col("no") == F.col("oo"))), "delete")
-        .when(~F.col("__delete") & wins & (F.col("nh") != F.col("oh")), "update")
+        .when(F.col("__delete") & (wins | (order("n") == order("o"))), "delete")
+        .when(~F.col("__delete") & wins & (text("n") != text("o")), "update")
     )
     image = F.when(F.col("__delete"), F.col("o")).otherwise(F.col("n"))
     found = both.select(image.alias("i"), kind.alias("__change"), "__folder").where("__change is not null")
@@ -163,12 +167,12 @@ def _changes(hits: DataFrame, new: DataFrame, keys: list[str], columns: list[str
 
 
 def merge(
-    spark: SparkSession, path: str, updates: DataFrame, keys: list[str], sequence: str | None = None, tie: str | None = None, partition: list[str] | None = None,
+    spark: SparkSession, path: str, updates: DataFrame, keys: list[str], sequence: str | list[str] | None = None, tie: str | None = None, partition: list[str] | None = None,
     deletes: Column | str | None = None, batch_id: int | None = None, attempts: int = 5, salt: int = 1,
 ) -> Version:
     """Put ``updates`` into the keyed table at ``path``, and return the version that holds them.
 
-    Of rows with one key the last by ``sequence``, ``tie`` and a hash of the row counts, in the updates and against the table, so rows
+    Of rows with one key the last by ``sequence`` (a column or several), ``tie`` and a hash of the row counts, in the updates and against the table, so rows
     out of order change nothing; without a sequence updates win. Rows where ``deletes`` holds (a condition, or the name of a column that is not
     kept) remove their key; a later merge of an older row brings it back, since nothing remembers what was deleted. Null keys are equal to each other. Columns that the table lacks are added,
     those that the updates lack are null in them. Partition columns are those of the first version; a key may move between them.
@@ -177,13 +181,19 @@ def merge(
     Read of the table are the keys of all files, and then the folders that hold a key of the updates; written are the changed rows (as the
     feed) and the folders that hold one of those, with what else is in them. If another writer commits first, all is done again on their version.
     """
-    gone = F.lit(False) if deletes is None else F.coalesce(F.col(deletes) if isinstance(deletes, str) else deletes, F.lit(False))
-    marked = updates.withColumn("__delete", gone)
-    latest = stored(scd1_latest(marked.drop(deletes) if isinstance(deletes, str) else marked, keys, sequence, tie), "updates")
+    base = version(spark, path)
+    if _merged_already(base, batch_id):
+        return base
+    if deletes is None:
+        last = scd1_latest(updates, keys, sequence, tie).withColumn("__delete", F.lit(False))
+    else:
+        marked = updates.withColumn("__delete", F.coalesce(F.col(deletes) if isinstance(deletes, str) else deletes, F.lit(False)))
+        last = scd1_latest(marked.drop(deletes) if isinstance(deletes, str) else marked, keys, sequence, tie)
+    latest = stored(last, "updates")
     own = [c for c in latest.columns if c != "__delete"]
     for attempt in range(attempts):
         base = version(spark, path)
-        if base is not None and batch_id is not None and base.batch is not None and base.batch >= batch_id:
+        if _merged_already(base, batch_id):
             break
         before = base.columns.fields if base else []
         fields = [*before, *[T.StructField(f.name, f.dataType) for f in latest.schema.fields if f.name in own and f.name not in {b.name for b in before}]]
@@ -215,25 +225,27 @@ def merge(
     return base
 
 
-def _feed(spark: SparkSession, path: str, base: Version | None, new: DataFrame, keys: list[str], columns: list[str], sequence: str | None, tie: str | None) -> tuple[DataFrame, list[str]]:
+def _merged_already(base: Version | None, batch_id: int | None) -> bool:
+    return base is not None and batch_id is not None and base.batch is not None and base.batch >= batch_id
+
+
+def _feed(spark: SparkSession, path: str, base: Version | None, new: DataFrame, keys: list[str], columns: list[str], sequence: str | list[str] | None, tie: str | None) -> tuple[DataFrame, list[str]]:
     """(what ``new`` changes, as written to the feed; the folders that hold a changed key)."""
-    empty = new.select(*columns, F.lit(None).cast("string").alias("__folder")).limit(0)
-    hits = empty
+    there = new.select(*columns, F.lit(None).cast("string").alias("__folder")).limit(0)
     if base is not None and base.folders:
         wanted = new.select(*keys).alias("wanted")
         mine = _foldered(_rows(spark, path, base)).select(*keys, "__folder").alias("mine")
         near = [unquote(r[0]) for r in mine.join(wanted, _same("mine", "wanted", keys), "left_semi").select("__folder").distinct().collect()]
         if near:
-            mine = _foldered(_rows(spark, path, base, near)).alias("mine")
-            hits = mine.join(wanted, _same("mine", "wanted", keys), "left_semi")
+            there = _foldered(_rows(spark, path, base, near))
     tag = uuid.uuid4().hex[:16]
-    found = _changes(hits, new, keys, columns, sequence, tie)
+    found = _changes(there, new, keys, columns, sequence, tie)
     found.write.parquet(f"{path}/feed/{TAG}={tag}")
     feed = spark.read.schema(found.schema).parquet(f"{path}/feed/{TAG}={tag}")
     return feed, [unquote(r[0]) for r in feed.select("__folder").where("__folder is not null").distinct().collect()]
 
 
-def upsert(spark: SparkSession, path: str, updates: DataFrame, keys: list[str], sequence: str | None = None, tie: str | None = None, partition: list[str] | None = None, batch_id: int | None = None) -> DataFrame:
+def upsert(spark: SparkSession, path: str, updates: DataFrame, keys: list[str], sequence: str | list[str] | None = None, tie: str | None = None, partition: list[str] | None = None, batch_id: int | None = None) -> DataFrame:
     """``merge``, and the rows of the newest version."""
     merge(spark, path, updates, keys, sequence, tie, partition, batch_id=batch_id)
     return current(spark, path)

@@ -256,3 +256,22 @@ def test_clustered_files_hold_so_many_rows_at_most(spark, tmp_path, monkeypatch)
     keyed.clustered(spark, path, 20_000)
     rows = clustering.file_ranges(versions.current(spark, path), ["k"]).agg(F.count(F.lit(1)), F.max("rows"), F.sum("rows")).first()
     assert rows[0] > 150 and rows[1] < 200 and rows[2] == 20_000
+
+
+def test_a_merge_shuffles_no_more_than_it_needs(spark, tmp_path, monkeypatch):
+    """No digest where the sequence holds the whole row, none before the join with the table, and nothing for a batch that was merged before."""
+    rng = spark.range(3_000).selectExpr("id % 700 as k", "cast(id % 7 as int) as a", "if(id % 5 = 0, null, id % 11) as b")
+    last = upsert.scd1_latest(rng, ["k"], ["a", "b"])
+    assert "sha2" not in last._jdf.queryExecution().toString()
+    struct = upsert.scd1_latest(rng.withColumn("s", F.struct("a", "b")), ["k"], "s").drop("s")
+    want = sorted(map(repr, struct.collect()))
+    assert sorted(map(repr, last.collect())) == want and len(want) == 700
+    path, wide = str(tmp_path / "t"), rng.withColumn("c", F.lit("x"))
+    for n, part in enumerate((rng.a > 3, rng.a < 2, rng.a.between(2, 3))):
+        versions.merge(spark, path, rng.where(part), ["k"], ["a", "b"], batch_id=n)
+    assert sorted(map(repr, versions.current(spark, path).collect())) == want
+    there, new = wide.withColumn("__folder", F.lit("f")), wide.withColumn("__delete", F.lit(False))
+    plan = versions._changes(there, new, ["k"], ["k", "a", "b", "c"], "a", None)._jdf.queryExecution().optimizedPlan().toString()
+    assert "sha2" in plan and "sha2" not in plan[plan.index("Join LeftOuter") :]
+    monkeypatch.setattr(versions, "stored", None)
+    assert versions.merge(spark, path, rng, ["k"], ["a", "b"], batch_id=1).number == 3
