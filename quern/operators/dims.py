@@ -125,7 +125,7 @@ def classify(c: Column, rules: list = lookups.TYPE_RULES, default: str = "Other"
 def dim_type(df: DataFrame, rules: list = lookups.TYPE_RULES) -> DataFrame:
     """Types with their category; the rules run on the distinct values only."""
     kind, descriptor = type_parts()
-    distinct = df.select(type_key().alias("complaint_type_key"), kind.alias("complaint_type"), descriptor.alias("descriptor")).distinct()
+    distinct = df.select(kind.alias("complaint_type"), descriptor.alias("descriptor")).distinct().withColumn("complaint_type_key", F.sha2(F.concat_ws("|", "complaint_type", "descriptor"), 256))
     c = F.col("complaint_type")
     return distinct.select(
         "complaint_type_key", "complaint_type", "descriptor", classify(c, rules).alias("complaint_category"), any_like(c, lookups.MALICIOUS).alias("is_malicious_data"), (any_like(c, lookups.TESTS[0]) | c.isin(lookups.TESTS[1])).alias("is_test_data")

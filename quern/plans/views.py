@@ -49,11 +49,13 @@ STARS: dict[tuple, tuple[DataFrame, Dims]] = {}
 
 
 def star(spark: SparkSession, sf: str) -> tuple[DataFrame, Dims]:
-    """(facts, dimensions). Requests and facts are stored once a session, as long as the given tables are the same: all summaries read the same facts."""
+    """(facts, dimensions). Requests, facts and the dimensions made from requests are stored once a session, as long as the given tables are the same:
+    all summaries read the same facts, and the planner knows the dimensions' size."""
     key = (spark._jsparkSession.hashCode(), shared_dir(spark), sf, *[changed(spark, f"{sf}/{t}.parquet") for t in ("orders", "lineitem", "customer", "part")])
     if key not in STARS or not changed(spark, STARS[key][0].inputFiles()[0]):
         rows = stored(contract(spark, sf), "requests")
-        dims = Dims(dim_date(spark, START, END, AS_OF), dim_agency(rows), dim_location(rows), dim_type(rows))
+        made = {"agencies": dim_agency(rows), "locations": dim_location(rows), "types": dim_type(rows)}
+        dims = Dims(dim_date(spark, START, END, AS_OF), *[stored(d, name) for name, d in made.items()])
         STARS[key] = stored(fact(rows, dims), "facts"), dims
     return STARS[key]
 

@@ -86,3 +86,24 @@ def test_actual_and_forecast_are_matched_by_date(spark):
     told = spark.createDataFrame([("2024-01-02", 22.0), ("2024-01-03", 27.0), ("2024-01-04", 1.0)], "ds string, yhat double")
     r = forecast.accuracy(actual.join(told, "ds")).first()
     assert (r.n, r.mae, r.smape, r.mdape) == (2, 2.5, round((2 * 200 / 42 + 3 * 200 / 57) / 2, 4), 10.0)
+
+
+def test_queries_read_stored_dimensions(spark, sf):
+    """No query makes a dimension anew from the requests, and joins with one are broadcast."""
+    from quern.plans import quality
+    from quern.plans.views import star
+
+    _, d = star(spark, sf)
+    assert [name for name in ("agency", "location", "kind") if any("quern-requests" in f for f in getattr(d, name).inputFiles())] == []
+    plan = quality.category_sla(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "sha2" not in plan
+
+
+def test_type_keys_are_made_of_distinct_types(spark):
+    rows = spark.createDataFrame([("a", "x"), ("A", "x"), (None, None), ("b|c", "d"), ("b|c", "d")], "complaint_type string, descriptor string")
+    got = {(r.complaint_type, r.descriptor): r.complaint_type_key for r in dims.dim_type(rows).collect()}
+    assert set(got) == {("A", "X"), ("UNSPECIFIED", "NO DESCRIPTOR"), ("B|C", "D")}
+    assert set(got.values()) == {r[0] for r in rows.select(dims.type_key()).collect()}
+    lines = dims.dim_type(rows)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    made = next(i for i, line in enumerate(lines) if "Aggregate" in line)
+    assert "sha2" in "".join(lines[: made + 1]) and "sha2" not in "".join(lines[made + 1 :])
